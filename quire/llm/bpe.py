@@ -1,9 +1,9 @@
 """Byte-level BPE: encoding by corpus-level merge replay, and decoding.
 
 The distinct pieces of a block of texts are laid side by side in one array of token ids. An
-inverted index from rank to word positions holds every adjacent pair that has a rank; the ranks
-are taken in order, each is applied at all its positions at once, and only the touched neighbours
-get new entries. Texts are dealt nowhere: a task keeps its own bounded memo of units, so there is
+inverted index leads from a rank (that of a token pair's merge) to the word positions of its pairs; it is held
+for a window of ranks at a time. The ranks are taken in order, each merge is applied at all its
+positions at once, and only the touched neighbours get new entries. Texts are dealt nowhere: a task keeps its own bounded memo of units, so there is
 no shuffle, and a lost executor costs its running tasks only.
 
 Defined results: a null text counts as empty and has no tokens; a null row id stays null; each
@@ -17,7 +17,6 @@ import base64
 import gc
 import hashlib
 import heapq
-import re
 import uuid
 from collections.abc import Iterator
 
@@ -30,12 +29,16 @@ from pyspark.sql import types as T
 
 from quire.llm import _text
 
-NONE = np.int64(1) << 40
-#: Units and pieces that a worker keeps between blocks; beyond that it starts anew.
-MEMO_UNITS, MEMO_PIECES = 300_000, 800_000
+NONE = 1 << 30
+#: Ranks whose positions are indexed at a time.
+WINDOW = 1024
+#: Units and pieces that a worker keeps between blocks, about 350 bytes each; beyond that it starts anew.
+MEMO = 700_000
 #: Bytes of text whose distinct units are replayed together.
 REPLAY_BYTES = 12 << 20
-_OTHER_BLANK = re.compile(r"[^\S \n]|[ \n]{2}")
+# Runs of blanks, blanks other than space and line feed, and the mark between units.
+_ODD_BLANKS = ("  ", " \n", "\n ", "\n\n", "\0", *"\t\x0b\x0c\r\x1c\x1d\x1e\x1f")
+_WIDE_BLANKS = tuple(chr(c) for c in range(0x80, 0x3001) if chr(c).isspace())
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -65,8 +68,7 @@ class Bpe:
         self.pair_ranks = np.concatenate((np.array(values, np.int64)[order], [NONE]))
         self.decimal = list(map(str, range(len(self.tokens))))
         self.token_of = dict(zip(self.decimal, self.tokens, strict=True))
-        self.pieces: dict[str, str] = {}
-        self.units: dict[str, str] = {}
+        self.memo: dict[str, tuple[str, bytes]] = {}  # of units and pieces: ids in decimals, and what they decode to
 
     def _pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left << 32 | right
@@ -97,64 +99,66 @@ class Bpe:
         after[first[1:] - 1] = -1
         before = np.arange(-1, n - 1, dtype=np.int64)
         before[first[:-1]] = -1
-        rank = np.full(n, NONE)
+        rank = np.full(n, NONE, np.int32)
         inner = np.flatnonzero(after >= 0)
         rank[inner] = self._pair_rank(token[inner], token[inner + 1])
         odd: set[int] = set()
-        index: dict[int, list[np.ndarray]] = {}
-        heap: list[int] = []
-
-        def enter(positions: np.ndarray, ranks: np.ndarray) -> None:
-            order = np.argsort(ranks, kind="stable")
-            positions, ranks = positions[order], ranks[order]
-            cuts = np.flatnonzero(np.concatenate(([True], ranks[1:] != ranks[:-1])))
-            for r, part in zip(ranks[cuts].tolist(), np.split(positions, cuts[1:]), strict=True):
-                if r in index:
-                    index[r].append(part)
-                else:
-                    index[r] = [part]
-                    heapq.heappush(heap, r)
-
-        paired = inner[rank[inner] < NONE]
-        if len(paired):
-            enter(paired, rank[paired])
-        while heap:
-            r = heapq.heappop(heap)
-            parts = index.pop(r)
-            at = parts[0] if len(parts) == 1 else np.concatenate(parts)
-            at = at[rank[at] == r]
+        for low in range(0, len(self.tokens), WINDOW):
+            # the inverted index of this window of ranks: rank -> positions of the pairs that have it
+            high = low + WINDOW
+            at = np.flatnonzero((rank >= low) & (rank < high))
             if not len(at):
                 continue
-            if len(at) > 1:
-                at = np.unique(at)
-                chained = np.concatenate(([False], after[at[:-1]] == at[1:]))
-                if chained.any():  # overlapping: the leftmost of each run first, then every other one
-                    here = np.arange(len(at))
-                    at = at[(here - np.maximum.accumulate(np.where(chained, 0, here))) % 2 == 0]
-            right = after[at]
-            token[at] = r
-            rank[right] = NONE
-            token[right] = -1
-            beyond = after[right]
-            after[at] = beyond
-            some = beyond >= 0
-            before[beyond[some]] = at[some]
-            left = before[at]
-            touched = np.concatenate((at, left[left >= 0]))
-            follows = after[touched]
-            has = follows >= 0
-            rank[touched] = NONE
-            touched, follows = touched[has], follows[has]
-            if not len(touched):
-                continue
-            new = self._pair_rank(token[touched], token[follows])
-            rank[touched] = new
-            live = new < NONE
-            if live.any():
-                touched, new = touched[live], new[live]
-                if int(new.min()) < r:  # a lower rank appears late: such a word is done by itself
-                    odd.update(np.searchsorted(first, touched[new < r], side="right").tolist())
-                enter(touched, new)
+            ranks = rank[at]
+            order = np.argsort(ranks, kind="stable")
+            at, ranks = at[order], ranks[order]
+            cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+            index = dict(zip(ranks[np.concatenate(([0], cuts))].tolist(), ([x] for x in np.split(at, cuts)), strict=True))
+            heap = list(index)  # sorted, so a heap
+            while heap:
+                r = heapq.heappop(heap)
+                parts = index.pop(r)
+                at = parts[0] if len(parts) == 1 else np.sort(np.concatenate(parts))
+                at = at[rank[at] == r]
+                if len(at) > 1:
+                    if len(parts) > 1:
+                        at = at[np.concatenate(([True], at[1:] != at[:-1]))]
+                    chained = np.concatenate(([False], after[at[:-1]] == at[1:]))
+                    if chained.any():  # overlapping: the leftmost of each run first, then every other one
+                        here = np.arange(len(at))
+                        at = at[(here - np.maximum.accumulate(np.where(chained, 0, here))) % 2 == 0]
+                if not len(at):
+                    continue
+                right = after[at]
+                token[at] = r
+                rank[right] = NONE
+                token[right] = -1
+                beyond = after[right]
+                after[at] = beyond
+                some = beyond >= 0
+                before[beyond[some]] = at[some]
+                left = before[at]
+                touched = np.concatenate((at, left[left >= 0]))
+                follows = after[touched]
+                has = follows >= 0
+                rank[touched] = NONE
+                touched, follows = touched[has], follows[has]
+                new = self._pair_rank(token[touched], token[follows])
+                rank[touched] = new
+                some = new < NONE
+                touched, new = touched[some], new[some]
+                if not len(touched):
+                    continue
+                if int(new.min()) < high:
+                    late = new < r  # a lower rank appears late: such a word is done by itself
+                    if late.any():
+                        odd.update(np.searchsorted(first, touched[late], side="right").tolist())
+                    for x in np.unique(new[(new > r) & (new < high)]).tolist():
+                        if x in index:
+                            index[x].append(touched[new == x])
+                        else:
+                            index[x] = [touched[new == x]]
+                            heapq.heappush(heap, x)
         kept = token >= 0
         counts = np.add.reduceat(kept, first[:-1])
         ids = list(map(self.decimal.__getitem__, token[kept].tolist()))
@@ -165,54 +169,51 @@ class Bpe:
         return out
 
     def _learn(self, units: set[str]) -> None:
-        """Encode units that the memo lacks."""
-        find, known, ranks = self.pattern.findall, self.pieces, self.ranks
-        split = {unit: find(unit) for unit in units}
-        new = {piece for found in split.values() for piece in found if piece not in known}
-        todo, raws = [], []
-        for piece in new:
-            raw = piece.encode()
-            whole = ranks.get(raw)
-            if whole is None:
-                todo.append(piece)
-                raws.append(raw)
-            else:
-                known[piece] = self.decimal[whole]
-        known.update(zip(todo, self.replay(raws), strict=True))
-        for unit, found in split.items():
-            self.units[unit] = known[found[0]] if len(found) == 1 else " ".join([known[x] for x in found])
-
-    def encode_texts(self, texts: list[str]) -> Iterator[str]:
-        """The decimal ids of each text, joined by a space.
+        """Encode units that the memo lacks, and decode their ids."""
+        find, memo, ranks = self.pattern.findall, self.memo, self.ranks
+        # a run of letters with at most one space before it is one piece
+        new = {u for u in units if (u[1:] if u[0] == " " else u).isalpha()}
+        split = {u: find(u) for u in units - new}
+        new.update({piece for found in split.values() for piece in found if piece not in memo})
+        todo = list(new)
+        raws = [piece.encode() for piece in todo]
+        whole = [ranks.get(raw) for raw in raws]
+        found = iter(self.replay([raw for raw, rank in zip(raws, whole, strict=True) if rank is None]))
+        for piece, rank in zip(todo, whole, strict=True):
+            ids = next(found) if rank is None else self.decimal[rank]
+            memo[piece] = (ids, self.decode(ids))
+        for unit, pieces in split.items():
+            if len(pieces) > 1:
+                got = [memo[x] for x in pieces]
+                memo[unit] = (" ".join([g[0] for g in got]), b"".join([g[1] for g in got]))
+
+    def encode_texts(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """The decimal ids of each text, joined by a space, and the bytes they decode to.
 
         The pattern never joins a blank to what stands before it, nor a line break to what follows,
         so a text is the sequence of its units, each cut before a space or around a line break;
         texts with other blanks or runs of blanks are one unit.
         """
-        if len(self.units) > MEMO_UNITS:
-            self.units.clear()
-        if len(self.pieces) > MEMO_PIECES:
-            self.pieces.clear()
+        if len(self.memo) > MEMO:
+            self.memo.clear()
         cut = []
         wanted: set[str] = set()
         for text in texts:
             if not text:
                 units = []
-            elif _OTHER_BLANK.search(text):
+            elif any(x in text for x in _ODD_BLANKS) or not text.isascii() and any(x in text for x in _WIDE_BLANKS):
                 units = [text]
             else:
-                units = [u for u in text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if u] if "\0" not in text else [text]
+                units = [u for u in text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if u]
             cut.append(units)
             wanted.update(units)
-        known = self.units
-        self._learn({u for u in wanted if u not in known})
+        memo = self.memo
+        self._learn({u for u in wanted if u not in memo})
         for units in cut:
-            yield " ".join([known[u] for u in units])
-        for u in wanted:
-            if len(u) > 64:  # long units are not kept
-                known.pop(u, None)
-        for p in [p for p in self.pieces if len(p) > 64]:
-            del self.pieces[p]
+            got = [memo[u] for u in units]
+            yield " ".join([g[0] for g in got]), b"".join([g[1] for g in got])
+        for u in [u for u in wanted if len(u) > 64]:  # long units are not kept
+            memo.pop(u, None)
 
     def decode(self, ids: str) -> bytes:
         """The bytes that decimal ids, joined by a space, stand for."""
@@ -249,8 +250,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         for b in _text.blocks(batches, text_col, REPLAY_BYTES):
             counts, ids_sha, decoded_sha, all_ids, all_decoded = [], [], [], [], []
             column = b.column(1)
-            for ids in bpe.encode_texts([x or "" for x in column.to_pylist()]):
-                decoded = bpe.decode(ids)
+            for ids, decoded in bpe.encode_texts([x or "" for x in column.to_pylist()]):
                 counts.append(ids.count(" ") + 1 if ids else 0)
                 ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
                 decoded_sha.append(hashlib.sha256(decoded).hexdigest())
