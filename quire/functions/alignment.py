@@ -12,8 +12,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-OPS = "array<struct<op:string,src:int,dst:int>>"
+OPS = T.ArrayType(T.StructType().add("op", T.StringType()).add("src", T.IntegerType()).add("dst", T.IntegerType()))
 
 
 def edit_operations(a: str, b: str) -> list[tuple[str, int, int]]:

@@ -61,7 +61,7 @@ def images(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("image").option("dropInvalid", False).option("pathGlobFilter", glob).load(path).select("image.*")
 
 
-@F.pandas_udf("struct<width:int,height:int>")
+@F.pandas_udf(T.StructType().add("width", T.IntegerType()).add("height", T.IntegerType()))
 def jpeg_size(content: pd.Series) -> pd.DataFrame:
     """Width and height from the first frame header of a JPEG; null where there is none."""
     # Frame headers are C0 to CF without C4, C8 and CC; D0 to D9 and 01 stand alone.
