@@ -16,7 +16,7 @@ from quire.llm.queries import TOKENIZER, table
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the language classifier rejects go. It learns from documents outside its held-out fifth."""
     model = langid.train(docs.where(docs["lang"].isNotNull() & (langid.in_fold() != 0)))
-    return langid.predict(docs, model, keep=docs.columns).where("not rejected").select(*docs.columns)
+    return langid.reject(docs, model)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -56,22 +56,22 @@ def line_support(components: DataFrame, page: str = "page_id", band: int = 64) -
 
 
 def text_scores(components: DataFrame, scale: DataFrame, page: str = "page_id") -> DataFrame:
-    """Adds text_score in 0..1; scale: page, H. Large components get 0."""
-    rows = components.drop("text_score").join(scale.select(page, "H"), page)
-    small = (F.col("h") <= 1.9 * F.col("H")) & (F.col("w") <= 3 * F.col("H")) & (F.col("area") <= 5 * F.col("H") * F.col("H"))
-    size = F.greatest(F.lit(6.0), 2 * F.col("H"))
-    own = rows.where(small).select(page, "label", "cx", "cy", "h", "w", "area", "H", F.explode(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda i: F.floor(F.col("cy") / size) + i)).alias("row"))
+    """Adds text_score in 0..1; scale: page, cap_height. Large components get 0."""
+    rows = components.drop("text_score").join(scale.select(page, "cap_height"), page)
+    small = (F.col("h") <= 1.9 * F.col("cap_height")) & (F.col("w") <= 3 * F.col("cap_height")) & (F.col("area") <= 5 * F.col("cap_height") * F.col("cap_height"))
+    size = F.greatest(F.lit(6.0), 2 * F.col("cap_height"))
+    own = rows.where(small).select(page, "label", "cx", "cy", "h", "w", "area", "cap_height", F.explode(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda i: F.floor(F.col("cy") / size) + i)).alias("row"))
     other = rows.where(small).select(page, F.col("label").alias("l2"), F.col("cx").alias("cx2"), F.col("cy").alias("cy2"), F.col("h").alias("h2"), F.floor(F.col("cy") / size).alias("row"))
     dx, dy = F.col("cx2") - F.col("cx"), F.abs(F.col("cy2") - F.col("cy"))
-    aligned = (dy <= 0.55 * F.col("H")) & (F.abs(F.col("h2") - F.col("h")) <= 0.8 * F.col("H"))
-    met = own.join(other, [page, "row"]).where((F.col("label") != F.col("l2")) & (F.abs(dx) <= 8 * F.col("H")))
-    counts = met.groupBy(page, "label").agg(F.count_if(aligned & (dx < 0)).alias("_l"), F.count_if(aligned & (dx > 0)).alias("_r"), F.count_if((dy <= 0.45 * F.col("H")) & (dx < 0)).alias("_ll"), F.count_if((dy <= 0.45 * F.col("H")) & (dx >= 0)).alias("_lr"), F.count_if(aligned).alias("_n"))
+    aligned = (dy <= 0.55 * F.col("cap_height")) & (F.abs(F.col("h2") - F.col("h")) <= 0.8 * F.col("cap_height"))
+    met = own.join(other, [page, "row"]).where((F.col("label") != F.col("l2")) & (F.abs(dx) <= 8 * F.col("cap_height")))
+    counts = met.groupBy(page, "label").agg(F.count_if(aligned & (dx < 0)).alias("_l"), F.count_if(aligned & (dx > 0)).alias("_r"), F.count_if((dy <= 0.45 * F.col("cap_height")) & (dx < 0)).alias("_ll"), F.count_if((dy <= 0.45 * F.col("cap_height")) & (dx >= 0)).alias("_lr"), F.count_if(aligned).alias("_n"))
     one = lambda x: F.least(F.lit(1.0), x)
-    tall, wide = F.col("h") / F.col("H"), F.col("w") / F.col("H")
+    tall, wide = F.col("h") / F.col("cap_height"), F.col("w") / F.col("cap_height")
     shape = F.when(tall.between(0.35, 1.45) & (wide <= 2.2), 1.0).when(tall.between(0.22, 1.7) & (wide <= 2.8), 0.55).otherwise(0.1)
     score = 0.28 * one(F.least("_l", "_r") / 2) + 0.30 * one(F.greatest("_l", "_r") / 3) + 0.17 * one(F.greatest("_ll", "_lr") / 4) + 0.10 * one(F.col("_n") / 5) + 0.15 * shape
     out = rows.join(counts, [page, "label"], "left").na.fill(0, ["_l", "_r", "_ll", "_lr", "_n"])
-    return out.withColumn("text_score", F.when(small, F.greatest(F.lit(0.0), one(score))).otherwise(0.0)).drop("_l", "_r", "_ll", "_lr", "_n", "H")
+    return out.withColumn("text_score", F.when(small, F.greatest(F.lit(0.0), one(score))).otherwise(0.0)).drop("_l", "_r", "_ll", "_lr", "_n", "cap_height")
 
 
 def height_mode(components: DataFrame, keys: list[str], height: str = "h", support: str | None = "line_support", least: int = 4) -> DataFrame:
@@ -96,29 +96,29 @@ def robust_z(df: DataFrame, keys: list[str], feature: str, baseline: str | None
 
 
 def seeds(components: DataFrame, scale: DataFrame, page: str = "page_id") -> DataFrame:
-    """Adds seed_score and is_seed; scale: page, H, S."""
-    rows = components.drop("seed_score").join(scale.select(page, "H", "S"), page)
+    """Adds seed_score and is_seed; scale: page, cap_height, stroke."""
+    rows = components.drop("seed_score").join(scale.select(page, "cap_height", "stroke"), page)
     size = F.greatest("w", "h")
-    features = {"f1": F.log(F.col("h") / F.col("H")), "f2": F.log(size / F.col("H")), "f3": F.log(F.col("area") / (F.col("H") * F.col("S")))}
+    features = {"f1": F.log(F.col("h") / F.col("cap_height")), "f2": F.log(size / F.col("cap_height")), "f3": F.log(F.col("area") / (F.col("cap_height") * F.col("stroke")))}
     rows = rows.withColumns({k: v for k, v in features.items()})
-    rows = rows.withColumn("_base", (F.col("text_score") >= 0.55) & (F.col("h") <= 1.6 * F.col("H")) & (F.col("w") <= 2.5 * F.col("H")))
+    rows = rows.withColumn("_base", (F.col("text_score") >= 0.55) & (F.col("h") <= 1.6 * F.col("cap_height")) & (F.col("w") <= 2.5 * F.col("cap_height")))
     for f in features:
         rows = robust_z(rows, [page], f, "_base").withColumnRenamed("z", f"z_{f}")
     rows = rows.withColumn("seed_score", F.coalesce(F.greatest("z_f1", "z_f2", "z_f3"), F.lit(0.0)))
     limit = rows.where("_base").groupBy(page).agg(F.greatest(F.lit(3.5), F.percentile("seed_score", F.lit(0.995)) + 0.5).alias("_t"))
-    large = (size >= 2.2 * F.col("H")) | (F.col("area") >= 7 * F.col("H") * F.col("S")) | (F.col("h") >= 1.7 * F.col("H"))
+    large = (size >= 2.2 * F.col("cap_height")) | (F.col("area") >= 7 * F.col("cap_height") * F.col("stroke")) | (F.col("h") >= 1.7 * F.col("cap_height"))
     out = rows.join(limit, page, "left").withColumn("is_seed", (F.col("seed_score") >= F.coalesce("_t", F.lit(3.5))) & (F.col("text_score") < 0.72) & large)
-    return out.drop("_base", "_t", "f1", "f2", "f3", "z_f1", "z_f2", "z_f3", "H", "S")
+    return out.drop("_base", "_t", "f1", "f2", "f3", "z_f1", "z_f2", "z_f3", "cap_height", "stroke")
 
 
 def directed_costs(edges: DataFrame, components: DataFrame, scale: DataFrame, text_penalty: float = 5.0, page: str = "page_id") -> DataFrame:
     """Both directions of every edge with the cost of stepping to ``dst``: geometry, the target's text score, a charge for specks."""
     both = edges.select(page, F.col("a").alias("src"), F.col("b").alias("dst"), "gap", "dx", "dy", "x_overlap_ratio", "y_overlap_ratio").unionByName(edges.select(page, F.col("b").alias("src"), F.col("a").alias("dst"), "gap", "dx", "dy", "x_overlap_ratio", "y_overlap_ratio"))
     target = components.select(page, F.col("label").alias("dst"), "area", "w", "h", "text_score")
-    j = both.join(target, [page, "dst"]).join(scale.select(page, "H", "S"), page)
+    j = both.join(target, [page, "dst"]).join(scale.select(page, "cap_height", "stroke"), page)
     axis = F.least(F.lit(1.0), F.greatest("x_overlap_ratio", "y_overlap_ratio"))
-    geometry = F.col("gap") / F.greatest("S", F.lit(1.0)) * F.when((F.col("dx") == 0) | (F.col("dy") == 0), 0.62).otherwise(1.0) * (1 - 0.3 * axis)
-    speck = F.when((F.col("area") < 0.35 * F.col("H") * F.col("S")) & (F.greatest("w", "h") < 1.2 * F.col("H")), 1.25).otherwise(0.0)
+    geometry = F.col("gap") / F.greatest("stroke", F.lit(1.0)) * F.when((F.col("dx") == 0) | (F.col("dy") == 0), 0.62).otherwise(1.0) * (1 - 0.3 * axis)
+    speck = F.when((F.col("area") < 0.35 * F.col("cap_height") * F.col("stroke")) & (F.greatest("w", "h") < 1.2 * F.col("cap_height")), 1.25).otherwise(0.0)
     return j.select(page, "src", "dst", (0.38 * geometry + text_penalty * F.col("text_score") + speck).alias("cost"))
 
 
@@ -153,9 +153,9 @@ def region_links(owned: DataFrame, edges: DataFrame, regions: DataFrame, scale:
     """Pairs of regions joined by edges: least gap, best axis overlap, close edges (0.75 H and less), area ratio."""
     of = owned.select(page, F.col("node").alias("a"), F.col("owner").alias("ra"))
     ob = owned.select(page, F.col("node").alias("b"), F.col("owner").alias("rb"))
-    j = edges.join(of, [page, "a"]).join(ob, [page, "b"]).where("ra <> rb").join(scale.select(page, "H"), page)
+    j = edges.join(of, [page, "a"]).join(ob, [page, "b"]).where("ra <> rb").join(scale.select(page, "cap_height"), page)
     axis = F.greatest("x_overlap_ratio", "y_overlap_ratio")
-    pairs = j.groupBy(page, F.least("ra", "rb").alias("r1"), F.greatest("ra", "rb").alias("r2"), "H").agg(F.min("gap").alias("gap"), F.max(axis).alias("axis"), F.count_if(F.col("gap") <= 0.75 * F.col("H")).alias("close"))
+    pairs = j.groupBy(page, F.least("ra", "rb").alias("r1"), F.greatest("ra", "rb").alias("r2"), "cap_height").agg(F.min("gap").alias("gap"), F.max(axis).alias("axis"), F.count_if(F.col("gap") <= 0.75 * F.col("cap_height")).alias("close"))
     one, two = (regions.select(page, F.col("owner").alias(r), F.col("area").alias(f"area_{r}")) for r in ("r1", "r2"))
     out = pairs.join(one, [page, "r1"]).join(two, [page, "r2"])
     return out.withColumn("area_ratio", F.least("area_r1", "area_r2") / F.greatest(F.lit(1), F.greatest("area_r1", "area_r2"))).drop("area_r1", "area_r2")
@@ -181,7 +181,7 @@ def agglomerate(links: DataFrame, regions: DataFrame, page: str = "page_id") ->
         family = {r: r for r in nodes["owner"]}
         areas = dict(zip(nodes["owner"], nodes["area"], strict=True))
         evidence = {(r.r1, r.r2): (r.gap, r.axis, r.close) for r in pairs.itertuples()}
-        H = float(pairs["H"].iloc[0]) if len(pairs) else 1.0
+        H = float(pairs["cap_height"].iloc[0]) if len(pairs) else 1.0
         while True:
             ready = []
             for (a, b), (gap, axis, close) in evidence.items():
@@ -207,29 +207,29 @@ def agglomerate(links: DataFrame, regions: DataFrame, page: str = "page_id") ->
 
 
 def accepted(regions: DataFrame, scale: DataFrame, pages: DataFrame, page: str = "page_id") -> DataFrame:
-    """Regions that are no edge columns, slivers, text or specks, numbered from the top; scale: page, H; pages: page, width, height."""
-    j = regions.join(scale.select(page, "H"), page).join(pages.select(page, "width", "height"), page)
+    """Regions that are no edge columns, slivers, text or specks, numbered from the top; scale: page, cap_height; pages: page, width, height."""
+    j = regions.join(scale.select(page, "cap_height"), page).join(pages.select(page, "width", "height"), page)
     w, h = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     short, long = F.least(w, h), F.greatest(w, h)
     edge = (F.col("x1") <= 2) | (F.col("y1") <= 2) | (F.col("x2") >= F.col("width") - 2) | (F.col("y2") >= F.col("height") - 2)
-    H = F.col("H")
+    H = F.col("cap_height")
     bad = (edge & (short <= 3 * H) & (long >= 8 * H)) | (edge & (short <= 0.22 * H) & (long >= 4 * H)) | (F.col("text_area_fraction") >= 0.52) | ~((F.col("area") >= 2.5 * H * H) | (long >= 5 * H))
     order = Window.partitionBy(page).orderBy("y1", "x1", "owner")
-    return j.where(~bad).withColumn("asset_index", F.row_number().over(order)).drop("H", "width", "height")
+    return j.where(~bad).withColumn("asset_index", F.row_number().over(order)).drop("cap_height", "width", "height")
 
 
 def support_costs(edges: DataFrame, components: DataFrame, scale: DataFrame, text_penalty: float = 5.8, page: str = "page_id") -> DataFrame:
     """Costs of the second growth, from core components to what may be drawn with them."""
     both = edges.select(page, F.col("a").alias("src"), F.col("b").alias("dst"), "gap", "x_overlap_ratio", "y_overlap_ratio").unionByName(edges.select(page, F.col("b").alias("src"), F.col("a").alias("dst"), "gap", "x_overlap_ratio", "y_overlap_ratio"))
-    j = both.join(components.select(page, F.col("label").alias("dst"), "area", "w", "h", "text_score"), [page, "dst"]).join(scale.select(page, "H", "S"), page)
+    j = both.join(components.select(page, F.col("label").alias("dst"), "area", "w", "h", "text_score"), [page, "dst"]).join(scale.select(page, "cap_height", "stroke"), page)
     axis = F.least(F.lit(1.0), F.greatest("x_overlap_ratio", "y_overlap_ratio"))
-    speck = F.when((F.col("area") < 0.25 * F.col("H") * F.col("S")) & (F.greatest("w", "h") < F.col("H")), 0.6).otherwise(0.0)
-    return j.select(page, "src", "dst", (0.42 * F.col("gap") / F.greatest("S", F.lit(1.0)) * (1 - 0.35 * axis) + text_penalty * F.col("text_score") + speck).alias("cost"))
+    speck = F.when((F.col("area") < 0.25 * F.col("cap_height") * F.col("stroke")) & (F.greatest("w", "h") < F.col("cap_height")), 0.6).otherwise(0.0)
+    return j.select(page, "src", "dst", (0.42 * F.col("gap") / F.greatest("stroke", F.lit(1.0)) * (1 - 0.35 * axis) + text_penalty * F.col("text_score") + speck).alias("cost"))
 
 
 def core(components: DataFrame, scale: DataFrame, page: str = "page_id") -> DataFrame:
     """Components from which support grows: seeds, large ones with little text, high scores with less."""
-    j = components.join(scale.select(page, "H", "S"), page)
-    large = (F.greatest("w", "h") >= 2.2 * F.col("H")) | (F.col("area") >= 7 * F.col("H") * F.col("S"))
+    j = components.join(scale.select(page, "cap_height", "stroke"), page)
+    large = (F.greatest("w", "h") >= 2.2 * F.col("cap_height")) | (F.col("area") >= 7 * F.col("cap_height") * F.col("stroke"))
     keep = F.col("is_seed") | (large & (F.col("text_score") <= 0.58)) | ((F.col("seed_score") >= 3.5) & (F.col("text_score") <= 0.48))
     return j.where(keep).select(page, "label")

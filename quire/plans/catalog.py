@@ -50,9 +50,9 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-# --- scoring: pages are stretches of up to 400 characters of a document's lines, other than ASCII folded to "~"
+# --- scoring: pages are stretches of up to 120 characters of a document's lines, other than ASCII folded to "~"
 
-_PIECE = r"[^\n]{1,400}"
+_PIECE = r"[^\n]{1,120}"
 _PAGES = f"""
 pages AS (SELECT doc_id, unnest(regexp_extract_all(regexp_replace(text, '[^\\x00-\\x7F]', '~', 'g'), '{_PIECE}')) AS gt FROM documents),
 preds AS (SELECT doc_id, 'alpha' AS engine, gt, translate(gt, 'el', 'ci') AS pred FROM pages

@@ -51,7 +51,7 @@ def ocr_pages(spark: SparkSession, root: str) -> DataFrame:
     """(engine, page_id, text) from {root}/{engine}/{page_id}.txt; an empty file is an empty text."""
     name = lambda c: (F.regexp_extract(c, r"([^/]+)/[^/]+$", 1).alias("engine"), F.regexp_extract(c, r"([^/]+)\.txt$", 1).alias("page_id"))
     there = listed_files(spark, root, "*/*.txt").select(*name(F.col("path")))
-    texts = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(root).select(*name(F.col("_metadata.file_path")), F.col("value").alias("text"))
+    texts = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt").select(*name(F.col("_metadata.file_path")), F.col("value").alias("text"))
     return there.join(texts, ["engine", "page_id"], "left").select("engine", "page_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
