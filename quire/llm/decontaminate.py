@@ -182,9 +182,11 @@ def merge_spans(spans):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_items: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns kept, without those in which windows of ``min_items`` items or more occur."""
-    found = find_hits(docs, benchmark, width, id_col, text_col, keep=[c for c in docs.columns if c != id_col], with_offsets=False)
-    return found.where(F.size("items") < min_items).select(*docs.columns)
+    """The documents, all columns kept whatever their names, without those in which windows of ``min_items`` items or more occur."""
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    own, text = (f"_c{docs.columns.index(c)}" for c in (id_col, text_col))
+    found = find_hits(plain, benchmark, width, own, text, keep=[c for c in plain.columns if c != own], with_offsets=False)
+    return found.where(F.size("items") < min_items).select(*plain.columns).toDF(*docs.columns)
 
 
 def digest(items: list[str]) -> str:

@@ -372,9 +372,9 @@ def drop_near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     repeat an id with one text the first; rows with a null id stay."""
     found = _shared.materialize(near_components(docs, width, percent, id_col, text_col), "components")
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, id_col, "left_anti")
+    kept = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, id_col, "left_anti").select(*docs.columns)
     repeated = _shared.materialize(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(id_col)), "repeated")
     if repeated.isEmpty():
-        return kept.select(*docs.columns)
-    once = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col, text_col])
-    return kept.join(repeated, id_col, "left_anti").unionByName(once).select(*docs.columns)
+        return kept
+    once = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col, text_col]).select(*docs.columns)
+    return kept.join(repeated, id_col, "left_anti").select(*docs.columns).unionByName(once)

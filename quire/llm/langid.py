@@ -204,6 +204,13 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
     return chosen.mapInArrow(run, schema)
 
 
+def reject(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The documents, all columns kept whatever their names, without those that the model rejects."""
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    found = predict(plain, model, f"_c{docs.columns.index(text_col)}", keep=plain.columns)
+    return found.where(~F.col("rejected")).select(*plain.columns).toDF(*docs.columns)
+
+
 def in_fold(key: str = "doc_id", folds: int = 5) -> Column:
     """crc32 of the key's text, modulo ``folds``."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % folds

@@ -199,11 +199,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
 
 
 def redact(docs: DataFrame, text_col: str = "text", path_col: str | None = "source", mark: str = "<secret>", length_col: str | None = "n_chars", id_col: str = "doc_id") -> DataFrame:
-    """The documents, all columns kept, with every secret in the text replaced by ``mark`` (longer ones first) and the length renewed."""
-    found = scan(docs, id_col, text_col, path_col, keep=list(docs.columns))
+    """The documents, all columns kept whatever their names, with every secret in the text replaced by ``mark`` (longer ones first) and the length renewed."""
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    name = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    text = name[text_col]
+    found = scan(plain, name[id_col], text, name.get(path_col), keep=plain.columns)
     longest = F.expr("array_sort(array_distinct(secrets), (a, b) -> CASE WHEN length(a) > length(b) THEN -1 WHEN length(a) < length(b) THEN 1 WHEN a < b THEN -1 WHEN a > b THEN 1 ELSE 0 END)")
-    clean = F.when(F.size("secrets") > 0, F.aggregate(longest, F.col(text_col), lambda t, s: F.replace(t, s, F.lit(mark)))).otherwise(F.col(text_col))
-    out = found.withColumn(text_col, clean)
-    if length_col in docs.columns:
-        out = out.withColumn(length_col, F.when(F.size("secrets") > 0, F.length(text_col).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col)))
-    return out.select(*docs.columns)
+    clean = F.when(F.size("secrets") > 0, F.aggregate(longest, F.col(text), lambda t, s: F.replace(t, s, F.lit(mark)))).otherwise(F.col(text))
+    out = found.withColumn("_clean", clean)
+    fresh = {text: F.col("_clean")}
+    if length_col in name:
+        length = name[length_col]
+        fresh[length] = F.when(F.size("secrets") > 0, F.length("_clean").cast(docs.schema[length_col].dataType)).otherwise(F.col(length))
+    return out.select(*[fresh.get(c, F.col(c)).alias(c) for c in plain.columns]).toDF(*docs.columns)
