@@ -10,7 +10,7 @@ The items are gathered on the driver in blocks of at most ``block_bytes`` of win
 what a worker builds is bounded however large the benchmark grows; with several blocks each text is
 scanned once a block and the spans are merged by native aggregation.
 
-Defined results: a null or empty text has no words and no hits; null item texts have no windows;
+Defined results: a null or empty text has no words and no hits; null item texts have no windows, a null item id is the empty one;
 every row yields one row, repeated rows included; several items may share a window; an empty
 benchmark hits nothing; extra columns are not read.
 """
@@ -114,7 +114,7 @@ _BUILT: dict[str, ahocorasick.Automaton] = {}
 def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = 8, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None, with_offsets: bool = True, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row a document: id, ``keep`` columns, n_words, n_hit, spans (of words), items, and char_spans with ``with_offsets``."""
     spark = docs.sparkSession
-    items = benchmark.where(F.col(item_text_col).isNotNull()).select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("item_text"))
+    items = benchmark.where(F.col(item_text_col).isNotNull()).select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text_col).alias("item_text"))
     weight = items.agg(F.sum(F.octet_length("item_text") * F.lit(width + 1))).first()[0] or 0
     count = int(-(-weight // block_bytes)) or 1
     keep = [c for c in keep or [] if c != id_col]
