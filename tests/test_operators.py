@@ -182,3 +182,52 @@ def test_census(spark):
     rows = {r["id"]: (r["flags"], r["review_score"]) for r in census.census(probe, texts).collect()}
     assert rows["a"] == (["UNCAPTIONED_ASSETS_REVIEW", "EDGE_RULE_ARTIFACT_RISK", "PROVENANCE_MARK_FALSE_POSITIVE_RISK"], 3 + 4 + 6)
     assert rows["b"] == (["CAPTIONED_FIGURE_MISSED"], 12)
+
+
+def test_masks():
+    ring = np.zeros((80, 80), bool)
+    ring[10:70, 10:14] = ring[10:70, 66:70] = ring[10:14, 10:70] = ring[66:70, 10:70] = True
+    gap = ring.copy()
+    gap[10:14, 38:42] = False
+    hard, alpha, scale = images.territory(gap, 4.0)
+    assert scale is not None and hard[40, 40] and alpha[40, 40] == 255 and alpha[0, 0] == 0
+    u = ring.copy()
+    u[10:14, 18:62] = False  # an open U stays open
+    hard, _, scale = images.territory(u, 4.0)
+    assert scale is None and not hard[40, 40]
+    away = images.distance_to(ring)
+    assert away[40, 40] == 26 and away[0, 10] == 10
+    page = np.full((80, 100), 250, np.uint8)
+    page[40:42, 10:40], page[40:42, 40:70], page[10:20, 80:90] = 20, 180, 180
+    strong = page == 20
+    found = images.recover_weak(page, np.full_like(page, 250), strong, (0, 0, 100, 80), 2.0, threshold=0.2)
+    assert found[41, 60] and not found[15, 85]
+    labels, _ = images.label(page < 240)
+    boxes = {r[0]: r[3:6] for r in images.component_rows(labels, labels.max())}
+    core = {int(labels[41, 20])}
+    kept, gone = images.prune_isolated(page < 240, labels, core, boxes, 10.0)
+    assert gone == [int(labels[15, 85])] and not kept[15, 85] and kept[41, 20]
+    rgba = images.sticker(page, np.full_like(page, 250), images.largest_cluster(images.without_small(page < 240, 5), 3))
+    cut, box = images.trim(rgba)
+    assert images.rgba_problem(rgba) is None and box[1] > 25 and cut.shape[2] == 4
+    assert not images.erase(page < 240, (0, 0, 100, 80), [(80, 10, 90, 20)])[15, 85]
+
+
+def test_resumed_runs(spark):
+    from quire.functions.store import materialize
+    from quire.operators import run
+
+    inputs = spark.createDataFrame([("m", f"s{i}", f"p{i}") for i in range(6)] + [("bad", "s0", "p")], "model string, sample_id string, path string")
+    before = spark.createDataFrame([("m", "s0", "old", 1.0)], "model string, sample_id string, prediction string, seconds double")
+
+    def call(model, pages):
+        if model == "bad":
+            raise run.LoadError("no such model")
+        if len(pages) > 1 and any(s == "s3" for s, _ in pages):
+            return {s: p for s, p in pages if s != "s3"}  # lost within a batch, found alone
+        return dict(pages)
+
+    done, incidents, account = run.run_resumed(inputs.coalesce(1), before, call, materialize)
+    assert {(r["model"], r["sample_id"]): r["prediction"] for r in done.collect()} == {("m", "s0"): "old"} | {("m", f"s{i}"): f"p{i}" for i in range(1, 6)}
+    assert {(r["model"], r["sample_id"]): r["incident"] for r in incidents.collect()} == {("m", "s3"): "no output", ("bad", "s0"): "no such model"}
+    assert tuple(account.first()) == (7, 1, 5, 6, 1)
