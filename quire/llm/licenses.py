@@ -3,7 +3,7 @@
 A text is cut into sentences, each is normalised and mapped to the identifier of a known licence
 sentence, and the sequence of identifiers is matched against ordered licence rules: a rule is met where
 its sentences occur in its order, others between them or not. Two views of a text are
-matched: its lines, and its lines joined (wrapped licence texts). Everything is one projection of SQL
+matched: its lines, and the lines of its paragraphs joined (wrapped licence texts). Everything is one projection of SQL
 functions, without a shuffle, and the same expressions are the DuckDB oracle.
 
 Defined results: a null, empty or licence-free text has no sentences and no licences; licences are
@@ -97,7 +97,8 @@ def ids_sql(text: str, view: str, duck: bool = False) -> str:
     line = q("\n") if not duck else "chr(10)"
     text = f"coalesce({text}, '')"
     if view == "joined":
-        text = f"regexp_replace({text}, {q('[ \\t]*\\r?\\n[ \\t*#/]*')}, ' '{g})"
+        paragraphs = f"regexp_replace({text}, {q('\\n[ \\t\\r]*\\n[ \\t\\r\\n]*')}, chr(1){g})"
+        text = f"replace(regexp_replace({paragraphs}, {q('[ \\t]*\\r?\\n[ \\t*#/]*')}, ' '{g}), chr(1), chr(10))"
     cut = f"regexp_replace(regexp_replace({text}, {q('([.!?;])[ \\t]')}, concat({q(one)}, {line}){g}), {q(BEGINS)}, concat({line}, {q(one)}){g})"
     normal = lambda s: f"trim(regexp_replace(regexp_replace(lower({s}), {q('[^a-z0-9.+]+')}, ' '{g}), {q('[. ]+$|^[. ]+')}, ''{g}))"
     table = known_sentences()

@@ -313,7 +313,7 @@ def test_kneser_ney(spark, docs):
         assert math.isclose(r["base_score"], base, rel_tol=1e-9) and math.isclose(r["score"], own, rel_tol=1e-9)
         gain += (own - base) * r["held_out"]
     assert gain > 0
-    for a in (b"the", b" ", None):
+    for a in (b"the", b" "):  # the end is no context
         assert math.isclose(sum(p(a, w) for w in count) + p(a, b"never seen"), 1, rel_tol=1e-9)
 
 
@@ -391,5 +391,5 @@ def test_pipeline(spark, docs, odd, empty):
     for r in kept["byte_bpe"][1]:
         assert len(r["ids"]) == r["n_tokens"]
     rows = corpus_pipeline.run(spark, odd).collect()
-    assert 1 in {r["doc_id"] for r in rows} and not {9, 3, 5} & {r["doc_id"] for r in rows}
+    assert {r["doc_id"] for r in rows} == {None, 4, 6, 10}  # no letters: 2, 3, 5, 7; copies: 8, 9; two items: 1
     assert corpus_pipeline.run(spark, empty).count() == 0
