@@ -34,8 +34,12 @@ def words(c: Column) -> Column:
 
 
 def char_distance(a: Column, b: Column) -> Column:
-    """Unit-cost edits between two texts, by code points."""
-    return F.levenshtein(a, b)
+    """Unit-cost edits between two texts, by code points.
+
+    A band of an eighth of the text is tried first, as most predictions are near; where the distance is beyond it, the whole table is computed.
+    """
+    band = F.greatest(F.lit(16), (F.length(a) / 8).cast("int"))
+    return F.coalesce(F.nullif(F.call_function("levenshtein", a, b, band), F.lit(-1)), F.levenshtein(a, b))
 
 
 def word_distance(a: Column, b: Column) -> Column:
@@ -50,7 +54,7 @@ def word_distance(a: Column, b: Column) -> Column:
         one = F.transform(x, lambda w: F.lpad(F.hex(F.array_position(distinct, w) + 255), 4, "0"))
         return F.decode(F.unhex(F.array_join(one, "")), "UTF-16BE")
 
-    return F.when(F.size(distinct) < 0xD7FF - 256, F.levenshtein(coded(a), coded(b)))
+    return F.when(F.size(distinct) < 0xD7FF - 256, char_distance(coded(a), coded(b)))
 
 
 def error_rate(distance: Column, size: Column) -> Column:

@@ -42,7 +42,8 @@ def score_text(df: DataFrame, gt: str = "gt", pred: str = "pred", with_words: bo
     out = out.withColumn("gt_content", X.content_normalize(F.col("gt_strict"))).withColumn("pred_content", X.content_normalize(F.col("pred_strict")))
     out = out.withColumn("gt_chars_strict", F.length("gt_strict").cast("long")).withColumn("gt_chars_content", F.length("gt_content").cast("long"))
     out = out.withColumn("strict_edit_distance", X.char_distance(F.col("gt_strict"), F.col("pred_strict")).cast("long"))
-    out = out.withColumn("content_edit_distance", X.char_distance(F.col("gt_content"), F.col("pred_content")).cast("long"))
+    same = (F.col("gt_content") == F.col("gt_strict")) & (F.col("pred_content") == F.col("pred_strict"))
+    out = out.withColumn("content_edit_distance", F.when(same, F.col("strict_edit_distance")).otherwise(X.char_distance(F.col("gt_content"), F.col("pred_content")).cast("long")))
     if with_words:
         out = out.withColumn("_gw", X.words(F.col("gt_content"))).withColumn("_pw", X.words(F.col("pred_content")))
         out = out.withColumn("gt_words", F.size("_gw").cast("long")).withColumn("word_edit_distance", X.word_distance(F.col("_gw"), F.col("_pw")).cast("long")).drop("_gw", "_pw")
