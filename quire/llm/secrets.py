@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 #: Groups: word before, separator, candidate. The separator holds no key character.
 PATTERN = r"""(?:([A-Za-z_]{1,32})(["']?[ \t]{0,3}[=:][ \t]{0,3}["']?|[ \t\n"'(]{1,3}))?([A-Za-z0-9+/_-]{16,}={0,2})"""
+#: The candidate alone.
+RUN = r"[A-Za-z0-9+/_-]{16,}={0,2}"
 BLOCK = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
 # Words of keys, of names and placeholders, and of other long runs.
 DICTIONARY = "example|sample|test|dummy|your|here|change|password|secret|token|key|user|name|value|index|page|file|image|class|function|string|object|default|config|service|account|version|http|www|com|html|the|and|ing|tion|for|with"
@@ -177,9 +179,12 @@ def findings_sql(text: str, path: str, forest: list[object], duck: bool = False,
         scored = "list_transform(cand, lambda x: {'c': x.c, " + ", ".join(f"'{k}': {v}" for k, v in f.items()) + "})"
         secrets = f"list_transform(list_filter(scored, lambda x: {forest_sql(forest, 'x')} >= {threshold}), lambda x: x.c)"
         return {"cand": cand, "scored": scored, "secrets": secrets}
-    q = "'" + PATTERN.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    arrays = [f"regexp_extract_all({text}, {q}, {k})" for k in (1, 2, 3)]
-    cand = f"filter(zip_with(zip_with({arrays[0]}, {arrays[1]}, (word, gap) -> named_struct('word', coalesce(word, ''), 'gap', coalesce(gap, ''))), {arrays[2]}, (x, c) -> named_struct('word', x.word, 'gap', x.gap, 'c', c)), x -> x.c RLIKE '[0-9]')"
+    q = lambda p: "'" + p.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    # the plain run first: the pattern with the word before is tried only on texts that hold a run with a digit
+    some = f"CASE WHEN exists(regexp_extract_all({text}, {q(RUN)}, 0), x -> x RLIKE '[0-9]') THEN {text} ELSE '' END"
+    part = lambda k: f"coalesce(regexp_extract(m, {q('^' + PATTERN + '$')}, {k}), '')"
+    found = f"filter(regexp_extract_all({some}, {q(PATTERN)}, 0), m -> {part(3)} RLIKE '[0-9]')"
+    cand = f"transform({found}, m -> named_struct('word', {part(1)}, 'gap', {part(2)}, 'c', {part(3)}))"
     f = features_sql("x.c", "x.word", "x.gap", path)
     scored = "transform(cand, x -> named_struct('c', x.c, " + ", ".join(f"'{k}', {v}" for k, v in f.items()) + "))"
     secrets = f"transform(filter(scored, x -> {forest_sql(forest, 'x')} >= {threshold}), x -> x.c)"
@@ -194,7 +199,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
     sql = findings_sql("coalesce(_quire_text, '')", "_quire_path", train_forest(findings), threshold=threshold)
     for name in ("cand", "scored", "secrets"):
         rows = rows.withColumn(f"_quire_{name}", F.expr(sql[name].replace("transform(cand,", "transform(_quire_cand,").replace("filter(scored,", "filter(_quire_scored,")))
-    blocks = F.regexp_extract_all(F.coalesce("_quire_text", F.lit("")), F.lit(BLOCK), F.lit(0))
+    marked = F.when(F.contains("_quire_text", F.lit("-----BEGIN")), F.col("_quire_text")).otherwise(F.lit(""))
+    blocks = F.regexp_extract_all(marked, F.lit(BLOCK), F.lit(0))
     return rows.select(id_col, *keep, F.size("_quire_cand").cast("long").alias("n_candidates"), F.concat("_quire_secrets", blocks).alias("secrets"))
 
 
