@@ -344,6 +344,8 @@ BROADCAST_ROWS = 500_000
 
 def near_components(docs: DataFrame, width: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a row of docs: doc_id, n_shingles, component_id (smallest doc_id that links reach, itself included)."""
+    if not 50 <= percent <= 100 or width < 1:
+        raise ValueError("the threshold is 50 to 100 percent, as signatures are compared at one or two widths")
     spark = docs.sparkSession
     found = _shared.materialize(classes(docs, width, id_col, text_col), "classes")
     totals = found.agg(F.sum("n_shingles").alias("grams"), F.count("*").alias("rows")).first()
