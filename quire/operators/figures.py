@@ -70,7 +70,7 @@ def placements(figures: DataFrame, logical: DataFrame, manual: DataFrame, overri
     key = F.coalesce("label", "id")
     ma = manual.select(key.alias("_key"), F.col("page_id").alias("m_page"), G.shift(F.col("base_bbox"), F.coalesce("trim_x", F.lit(0)), F.coalesce("trim_y", F.lit(0))).alias("m_box"))
     ov = overrides.select("label", F.col("page_id").alias("o_page"), F.col("asset_bbox").alias("o_box"))
-    j = figures.withColumn("_key", key).join(lo, "label", "left").join(ma, "_key", "left").join(F.broadcast(ov), "label", "left")
+    j = figures.withColumn("_key", key).join(lo, "label", "left").join(ma, "_key", "left").join(ov, "label", "left")
     category = F.col("source_category")
 
     def pick(o: str, lg: str, m: str, own: str):
