@@ -33,9 +33,9 @@ NONE = 1 << 30
 #: Ranks whose positions are indexed at a time.
 WINDOW = 1024
 #: Units and pieces that a worker keeps between blocks, about 350 bytes each; beyond that it starts anew.
-MEMO = 700_000
+MEMO = 400_000
 #: Bytes of text whose distinct units are replayed together.
-REPLAY_BYTES = 12 << 20
+REPLAY_BYTES = 4 << 20
 # Runs of blanks, blanks other than space and line feed, and the mark between units.
 _ODD_BLANKS = ("  ", " \n", "\n ", "\n\n", "\0", *"\t\x0b\x0c\r\x1c\x1d\x1e\x1f")
 _WIDE_BLANKS = tuple(chr(c) for c in range(0x80, 0x3001) if chr(c).isspace())
