@@ -25,7 +25,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which windows of two benchmark items or more occur go."""
+    """Documents in which windows of two benchmark items or more occur go; the windows of a single item are cut from the text."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 

@@ -181,12 +181,25 @@ def merge_spans(spans):
     return F.aggregate(F.array_sort(spans), empty, step)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_items: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns kept whatever their names, without those in which windows of ``min_items`` items or more occur."""
+def cut(text: str, spans: str):
+    """The text of a column without its spans of characters, a space in the place of each."""
+    before, after = f"CASE WHEN i = 0 THEN 0 ELSE {spans}[i - 1].last END", f"CASE WHEN i = size({spans}) THEN length({text}) ELSE {spans}[i].first END"
+    return F.expr(f"array_join(transform(sequence(0, size({spans})), i -> substring({text}, cast({before} + 1 as int), cast(({after}) - ({before}) as int))), ' ')")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_items: int = 2, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
+    """The documents, all columns kept whatever their names, without those in which windows of ``min_items`` items or more occur. From the others every window that occurs is cut out and the length renewed."""
     plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
-    own, text = (f"_c{docs.columns.index(c)}" for c in (id_col, text_col))
-    found = find_hits(plain, benchmark, width, own, text, keep=[c for c in plain.columns if c != own], with_offsets=False)
-    return found.where(F.size("items") < min_items).select(*plain.columns).toDF(*docs.columns)
+    name = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    own, text = name[id_col], name[text_col]
+    found = find_hits(plain, benchmark, width, own, text, keep=[c for c in plain.columns if c != own])
+    hit = F.size("char_spans") > 0
+    out = found.where(F.size("items") < min_items).withColumn("_clean", F.when(hit, cut(text, "char_spans")).otherwise(F.col(text)))
+    fresh = {text: F.col("_clean")}
+    if length_col in name:
+        length = name[length_col]
+        fresh[length] = F.when(hit, F.length("_clean").cast(docs.schema[length_col].dataType)).otherwise(F.col(length))
+    return out.select(*[fresh.get(c, F.col(c)).alias(c) for c in plain.columns]).toDF(*docs.columns)
 
 
 def digest(items: list[str]) -> str:

@@ -136,6 +136,32 @@ def test_contamination_blocks_and_offsets(spark):
             assert sum(len(text[s["first"] : s["last"]].replace("-", " ").split()) for s in r["char_spans"]) == len(hit)
 
 
+def test_a_single_whole_item_is_cut(spark):
+    item = "é one two three, four five six; seven eight nine ten"
+    other = "alpha beta gamma delta epsilon zeta eta theta iota"
+    rows = [(1, f"Voilà é: before it.\n{item.upper().replace('É', 'é')} - after.", 3), (2, "nothing of it", 13), (3, f"{item} {other}", 5), (4, None, None), (5, f"{item}. x {item}", 1), (6, "one two three four five six seven eight", 7), (7, "one two three four five six seven", 33)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    bench = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
+    texts = {1: "Voilà é: before it.\n  - after.", 2: "nothing of it", 4: None, 5: " . x  ", 6: " ", 7: rows[6][1]}
+    for out in (decontaminate.decontaminate(docs, bench), decontaminate.decontaminate(docs.repartition(3), bench, min_items=2)):
+        got = {r["doc_id"]: r for r in out.collect()}
+        assert {i: " ".join(r["text"].split()) if r["text"] else None for i, r in got.items()} == {i: " ".join(t.split()) if t else None for i, t in texts.items()}
+        assert {i: r["n_chars"] for i, r in got.items()} == {i: None if r["text"] is None else len(r["text"]) for i, r in got.items()}
+        assert all(not any(w in f" {' '.join((r['text'] or '').translate(LOW).split())} " for w in decontaminate.windows_of(item, 8)) for r in got.values())
+
+
+def test_pipeline_leaves_no_planted_passage(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    flat = lambda t: " " + b" ".join(decontaminate.normalise(t).split()).decode("latin-1") + " "
+    whole = lambda rows: [r["doc_id"] for r in rows if any(flat(t) in flat(r["text"]) for t in items.values())]
+    assert whole(docs.collect())
+    after = corpus_pipeline.decontamination(spark, docs, SF).collect()
+    assert not whole(after) and all(r["n_chars"] == len(r["text"]) for r in after if r["text"] is not None)
+
+
 # --- 3
 
 def test_language_id(spark, docs):
