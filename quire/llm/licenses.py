@@ -4,7 +4,7 @@ A text is cut into sentences, each is normalised and mapped to the identifier of
 sentence, and the sequence of identifiers is matched against ordered licence rules: a rule is met where
 its sentences occur in its order, others between them or not. Two views of a text are
 matched: its lines, and the lines of its paragraphs joined (wrapped licence texts). Everything is one projection of SQL
-functions, without a shuffle, and the same expressions are the DuckDB oracle.
+functions, without a shuffle, and the same expressions are the DuckDB oracle, but for its narrower filter (MARKS) and leads.
 
 Defined results: a null, empty or licence-free text has no sentences and no licences; licences are
 returned once each, in the order of their names; repeated rows and repeated sentences change nothing
@@ -13,6 +13,8 @@ but their own rows and counts; extra columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,8 @@ NAMES = {
 }
 # How notices begin.
 LEADS = ["licensed under", "released under", "distributed under", "available under", "this work is licensed under", "this file is licensed under", "this software is licensed under", "this project is licensed under", "this code is licensed under", "this work is released under", "this software is released under"]
+#: The other beginnings that BEGINS cuts; the DuckDB oracle is held without them.
+MORE_LEADS = ["this file is released under", "this project is released under", "this code is released under"]
 # Sentences of licence texts, normalised, and their identifiers.
 SENTENCES = {
     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit-grant",
@@ -70,20 +74,31 @@ RULES = {
 }
 #: A licence whose rule is met as well is not named when the stronger one is.
 IMPLIED = {"BSD-2-Clause": "BSD-3-Clause"}
+#: The DuckDB oracle's filter; it passes over sentences of other words. The scan takes marks().
 MARKS = "(?i)licen[cs]|copyright|spdx|permission|redistribut|unencumbered|free software"
 BEGINS = "(?i)((?:this (?:work|file|software|project|code) is (?:licensed|released))|(?:(?:licensed|released|distributed|available) under)|spdx-license-identifier)"
 
 
-def known_sentences() -> dict[str, str]:
+def known_sentences(leads: list[str]) -> dict[str, str]:
     """Every normalised sentence and its identifier; a notice's is its licence's."""
     out = dict(SENTENCES)
     for licence, names in NAMES.items():
         for name in names:
-            out |= {f"{lead} {name}": f"notice:{licence}" for lead in LEADS}
+            out |= {f"{lead} {name}": f"notice:{licence}" for lead in leads}
         out[f"spdx license identifier {licence.lower().replace('-', ' ')}"] = f"notice:{licence}"
     return out
 
 
+def marks() -> list[str]:
+    """A few words of which every known sentence holds one: as a separator ends a word, a text without any of them has no sentence."""
+    left, out = [set(s.split()) for s in known_sentences(LEADS + MORE_LEADS)], []
+    while left:
+        counts = Counter(w for s in left for w in s if len(w) >= 6 or w == "spdx")
+        out.append(max(counts, key=lambda w: (counts[w], len(w), w)))
+        left = [s for s in left if out[-1] not in s]
+    return out
+
+
 def _rules() -> list[tuple[str, list[str]]]:
     found = [(licence, [f"notice:{licence}"]) for licence in NAMES]
     return sorted(found + [(licence, rule) for licence, rules in RULES.items() for rule in rules])
@@ -101,7 +116,7 @@ def ids_sql(text: str, view: str, duck: bool = False) -> str:
         text = f"replace(regexp_replace({paragraphs}, {q('[ \\t]*\\r?\\n[ \\t*#/]*')}, ' '{g}), chr(1), chr(10))"
     cut = f"regexp_replace(regexp_replace({text}, {q('([.!?;])[ \\t]')}, concat({q(one)}, {line}){g}), {q(BEGINS)}, concat({line}, {q(one)}){g})"
     normal = lambda s: f"trim(regexp_replace(regexp_replace(lower({s}), {q('[^a-z0-9.+]+')}, ' '{g}), {q('[. ]+$|^[. ]+')}, ''{g}))"
-    table = known_sentences()
+    table = known_sentences(LEADS if duck else LEADS + MORE_LEADS)
     if duck:
         pieces = f"string_split({cut}, chr(10))"
         keys, values = ", ".join(q(k) for k in table), ", ".join(q(v) for v in table.values())
@@ -130,7 +145,7 @@ def licences_sql(lines: str, joined: str, duck: bool = False) -> str:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Id, ``keep`` columns, sentence_ids (lines), joined_ids (lines joined) and licenses, all arrays, of every whole text."""
     keep = [c for c in keep or [] if c not in (id_col, text_col)]
-    text = F.when(F.col(text_col).rlike(MARKS), F.col(text_col)).alias("_quire_text")
+    text = F.when(F.lower(text_col).rlike("|".join(marks())), F.col(text_col)).alias("_quire_text")
     marked = docs.select(id_col, text, *keep)
     found = marked.select(id_col, *keep, *[F.when(F.col("_quire_text").isNotNull(), F.expr(ids_sql("_quire_text", view))).otherwise(F.expr("cast(array() as array<string>)")).alias(name) for view, name in (("lines", "sentence_ids"), ("joined", "joined_ids"))])
     return found.select(id_col, *keep, "sentence_ids", "joined_ids", F.expr(licences_sql("sentence_ids", "joined_ids")).alias("licenses"))

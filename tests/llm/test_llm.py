@@ -277,6 +277,18 @@ def test_licenses(spark):
     assert got == {1: ["MIT"], 2: [], 3: ["CC-BY-NC-4.0"], 4: [], 5: ["Apache-2.0", "MIT"], 6: [], 7: ["GPL-3.0"]}
 
 
+def test_every_known_sentence_is_found(spark):
+    named = {"Released under CC BY 4.0.": "CC-BY-4.0", "Available under GPLv3.": "GPL-3.0", "x; distributed under MPL 2.0": "MPL-2.0", "Released\n# under MIT": "MIT", "This project is released under the MIT License.": "MIT", "this file is released under CC0": "CC0-1.0", "THIS CODE IS RELEASED UNDER APACHE 2.0": "Apache-2.0", "unencumbered releases": None, "avail able under MIT": None}
+    table = licenses.known_sentences(licenses.LEADS + licenses.MORE_LEADS)
+    forms = [f"this {what} is {how} under" for what in ("work", "file", "software", "project", "code") for how in ("licensed", "released")]
+    assert not [x for x in forms if f"{x} mit" not in table]
+    sentences = [*named, *table]
+    rows = spark.createDataFrame(list(enumerate(sentences)), "doc_id long, text string")
+    got = {sentences[r["doc_id"]]: r for r in licenses.scan(rows).collect()}
+    assert {s: got[s]["licenses"] for s in named} == {s: [x] if x else [] for s, x in named.items()}
+    assert [s for s in table if got[s]["sentence_ids"] != [table[s]]] == []
+
+
 # --- 7
 
 def test_secrets(spark):
