@@ -5,7 +5,10 @@ forest sees a candidate's length, its character classes and the transitions betw
 words cover, the path, and the neighbouring word. It is trained from labelled findings (text of
 the candidate, word before, separator, path, whether it is a secret) and compiled to nested CASE
 expressions, so scanning is one projection of SQL functions, without Python and without a shuffle; the
-same expressions are the DuckDB oracle. Private key blocks are found by their header alone.
+same expressions are the DuckDB oracle. More candidates, of any length and with or without a digit, are what follows a
+secret word and what begins with a known prefix; a second forest, which has learned short ones too, votes on those, and the oracle
+is held without them. Private key blocks are found whole, from BEGIN through END; one without an end through its last line of key
+characters. (The oracle has the BEGIN lines.)
 
 Defined results: a null or empty text has no candidates; a repeated secret is a finding each time; a null
 path is empty; repeated rows each get their own row; extra columns are not read.
@@ -26,12 +29,19 @@ PATTERN = r"""(?:([A-Za-z_]{1,32})(["']?[ \t]{0,3}[=:][ \t]{0,3}["']?|[ \t\n"'(]
 #: The candidate alone.
 RUN = r"[A-Za-z0-9+/_-]{16,}={0,2}"
 BLOCK = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+#: A whole block; its body holds no five hyphens. Without an end: the headers and the lines of key characters that follow.
+KEY = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----(?:[^-]*+(?:-{1,4}+[^-]++)*+-----END [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----|(?:\s*+[A-Z][A-Za-z-]{1,20}: [^\n]*+)*+(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]{40,}+={0,2}+)++(?:\r?\n[A-Za-z0-9+/]{1,63}+={0,2}+(?=[ \t\r]*+(?:\n|$)))?)?"
 # Words of keys, of names and placeholders, and of other long runs.
 DICTIONARY = "example|sample|test|dummy|your|here|change|password|secret|token|key|user|name|value|index|page|file|image|class|function|string|object|default|config|service|account|version|http|www|com|html|the|and|ing|tion|for|with"
 SECRET_WORDS = "token|secret|password|passwd|pwd|apikey|api_key|key|auth|bearer|credential|credentials|access|private|signature|sig"
 OTHER_WORDS = "commit|sha|sha1|sha256|md5|hash|checksum|digest|revision|rev|etag|uuid|guid|id|integrity|blob|tree|card|phone|iban|order|isbn|number"
 PATHS = "test|example|sample|fixture|mock|doc|spec|vendor|lock"
 PREFIXES = "AKIA|ASIA|ghp_|gho_|ghs_|ghr_|glpat-|xoxb-|xoxp-|xoxa-|AIza|sk_live_|sk-|rk_live_|npm_|pypi-|SG[.]|eyJ"
+#: What follows a secret word (groups: word, separator, candidate; the candidate may begin the next match) and what begins with a known prefix.
+AFTER = r"""(?i)(?<![a-z0-9])(%s)(["']?[ \t]{0,3}[=:][ \t]{0,3}["']?|[ \t\n"'(]{1,3})(?=([^\s"'<>=:(][^\s"'<>]*(?<![.,;:!?)\]}])))""" % SECRET_WORDS
+BARE = r"(?<![A-Za-z0-9])((?:%s)[A-Za-z0-9+/_.=-]*[A-Za-z0-9+/_=-])" % PREFIXES
+#: Shorter secrets are replaced only where they stand by themselves.
+SHORT = 16
 FEATURES = ("n", "digits", "upper", "lower", "marks", "hops", "case_hops", "distinct", "covered", "hexadecimal", "assigned", "secret_word", "other_word", "path", "prefix")
 
 
@@ -110,6 +120,38 @@ def labelled_findings(n: int = 3000, seed: int = 11) -> list[tuple[str, str, str
     return [x for x in out if len(x[0]) >= 16]
 
 
+def more_findings(n: int = 4000, seed: int = 12) -> list[tuple[str, str, str, str, bool]]:
+    """Labelled findings of any length: passwords, dotted keys and tokens, and the words, names, numbers and placeholders that are none."""
+    rng = random.Random(seed)
+    draw = lambda of, k: "".join(rng.choice(of) for _ in range(k))
+    low, alnum, hexa = string.ascii_lowercase, string.ascii_letters + string.digits, "0123456789abcdef"
+    common, words, gaps = DICTIONARY.split("|"), SECRET_WORDS.split("|"), [" = ", "=", ": ", ' = "', "='", ":"]
+    prefixes = [p.replace("[.]", ".") for p in PREFIXES.split("|")]
+    a_word = lambda: draw(low, rng.randint(1, 12))
+    secret = [
+        lambda: draw(low, rng.randint(4, 10)) + draw(string.digits, rng.randint(1, 4)), lambda: draw(alnum, rng.randint(6, 30)) + draw(string.digits, 1), lambda: draw(alnum + "!@#$%^&*.-_", rng.randint(6, 20)) + draw("!@#$%^&*", 1) + draw(string.digits, 1),
+        lambda: draw(string.ascii_letters, rng.randint(10, 40)), lambda: draw(low, rng.randint(16, 32)), lambda: draw(string.digits, rng.randint(6, 12)), lambda: draw(hexa, rng.randint(8, 15)),
+    ]
+    token = [lambda: f"eyJ{draw(alnum, rng.randint(12, 40))}.eyJ{draw(alnum, rng.randint(12, 80))}.{draw(alnum + '_-', rng.choice([22, 43, 86]))}", lambda: f"SG.{draw(alnum + '_-', 22)}.{draw(alnum + '_-', 43)}", lambda: rng.choice([p for p in prefixes if p not in ("AKIA", "ASIA", "eyJ")]) + draw(alnum, rng.randint(10, 50))]
+    none = [
+        a_word, a_word, a_word, lambda: rng.choice(common), lambda: a_word().capitalize(), lambda: draw(string.ascii_uppercase, rng.randint(2, 8)) + "_" + rng.choice(words).upper(), lambda: draw(string.digits, rng.randint(1, 4)),
+        lambda: ".".join(a_word() for _ in range(rng.randint(2, 4))), lambda: rng.choice("_-").join(a_word() for _ in range(rng.randint(2, 4))), lambda: f"{a_word()}.{a_word()}({rng.choice(['', a_word()])}", lambda: rng.choice("x*.") * rng.randint(3, 20),
+        lambda: rng.choice(["your_", "my-", "example_", "change_", "test_"]) + rng.choice(words), lambda: rng.choice(["$", "${", "{{", "%", "process.env."]) + draw(string.ascii_uppercase, rng.randint(3, 8)) + rng.choice(["}", "}}", "_TOKEN", ""]), lambda: rng.choice(common).upper(),
+    ]
+    out = []
+    for _ in range(n):
+        path, kind = rng.choice(["src/app.py", "config/settings.yml", "src0", "docs/example.md", ".env", ""]), rng.random()
+        if kind < 0.4:
+            out.append((rng.choice(secret)(), rng.choice(words), rng.choice(gaps), path, True))
+        elif kind < 0.5:
+            out.append((rng.choice(token)(), rng.choice([*words, "", ""]), rng.choice([*gaps, " "]), path, True))
+        elif kind < 0.92:
+            out.append((rng.choice(none)(), rng.choice(words), rng.choice([*gaps, " ", " ", " ", "\n"]), path, False))
+        else:
+            out.append((rng.choice(prefixes) + rng.choice([a_word(), a_word().upper(), f"{a_word()}_{a_word()}"]), "", "", path, False))
+    return [(c, w, g if w else "", p, x) for c, w, g, p, x in out]
+
+
 def _grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator, depth: int, least: int, tried: int) -> object:
     """A tree as nested (feature, threshold, low, high), a leaf as its share of secrets."""
     share = round(float(y.mean()), 4)
@@ -149,6 +191,11 @@ def train_forest(findings: list[tuple[str, str, str, str, bool]] | None = None,
     return out
 
 
+def train_more(findings: list[tuple[str, str, str, str, bool]] | None = None) -> list[object]:
+    """The forest that votes on candidates of any length."""
+    return train_forest(labelled_findings() + more_findings() if findings is None else findings, trees=25, depth=9)
+
+
 def vote(forest: list[object], row: list[int]) -> float:
     total = 0.0
     for tree in forest:
@@ -192,26 +239,40 @@ def findings_sql(text: str, path: str, forest: list[object], duck: bool = False,
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", keep: list[str] | None = None, findings: list[tuple[str, str, str, str, bool]] | None = None, threshold: float = 0.5) -> DataFrame:
-    """Id, ``keep`` columns, n_candidates, secrets (in the order of the text, key blocks' headers last) of every whole text."""
+    """Id, ``keep`` columns, n_candidates, secrets (long runs, then those of any length, then key blocks, each in the order of the text) of every whole text."""
     keep = [c for c in keep or [] if c != id_col]
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
     rows = docs.select(id_col, *keep, F.col(text_col).alias("_quire_text"), path.alias("_quire_path"))
     sql = findings_sql("coalesce(_quire_text, '')", "_quire_path", train_forest(findings), threshold=threshold)
     for name in ("cand", "scored", "secrets"):
         rows = rows.withColumn(f"_quire_{name}", F.expr(sql[name].replace("transform(cand,", "transform(_quire_cand,").replace("filter(scored,", "filter(_quire_scored,")))
-    marked = F.when(F.contains("_quire_text", F.lit("-----BEGIN")), F.col("_quire_text")).otherwise(F.lit(""))
-    blocks = F.regexp_extract_all(marked, F.lit(BLOCK), F.lit(0))
-    return rows.select(id_col, *keep, F.size("_quire_cand").cast("long").alias("n_candidates"), F.concat("_quire_secrets", blocks).alias("secrets"))
+    block = F.contains("_quire_text", F.lit("-----BEGIN"))
+    blocks = F.regexp_extract_all(F.when(block, F.col("_quire_text")).otherwise(F.lit("")), F.lit(KEY), F.lit(0))
+    rows = rows.withColumn("_quire_rest", F.coalesce(F.when(block, F.regexp_replace("_quire_text", F.lit(KEY), F.lit("\n"))).otherwise(F.col("_quire_text")), F.lit("")))
+    some = lambda p: F.when(F.rlike("_quire_rest", F.lit(p)), F.col("_quire_rest")).otherwise(F.lit(""))
+    for k, name in enumerate(("word", "gap", "c"), 1):
+        rows = rows.withColumn(f"_quire_{name}", F.regexp_extract_all(some(AFTER), F.lit(AFTER), F.lit(k)))
+    rows = rows.withColumn("_quire_bare", F.regexp_extract_all(some(BARE), F.lit(BARE), F.lit(1)))
+    known = "array_contains(transform(_quire_cand, y -> y.c), {})"
+    after = f"transform(filter(arrays_zip(_quire_word, _quire_gap, _quire_c), x -> NOT {known.format('x._quire_c')}), x -> named_struct('word', x._quire_word, 'gap', x._quire_gap, 'c', x._quire_c))"
+    bare = f"transform(filter(_quire_bare, c -> NOT {known.format('c')} AND NOT array_contains(_quire_c, c)), c -> named_struct('word', '', 'gap', '', 'c', c))"
+    f = features_sql("x.c", "x.word", "x.gap", "_quire_path")
+    rows = rows.withColumn("_quire_more", F.expr(f"concat({after}, {bare})"))
+    rows = rows.withColumn("_quire_also", F.expr("transform(_quire_more, x -> named_struct('c', x.c, " + ", ".join(f"'{k}', {v}" for k, v in f.items()) + "))"))
+    rows = rows.withColumn("_quire_also", F.expr(f"transform(filter(_quire_also, x -> {forest_sql(train_more(findings), 'x')} >= {threshold}), x -> x.c)"))
+    return rows.select(id_col, *keep, (F.size("_quire_cand") + F.size("_quire_more")).cast("long").alias("n_candidates"), F.concat("_quire_secrets", "_quire_also", blocks).alias("secrets"))
 
 
 def redact(docs: DataFrame, text_col: str = "text", path_col: str | None = "source", mark: str = "<secret>", length_col: str | None = "n_chars", id_col: str = "doc_id") -> DataFrame:
-    """The documents, all columns kept whatever their names, with every secret in the text replaced by ``mark`` (longer ones first) and the length renewed."""
+    """The documents, all columns kept whatever their names, with every secret in the text replaced by ``mark`` (longer ones first, short ones as whole words) and the length renewed."""
     plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
     name = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
     text = name[text_col]
     found = scan(plain, name[id_col], text, name.get(path_col), keep=plain.columns)
     longest = F.expr("array_sort(array_distinct(secrets), (a, b) -> CASE WHEN length(a) > length(b) THEN -1 WHEN length(a) < length(b) THEN 1 WHEN a < b THEN -1 WHEN a > b THEN 1 ELSE 0 END)")
-    clean = F.when(F.size("secrets") > 0, F.aggregate(longest, F.col(text), lambda t, s: F.replace(t, s, F.lit(mark)))).otherwise(F.col(text))
+    alone = lambda s: F.concat(F.lit(r"(?<![A-Za-z0-9])\Q"), F.replace(s, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit(r"\E(?![A-Za-z0-9])"))
+    plainly = F.lit(re.sub(r"([\\$])", r"\\\1", mark))
+    clean = F.when(F.size("secrets") > 0, F.aggregate(longest, F.col(text), lambda t, s: F.when(F.length(s) < SHORT, F.regexp_replace(t, alone(s), plainly)).otherwise(F.replace(t, s, F.lit(mark))))).otherwise(F.col(text))
     out = found.withColumn("_clean", clean)
     fresh = {text: F.col("_clean")}
     if length_col in name:
