@@ -76,24 +76,35 @@ def batch_files(batches: DataFrame, pages: DataFrame, schema: str) -> DataFrame:
     return union(heads, coverage.batch_integrity(refs, named, "id", ("physical_index", "status", "path")))
 
 
-def release_gates(book: DataFrame, expected_pages: int, expected_figures: int) -> DataFrame:
-    """Gates of a book: number of pages and linked figures, verified statuses, no problem of a page, indexes 1..N."""
+def release_gates(book: DataFrame, expected_pages: int, expected_figures: int, release: tuple[str, str] | None = None, versions: dict[str, str] | None = None, assets: DataFrame | None = None) -> DataFrame:
+    """Gates of a book: number of pages and linked figures, verified statuses, no problem of a page, indexes 1..N. With ``release`` (edition, version): the version that ``versions`` has for the edition. With ``assets`` (file): their number, and none that no page links (supplementary)."""
     c = F.col
     pages = row_rules(book, c("id"), {"not-verified": (~c("status").eqNullSafe(F.lit("verified")), c("status")), "page-problem": (c("problem").isNotNull(), c("problem"))})
     totals = book.agg(F.count("*").alias("pages"), F.coalesce(F.sum(F.size("figures")), F.lit(0)).alias("figures"), F.min("physical_index").alias("least"), F.max("physical_index").alias("most"), F.count_distinct("physical_index").alias("distinct_n"))
-    return union(pages, row_rules(totals, F.lit("book"), {
+    more = []
+    if release is not None:
+        wrong = (versions or {}).get(release[0]) != release[1]
+        more.append(row_rules(totals, F.lit("book"), {"edition-version": (F.lit(wrong), F.lit(" ".join(release)))}))
+    if assets is not None:
+        linked = book.select(F.explode("figures.file").alias("file"))
+        more += [row_rules(assets.join(linked, "file", "left_anti"), c("file"), {"supplementary": (F.lit(True), None)}), row_rules(assets.agg(F.count("*").alias("n")), F.lit("book"), {"asset-count": (c("n") != expected_figures, c("n"))})]
+    return union(pages, *more, row_rules(totals, F.lit("book"), {
         "page-count": (c("pages") != expected_pages, c("pages")), "figure-count": (c("figures") != expected_figures, c("figures")),
         "page-sequence": ((c("least") != 1) | (c("most") != c("pages")) | (c("distinct_n") != c("pages")), c("distinct_n")),
     }))
 
 
-def equivalent(book: DataFrame, edition: DataFrame, key: str = "id", text: str = "text", order: str = "physical_index") -> DataFrame:
-    """Violations of an edition re-read: pages missing or extra, another order, another text after normalization."""
-    a = book.select(key, F.col(order).alias("_oa"), X.content_normalize(F.coalesce(F.col(text), F.lit(""))).alias("_ta"))
-    b = edition.select(key, F.col(order).alias("_ob"), X.content_normalize(F.coalesce(F.col(text), F.lit(""))).alias("_tb"))
-    j = a.join(b, key, "full_outer")
+def equivalent(book: DataFrame, edition: DataFrame, key: str = "id", text: str = "text", order: str = "physical_index", figures: str | None = None) -> DataFrame:
+    """Violations of an edition re-read: pages missing or extra, another order, another text after normalization. With ``figures`` (a column of arrays of file, sha256): other files, another order of the same files, another hash of a file."""
+    part = lambda df, of: df.select(key, F.col(order).alias(f"_o{of}"), X.content_normalize(F.coalesce(F.col(text), F.lit(""))).alias(f"_t{of}"), *([F.expr(f"transform(coalesce({figures}, array()), x -> struct(x.file, x.sha256))").alias(f"_f{of}")] if figures else []))
+    j = part(book, "a").join(part(edition, "b"), key, "full_outer")
     c = F.col
-    return row_rules(j, c(key), {"missing-page": (c("_ob").isNull() & c("_tb").isNull(), None), "extra-page": (c("_oa").isNull() & c("_ta").isNull(), None), "order": (c("_oa") != c("_ob"), c("_ob")), "text": (c("_ta") != c("_tb"), F.sha2("_tb", 256))})
+    rules = {"missing-page": (c("_ob").isNull() & c("_tb").isNull(), None), "extra-page": (c("_oa").isNull() & c("_ta").isNull(), None), "order": (c("_oa") != c("_ob"), c("_ob")), "text": (c("_ta") != c("_tb"), F.sha2("_tb", 256))}
+    if figures:
+        same = F.array_sort("_fa.file") == F.array_sort("_fb.file")
+        other = F.expr("filter(_fb, y -> exists(_fa, x -> x.file <=> y.file) AND NOT exists(_fa, x -> x.file <=> y.file AND x.sha256 <=> y.sha256))")
+        rules |= {"figure-inventory": (~same, F.array_join("_fb.file", " ")), "figure-order": (same & (c("_fa.file") != c("_fb.file")), F.array_join("_fb.file", " ")), "figure-hash": (F.size(other) > 0, F.array_join(other["file"], " "))}
+    return row_rules(j, c(key), rules)
 
 
 def facsimile_edition(pages: DataFrame, total_figures: int, substituted: int, facsimiles: int) -> DataFrame:

@@ -164,6 +164,22 @@ def test_validation(spark):
     assert validate.repair(texts, write=True).orderBy("id").first()["normalized_text"] == "текст дом"
 
 
+def test_figures_of_editions_and_releases(spark):
+    kind = "id string, physical_index int, text string, status string, problem string, figures array<struct<file string, sha256 string>>"
+    page = lambda i, *figs: (str(i), i, "t", "verified", None, list(figs) or None)
+    a, b, x = ("a", "1"), ("b", "2"), ("x", "3")
+    one = spark.createDataFrame([page(1, a, b), page(2, a, b), page(3, a, b), page(4), page(5, a), page(6, a)], kind)
+    two = spark.createDataFrame([page(1, a, b), page(2, b, a), page(3, a), page(4, x), page(5, ("a", "9"))], kind)
+    got = {(r["rule"], r["key"]) for r in validate.equivalent(one, two, figures="figures").collect()}
+    assert got == {("figure-order", "2"), ("figure-inventory", "3"), ("figure-inventory", "4"), ("figure-hash", "5"), ("missing-page", "6")}
+    assert {(r["rule"], r["key"]) for r in validate.equivalent(one, two).collect()} == {("missing-page", "6")}
+    assets, versions = spark.createDataFrame([("a",), ("b",), ("x",)], "file string"), {"diplomatic": "1.0.0"}
+    rules = lambda **more: {(r["rule"], r["key"]) for r in validate.release_gates(one, 6, 8, versions=versions, **more).collect()}
+    assert rules(release=("diplomatic", "1.0.0")) == set()
+    assert rules(release=("diplomatic", "1.1.0")) == rules(release=("other", "1.0.0")) == {("edition-version", "book")}
+    assert rules(assets=assets) == {("supplementary", "x"), ("asset-count", "book")}
+
+
 def test_flow_and_html(spark):
     pages = spark.createDataFrame([("a", "one\n\ntwo <b>", 100)], "page_id string, text string, height int")
     figs = spark.createDataFrame([("a", "1", 1, 40, 60, "figures/1.png")], "page_id string, label string, asset_index int, y1 int, y2 int, file string")
