@@ -80,6 +80,44 @@ class Table:
         return out
 
 
+class Lists:
+    """Sorted keys in shards that are ranges of the key; each key has a list of numbers (arrays: keys, ends, numbers)."""
+
+    def __init__(self, uri: str, shards: int):
+        self.uri, self.shards = uri, shards
+        self.open: dict[int, list[np.ndarray] | None] = {}
+
+    def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of sorted keys: which are there, the lengths of the lists of those, and the lists one after another."""
+        there = np.zeros(len(keys), bool)
+        sizes, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        shard = range_shard(keys, self.shards)
+        cuts = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1]))).tolist() if len(keys) else []
+        for a, b in zip(cuts, [*cuts[1:], len(keys)], strict=False):
+            s = int(shard[a])
+            if s not in self.open:
+                found = map_array(f"{self.uri}/{s:06d}", 0)
+                self.open[s] = None if found is None else [found, map_array(f"{self.uri}/{s:06d}", 1), map_array(f"{self.uri}/{s:06d}", 2)]
+            arrays = self.open[s]
+            if arrays is None or not len(arrays[0]):
+                continue
+            at = np.minimum(np.searchsorted(arrays[0], keys[a:b]), len(arrays[0]) - 1)
+            hit = arrays[0][at] == keys[a:b]
+            there[a:b] = hit
+            last = arrays[1][at[hit]].astype(np.int64)
+            first = np.where(at[hit] > 0, arrays[1][at[hit] - 1].astype(np.int64), 0)
+            sizes.append(last - first)
+            numbers.append(arrays[2][spread(first, last - first)].astype(np.int32))
+        return there, np.concatenate(sizes), np.concatenate(numbers)
+
+
+def spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each run, run after run."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(first - (ends - sizes), sizes) + np.arange(total)
+
+
 def range_shard(keys: np.ndarray, shards: int) -> np.ndarray:
     """Shards that are ranges of the hash."""
     return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)

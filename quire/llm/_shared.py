@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Bytes that one reducer of a packed exchange is meant to hold.
 REDUCER_BYTES = 16 << 20
+#: Bytes of one Arrow batch between the JVM and Python, and the setting with its default.
+BATCH_BYTES, BATCH_KEY, BATCH_DEFAULT = "4m", "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,31 +40,63 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by 4 MB unless the session has a limit of its own: each side of a Python task holds several copies of one."""
+    if spark.conf.get(BATCH_KEY, BATCH_DEFAULT) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_KEY, BATCH_BYTES)
+
+
+def plan_bytes(df: DataFrame, text_col: str) -> float:
+    """What the optimizer takes for the size of df (file sizes, for a scan), which only sizes exchanges; where it knows nothing, the bytes of the texts."""
+    known = float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return known if known < 2.0**56 else float(df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0)
+
+
 def reducers(spark: SparkSession, total_bytes: float) -> int:
     """Reducers for so many bytes: at least the session's shuffle partitions' share, growing with the input."""
     least = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 64))
     return int(max(least, -(-total_bytes // REDUCER_BYTES)))
 
 
-def shards_for(reducer_count: int) -> int:
-    return 4 * reducer_count
+def deal_keys(count: int) -> np.ndarray:
+    """For each of ``count`` partitions an integer that Spark's hash partitioning sends there, so that packed shards are
+    dealt one a task. (Murmur3 of one integer with seed 42, as the engine has it.)"""
+    found = np.full(count, -1, np.int64)
+    low = 0
+    while (found < 0).any():
+        x = np.arange(low, low + 4 * count + 16, dtype=np.int64)
+        h = _murmur3(x.astype(np.uint32)).astype(np.int64) % count
+        fresh = found[h] < 0
+        found[h[fresh][::-1]] = x[fresh][::-1]
+        low += len(x)
+    return found.astype(np.int32)
+
+
+def _murmur3(x: np.ndarray) -> np.ndarray:
+    turn = lambda v, n: v << np.uint32(n) | v >> np.uint32(32 - n)
+    with np.errstate(over="ignore"):
+        h = np.uint32(42) ^ turn(x * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+        h = turn(h, 13) * np.uint32(5) + np.uint32(0xE6546B64) ^ np.uint32(4)
+        h = (h ^ h >> np.uint32(16)) * np.uint32(0x85EBCA6B)
+        h = (h ^ h >> np.uint32(13)) * np.uint32(0xC2B2AE35)
+        return (h ^ h >> np.uint32(16)).view(np.int32)
 
 
 def packed(shard: np.ndarray, columns: list[np.ndarray], shards: int) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, data): all entries of a shard in one binary value, column after column."""
+    """Rows (shard, data): all entries of a shard in one binary value, column after column. The shard is named by its deal key."""
     order = np.argsort(shard, kind="stable")
-    cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+    sorted_shard = shard[order]
+    starts = np.flatnonzero(np.concatenate(([True], sorted_shard[1:] != sorted_shard[:-1]))) if len(order) else np.zeros(0, np.int64)
+    names = deal_keys(shards)[sorted_shard[starts]].tolist()
     columns = [c[order] for c in columns]
     ids, blobs, size = [], [], 0
-    for s in range(shards):
-        a, b = int(cuts[s]), int(cuts[s + 1])
-        if b > a:
-            ids.append(s)
-            blobs.append(b"".join(c[a:b].tobytes() for c in columns))
-            size += len(blobs[-1])
-            if size > 8 << 20:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "data"])
-                ids, blobs, size = [], [], 0
+    for name, a, b in zip(names, starts.tolist(), [*starts[1:].tolist(), len(order)], strict=False):
+        ids.append(name)
+        blobs.append(b"".join(c[a:b].tobytes() for c in columns))
+        size += len(blobs[-1])
+        if size > 4 << 20:
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "data"])
+            ids, blobs, size = [], [], 0
     if ids:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "data"])
 

@@ -122,7 +122,7 @@ def meetings(docs: DataFrame, total: int, width: int, percent: int, text_col: st
     order = spark.sparkContext.broadcast(table)
     share = (100 - percent) / 100 + 0.01
     reducers = _shared.reducers(spark, total * share * 20)
-    shards = _shared.shards_for(reducers)
+    shards = reducers
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.frombuffer(order.value, np.uint8)
@@ -246,7 +246,7 @@ def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
 def candidates(met: DataFrame, sets: DataFrame, percent: int, rows: int) -> DataFrame:
     """Edges (a, b) between classes that meet and whose signatures leave room for a link; per meeting a spanning forest."""
     reducers = _shared.reducers(met.sparkSession, rows * 150)
-    shards = _shared.shards_for(reducers)
+    shards = reducers
     signed = met.join(sets.select("set_key", "signature"), "set_key").select("meeting", "set_key", "n", "signature")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
