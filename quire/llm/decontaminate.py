@@ -2,13 +2,13 @@
 
 Texts and items are normalised alike: A-Z in lower case, words are runs of letters, digits and
 non-ASCII bytes, everything else separates. A window is ``width`` consecutive words of an item;
-an item of fewer words, but not none, is one window. The windows of a block of items become one
-automaton, each text is scanned once, and every hit is carried back to words and to offsets in
-the original text.
+an item of fewer words, but not none, is one window. The letters of the automaton are the words of the items, so a window
+is ``width`` nodes at most however long its words are; each text is scanned once, and every hit is carried
+back to offsets in the original text.
 
-The items are gathered on the driver in blocks of at most ``block_bytes`` of windows, so that
-what a worker builds is bounded however large the benchmark grows; with several blocks each text is
-scanned once a block and the spans are merged by native aggregation.
+The items are gathered on the driver in blocks of at most ``nodes`` nodes, so that what a worker builds is bounded (about 130
+bytes a node) however large the benchmark grows; with several blocks each text is scanned once a block, only rows with hits are
+merged, and texts move once.
 
 Defined results: a null or empty text has no words and no hits; null item texts have no windows, a null item id is the empty one;
 every row yields one row, repeated rows included; several items may share a window; an empty
@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -29,10 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm._shared import materialize
+from quire.llm import _shared, _text
 
-#: Bytes of windows in one automaton (a window's words are counted once for each window).
-BLOCK_BYTES = 64 << 20
+#: Nodes of one automaton at most: words of its windows, counted once for each window.
+NODES = 1 << 20
 _KEPT = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _RUN = re.compile(rb"[^ ]+")
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -51,45 +50,39 @@ def windows_of(text: str | None, width: int) -> list[str]:
     return [" " + " ".join(found[i : i + width]) + " " for i in range(max(1, len(found) - width + 1))]
 
 
-def automaton(items: list[tuple[str, str]], width: int) -> ahocorasick.Automaton:
-    """All windows of the items; a window's value is its number of words and the items that have it."""
-    owners: dict[str, list[str]] = {}
-    for item, text in items:
-        for window in windows_of(text, width):
-            owners.setdefault(window, []).append(item)
-    built = ahocorasick.Automaton()
-    for window, of in owners.items():
-        built.add_word(window, (window.count(" ") - 1, sorted(set(of))))
-    if owners:
-        built.make_automaton()
-    return built
+class Windows:
+    """The words of the items, numbered from 1, and an automaton over all windows; a window's value is its number of words and the items that have it."""
 
+    def __init__(self, items: list[tuple[str, str]], width: int):
+        owners: dict[tuple[int, ...], list[str]] = {}
+        self.numbers: dict[bytes, int] = {}
+        for item, text in items:
+            found = tuple(self.numbers.setdefault(w, len(self.numbers) + 1) for w in normalise(text).split())
+            for i in range(max(1, len(found) - width + 1) if found else 0):
+                owners.setdefault(found[i : i + width], []).append(item)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for window, of in owners.items():
+            self.automaton.add_word(window, (len(window), sorted(set(of))))
+        if owners:
+            self.automaton.make_automaton()
 
-def scan(text: str | None, built: ahocorasick.Automaton) -> tuple[int, list[tuple[int, int]], list[str]]:
+
+def scan(text: str | None, windows: Windows) -> tuple[int, list[tuple[int, int]], list[str]]:
     """The number of words, the merged spans of hit words (first, one past the last), and the items."""
-    line = " " + b" ".join(normalise(text).split()).decode("latin-1") + " "
-    if line == "  ":
-        return 0, [], []
-    count = line.count(" ") - 1
-    if not len(built):
-        return count, [], []
+    number = windows.numbers.get
+    found = tuple([number(w, 0) for w in normalise(text).split()])
     spans: list[list[int]] = []
     items: set[str] = set()
-    seen_at, seen = 0, 0
-    for at, (size, owners) in built.iter(line):
-        seen += line.count(" ", seen_at, at)
-        seen_at = at
-        last = seen  # words before the closing space
-        first = last - size
+    for at, (size, owners) in windows.automaton.iter(found) if found and windows.numbers else ():
+        first, last = at + 1 - size, at + 1
         while spans and spans[-1][0] > first:  # a longer window that ends here begins earlier
-            first_old = spans.pop()
-            last = max(last, first_old[1])
+            last = max(last, spans.pop()[1])
         if spans and first <= spans[-1][1]:
             spans[-1][1] = max(spans[-1][1], last)
         else:
             spans.append([first, last])
         items.update(owners)
-    return count, [(a, b) for a, b in spans], sorted(items)
+    return len(found), [(a, b) for a, b in spans], sorted(items)
 
 
 def offsets(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -108,57 +101,51 @@ def offsets(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 _ROW = "_quire_row"
-_BUILT: dict[str, ahocorasick.Automaton] = {}
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = 8, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None, with_offsets: bool = True, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = 8, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None, with_offsets: bool = True, nodes: int = NODES) -> DataFrame:
     """One row a document: id, ``keep`` columns, n_words, n_hit, spans (of words), items, and char_spans with ``with_offsets``."""
     spark = docs.sparkSession
+    _shared.small_batches(spark)
     items = benchmark.where(F.col(item_text_col).isNotNull()).select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text_col).alias("item_text"))
-    weight = items.agg(F.sum(F.octet_length("item_text") * F.lit(width + 1))).first()[0] or 0
-    count = int(-(-weight // block_bytes)) or 1
+    weight = items.agg(F.sum(F.regexp_count("item_text", F.lit(WORD)) * F.lit(width))).first()[0] or 0
+    count = int(-(-weight // nodes)) or 1
     keep = [c for c in keep or [] if c != id_col]
     chosen = docs.select(id_col, text_col, *[c for c in keep if c != text_col])
     if count > 1:  # a row's parts meet again by its number
-        chosen = materialize(chosen.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
-        keep.append(_ROW)
+        chosen = _shared.materialize(chosen.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
     span = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
-    fields = [chosen.schema[id_col], *[chosen.schema[c] for c in keep], T.StructField("n_words", T.LongType()), T.StructField("spans", span), T.StructField("items", T.ArrayType(T.StringType()))]
-    if with_offsets:
-        fields.append(T.StructField("char_spans", span))
-    schema = T.StructType(fields)
+    found_fields = [T.StructField("n_words", T.LongType()), T.StructField("spans", span), T.StructField("items", T.ArrayType(T.StringType())), *[T.StructField("char_spans", span)] * with_offsets]
     pairs = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
-    def block(number: int) -> DataFrame:
+    def block(number: int, carried: list[str]) -> DataFrame:
         own = items.where(F.pmod(F.xxhash64("item", "item_text"), F.lit(count)) == number) if count > 1 else items
-        name = uuid.uuid4().hex
-        shipped = spark.sparkContext.broadcast(sorted((r[0], r[1]) for r in own.collect()))  # at most about block_bytes / (width + 1)
+        shipped = spark.sparkContext.broadcast(sorted((r[0], r[1]) for r in own.collect()))  # the items of about ``nodes`` nodes
+        names = [*carried, *[f.name for f in found_fields]]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            if name not in _BUILT:
-                _BUILT.clear()
-                _BUILT[name] = automaton(shipped.value, width)
-            built = _BUILT[name]
-            for b in batches:
-                texts = b.column(1).to_pylist()
-                found = [scan(t, built) for t in texts]
-                columns = [b.column(0), *[b.column(b.schema.get_field_index(c)) for c in keep], pa.array([f[0] for f in found], pa.int64()), _spans([f[1] for f in found], pairs), pa.array([f[2] for f in found], pa.list_(pa.string()))]
+            windows = Windows(shipped.value, width)  # for this task alone
+            for b in _text.blocks(batches, text_col):
+                texts = b.column(b.schema.get_field_index(text_col)).to_pylist()
+                found = [scan(t, windows) for t in texts]
+                columns = [*[b.column(b.schema.get_field_index(c)) for c in carried], pa.array([f[0] for f in found], pa.int64()), _spans([f[1] for f in found], pairs), pa.array([f[2] for f in found], pa.list_(pa.string()))]
                 if with_offsets:
                     columns.append(_spans([offsets(t, f[1]) if f[1] else [] for t, f in zip(texts, found, strict=True)], pairs))
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-        return chosen.mapInArrow(run, schema)
+        return chosen.mapInArrow(run, T.StructType([*[chosen.schema[c] for c in carried], *found_fields]))
 
     if count == 1:
-        out = block(0)
+        out = block(0, [id_col, *keep])
     else:
-        parts = block(0)
+        parts = block(0, [_ROW])
+        hits = parts.where(F.size("items") > 0)
         for number in range(1, count):
-            parts = parts.unionByName(block(number))
+            hits = hits.unionByName(block(number, [_ROW]).where(F.size("items") > 0))
         merged = [merge_spans(F.flatten(F.collect_list(c))).alias(c) for c in ["spans", *["char_spans"] * with_offsets]]
-        firsts = [F.first(c).alias(c) for c in [id_col, *[c for c in keep if c != _ROW], "n_words"]]
-        out = parts.groupBy(_ROW).agg(*firsts, *merged, F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        keep.remove(_ROW)
+        hits = hits.groupBy(_ROW).agg(*merged, F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        found = parts.select(_ROW, "n_words").join(hits, _ROW, "left").select(_ROW, "n_words", *[F.coalesce(f.name, F.array().cast(f.dataType)).alias(f.name) for f in found_fields[1:]])
+        out = chosen.select(_ROW, id_col, *keep).join(found, _ROW)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
     return out.select(id_col, *keep, "n_words", hit.alias("n_hit"), "spans", "items", *["char_spans"] * with_offsets)
 

@@ -347,6 +347,7 @@ def near_components(docs: DataFrame, width: int = 4, percent: int = 85, id_col:
     if not 50 <= percent <= 100 or width < 1:
         raise ValueError("the threshold is 50 to 100 percent, as signatures are compared at one or two widths")
     spark = docs.sparkSession
+    _shared.small_batches(spark)
     found = _shared.materialize(classes(docs, width, id_col, text_col), "classes")
     totals = found.agg(F.sum("n_shingles").alias("grams"), F.count("*").alias("rows")).first()
     total = int(totals["grams"] or 0)

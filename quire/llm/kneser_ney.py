@@ -84,6 +84,7 @@ def discounts(counts: list[int]) -> tuple[float, float, float]:
 def train(docs: DataFrame, text_col: str = "text") -> Model:
     """Count all texts of docs and write the model."""
     spark = docs.sparkSession
+    _shared.small_batches(spark)
     texts = docs.select(text_col)
     uri = _shared.new_path(spark, "ngrams")
     size = texts.agg(F.sum(F.octet_length(text_col)), F.count(F.lit(1))).first()

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm import _learn, _text
+from quire.llm import _learn, _shared, _text
 
 BUCKETS, DIMENSIONS = 1 << 16, 16
 #: Labelled rows of each language that training takes, about; the share kept back; passes over the rest.
@@ -169,6 +169,7 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], seed: int
 
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", key_col: str = "doc_id", each: int = EACH) -> Model:
     """Learn from about ``each`` rows of every language of docs; the key only draws the sample."""
+    _shared.small_batches(docs.sparkSession)
     chosen = _learn.sample_keys(docs.select(F.col(key_col).alias("key"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("text is not null"), "key", "lang", each)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.llm import _learn, _text
-from quire.llm._shared import materialize
+from quire.llm._shared import materialize, small_batches
 
 #: Labelled rows of each label in training, about; what an unlabelled document weighs against a labelled one.
 EACH, SOFT = 2000, 0.05
@@ -119,6 +119,7 @@ def _strength(rates: DataFrame, mean: float) -> float:
 
 def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = 0.5, each: int = EACH) -> DataFrame:
     """Id, host, path, evidence (the classifier's), host_rate, path_rate (posteriors without the document), quality_score and keep."""
+    small_batches(docs.sparkSession)
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("key")).agg((F.avg(label_col) >= 0.5).cast("double").alias("label"))
     shipped = docs.sparkSession.sparkContext.broadcast(train(docs, known, id_col, text_col, each))
     chosen = docs.select(F.col(id_col).alias("id"), F.coalesce(host.cast("string"), F.lit("")).alias("host"), F.coalesce(path.cast("string"), F.lit("")).alias("path"), F.col(text_col).alias("text"))

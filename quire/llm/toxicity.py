@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm import _learn, _text
+from quire.llm import _learn, _shared, _text
 
 #: Labelled rows of each label that training takes at most, about.
 EACH = 3000

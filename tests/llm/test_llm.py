@@ -117,7 +117,7 @@ def test_contamination_blocks_and_offsets(spark):
     items = [(i, " ".join(word() for _ in range(rng.randint(0, 6)))) for i in range(25)]
     docs, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     one = {r["doc_id"]: r for r in decontaminate.find_hits(docs, bench, 3).collect()}
-    many = {r["doc_id"]: r for r in decontaminate.find_hits(docs, bench, 3, block_bytes=200).collect()}
+    many = {r["doc_id"]: r for r in decontaminate.find_hits(docs, bench, 3, nodes=40).collect()}
     for i, text in texts:
         words = text.translate(LOW).replace("-", " ").split()
         hit, found = set(), set()
