@@ -98,8 +98,8 @@ size AS (SELECT doc_id, count(*) AS n FROM gram GROUP BY doc_id),
 both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM gram a JOIN gram b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
 link AS (SELECT a, b FROM both_ JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * o >= 85 * (x.n + y.n - o)),
 reach(a, b) AS (SELECT doc_id, doc_id FROM doc UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b)
-SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
-FROM doc LEFT JOIN size USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(k, 0) AS n_links
+FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN (SELECT a AS doc_id, count(*) AS k FROM link GROUP BY a) USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
 """
 
 

@@ -195,7 +195,8 @@ def test_toxicity_on_held_out_rows(spark):
 # --- 5
 
 def brute_components(texts, width, percent):
-    sets = {}
+    """n_shingles, component, number of links of each document."""
+    sets, links = {}, Counter()
     for i, t in texts.items():
         w = (t or "").translate(LOW).encode().split()
         sets[i] = {tuple(w[j : j + width]) for j in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
@@ -213,7 +214,8 @@ def brute_components(texts, width, percent):
             if a and b and 100 * len(a & b) >= percent * len(a | b):
                 x, y = find(i), find(j)
                 parent[max(x, y)] = min(x, y)
-    return {i: (len(sets[i]), find(i)) for i in ids}
+                links.update((i, j))
+    return {i: (len(sets[i]), find(i), links[i]) for i in ids}
 
 
 @pytest.mark.parametrize("width,percent", [(4, 85), (5, 80), (2, 60)])
@@ -234,7 +236,7 @@ def test_jaccard_components(spark, width, percent):
             texts[len(texts) * 3 + 5] = " ".join(words).upper() + ("\n" + shared if family % 2 else "")
     texts[1], texts[2], texts[3] = "", None, "a b"
     got = jaccard.near_components(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), width, percent).collect()
-    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(texts, width, percent)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in got} == brute_components(texts, width, percent)
 
 
 def test_large_cluster_is_tiled(spark):
@@ -248,7 +250,31 @@ def test_large_cluster_is_tiled(spark):
             words[rng.randrange(120)] = f"n{rng.randrange(1000)}"
         texts[i] = " ".join(words)
     got = jaccard.near_components(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 4, 85).collect()
-    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(texts, 4, 85)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in got} == brute_components(texts, 4, 85)
+
+
+def test_tiles_split_by_size_bands(spark, monkeypatch):
+    """Small tiles, so that meetings and clusters are cut into many: copies, edits of every size, several bands."""
+    monkeypatch.setattr(jaccard, "TILE", 5)
+    rng = random.Random(21)
+    source = [f"w{i}" for i in range(150)]
+    texts = {}
+    for i in range(160):
+        words = list(source[: rng.randint(70, 150)])
+        for _ in range(rng.randint(0, 2)):
+            words[rng.randrange(len(words))] = f"n{rng.randrange(50)}"
+        texts[i] = texts[i - 1] if i % 7 == 3 else " ".join(words)
+    got = jaccard.near_components(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 3, 70).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in got} == brute_components(texts, 3, 70)
+
+
+def test_near_copies_go_by_row(spark):
+    a, other = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    near = a.replace("a59", "x")
+    rows = [(1, a), (5, near), (5, other), (7, "short one"), (7, "short one"), (None, near + " "), (None, "alone here"), (None, "alone  here"), (8, ""), (8, ""), (8, None), (9, other.upper())]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, root_id int")
+    got = Counter((r["doc_id"], r["text"]) for r in jaccard.drop_near_copies(docs).collect())
+    assert got == Counter([(1, a), (5, other), (7, "short one"), (None, "alone  here"), (8, None)])
 
 
 def test_components_of_chains(spark):
@@ -445,7 +471,7 @@ def test_pipeline(spark, docs, odd, empty):
         kept[name] = (before, out.collect())
     before, after = kept["near_copies"]
     parts = brute_components({r["doc_id"]: r["text"] for r in before}, 5, 80)
-    assert {r["doc_id"] for r in after} == {i for i, (_, c) in parts.items() if c == i}
+    assert {r["doc_id"] for r in after} == {i for i, (_, c, _) in parts.items() if c == i}
     before, after = kept["decontamination"]
     items = {r["item_id"]: decontaminate.windows_of(r["text"], 8) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
     flat = lambda t: " " + b" ".join(decontaminate.normalise(t).split()).decode("latin-1") + " "
