@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.operators import coverage
+
 EDITIONS = {"diplomatic": "diplomatic_text", "normalized": "normalized_text"}
 
 
@@ -36,6 +38,17 @@ def figure_rows(figures: DataFrame) -> DataFrame:
     return figures.withColumn("_y", F.coalesce(F.col("asset_bbox")[1].cast("double"), F.lit(1e9))).withColumn("_i", F.coalesce(F.col("asset_index").try_cast("int"), F.lit(0))).withColumn("_l", F.coalesce("label", F.lit("")))
 
 
+def batch_records(pages: DataFrame, names: list[str], start: int, count: int, order: str = "physical_index") -> DataFrame:
+    """The manifest rows of an editorial batch: pages (with ``path`` and a column for each OCR layer, see coverage.with_layers)
+    from the start-th on, each with the places of its files in the archive."""
+    fields = ["id", "physical_index", "source_pdf_sheet", "spread_side", "printed_page", "sha256", "extraction_method", "held_out_benchmark_v1"]
+    rows = coverage.numbered(pages, [order])
+    total = pages.count()
+    suffix = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
+    files = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*[F.concat(F.lit(f"ocr/{n}/"), F.col("id"), F.lit(".txt")) for n in names]))
+    return coverage.batch_slice(rows, start, count, total).select(*[c for c in fields if c in pages.columns], F.concat(F.lit("pages/"), "id", suffix).alias("page_file"), files.alias("ocr")).orderBy(order)
+
+
 def book_pages(texts: DataFrame, sources: DataFrame, figures: DataFrame, edition: str) -> DataFrame:
     """The pages of a book; figures: page_id, kind, label, id, file, sha256, asset_bbox, asset_index."""
     pages = joined_sources(edition_text(texts, edition), sources)

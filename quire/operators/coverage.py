@@ -21,15 +21,30 @@ def layer_coverage(expected: DataFrame, layers: DataFrame, key: str = "page_id",
     have = layers.select(layer, key).distinct().join(expected.withColumn("_in", F.lit(True)), key, "left")
     counts = have.groupBy(layer).agg(F.count("_in").alias("available"), F.sum(F.col("_in").isNull().cast("long")).alias("extra"))
     total = expected.agg(F.count("*").alias("expected"))
-    names = (layers.select(layer).distinct() if names is None else names).crossJoin(F.broadcast(total))  # one row
+    names = (layers.select(layer).distinct() if names is None else names).crossJoin(total)  # one row
     out = names.join(counts, layer, "left")
     available = F.coalesce("available", F.lit(0))
     return out.select(layer, "expected", available.alias("available"), (F.col("expected") - available).alias("missing"), F.coalesce("extra", F.lit(0)).alias("extra"))
 
 
 def missing_by_layer(expected: DataFrame, layers: DataFrame, names: DataFrame, key: str = "page_id", layer: str = "engine") -> DataFrame:
-    """(layer, key) of every expected key that a layer lacks; names are few and broadcast."""
-    return missing(expected.select(key).distinct().crossJoin(F.broadcast(names.select(layer))), layers, [layer, key])
+    """(layer, key) of every expected key that a layer lacks; names are the layers, a short list."""
+    return missing(expected.select(key).distinct().crossJoin(names.select(layer)), layers, [layer, key])
+
+
+def preview(rows: DataFrame, group: str, key: str, most: int = 20) -> DataFrame:
+    """The first ``most`` keys of each group in their order, as an array: what a report shows of a long list."""
+    first = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(group).orderBy(key))).where(F.col("_rn") <= most)
+    return first.groupBy(group).agg(F.sort_array(F.collect_list(key)).alias("first"))
+
+
+def with_layers(pages: DataFrame, layers: DataFrame, names: list[str], value: str = "text", key: str = "page_id", layer: str = "engine") -> tuple[DataFrame, DataFrame]:
+    """(pages with one column a layer, violations): every page needs every layer, and the pages that lack one are violations (rule, key, detail)."""
+    wide = layers.where(F.col(layer).isin(names)).groupBy(key).pivot(layer, names).agg(F.max(F.struct(F.col(value).alias("v"))))
+    j = pages.join(wide, key, "left")
+    lacks = F.filter(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in names]), lambda x: x.isNotNull())
+    bad = j.select(F.lit("missing-layer").alias("rule"), F.col(key).cast("string").alias("key"), F.explode(lacks).alias("detail"))
+    return j.where(F.size(lacks) == 0).withColumns({n: F.col(f"{n}.v") for n in names}), bad
 
 
 def pending(inputs: DataFrame, outputs: DataFrame, keys: list[str]) -> DataFrame:

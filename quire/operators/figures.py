@@ -115,10 +115,25 @@ def composition_violations(parts: DataFrame) -> DataFrame:
     out = out.unionByName(row(parts.where(F.col("clip").isNotNull() & ~G.inside(F.col("clip"), F.col("asset"))), "clip-outside-asset", F.col("asset_index")))
     out = out.unionByName(row(parts.select("id", "output").distinct().groupBy("output").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n > 1"), "output-twice", F.col("output")))
     out = out.unionByName(row(parts.where(~X.safe_path(F.col("output"))), "unsafe-path", F.col("output")))
+    out = out.unionByName(row(parts.where(F.trim(F.coalesce(F.col("id").cast("string"), F.lit(""))) == ""), "missing-id", F.col("output")))
     clashes = overlapping_pairs(parts.where("asset is not null").withColumn("_w", window), ["id", "page_id", "asset_index"], "part", "_w")
     return out.unionByName(row(clashes, "overlapping-windows", F.concat_ws("-", "a", "b")))
 
 
+def specification_violations(entries: DataFrame) -> DataFrame:
+    """(rule, key, detail) of composition entries before their parts are read: id, page_id, layout (null: source-coordinates), asset_indices
+    and parts (arrays, of which exactly one must be given and hold something)."""
+    c = F.col
+    given = lambda name: F.coalesce(F.size(name) > 0, F.lit(False))
+    rules = [("missing-id", F.trim(F.coalesce("id", F.lit(""))) == "", F.lit("")), ("layout", F.coalesce("layout", F.lit("source-coordinates")) != "source-coordinates", c("layout")),
+             ("unsafe-page", (F.trim(F.coalesce("page_id", F.lit(""))) == "") | c("page_id").contains("/") | c("page_id").isin(".", ".."), c("page_id")),
+             ("indices-xor-parts", given("asset_indices") == given("parts"), F.lit("")), ("index-twice", given("asset_indices") & (F.size(F.array_distinct("asset_indices")) < F.size("asset_indices")), F.array_join(c("asset_indices").cast("array<string>"), ","))]
+    found = F.array(*[F.when(F.coalesce(bad, F.lit(False)), F.struct(F.lit(rule).alias("rule"), F.coalesce("id", F.lit("")).alias("key"), F.coalesce(detail, F.lit("")).alias("detail"))) for rule, bad, detail in rules])
+    rows = entries.select(F.explode(F.filter(found, lambda x: x.isNotNull())).alias("v")).select("v.*")
+    twice = entries.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.lit("id-twice").alias("rule"), F.coalesce("id", F.lit("")).alias("key"), c("n").cast("string").alias("detail"))
+    return rows.unionByName(twice)
+
+
 def census_equality(figures: DataFrame, expected: dict[str, int]) -> DataFrame:
     """By section: n, distinct files, the number expected, and whether all agree."""
     want = F.element_at(F.create_map(*[F.lit(x) for k, n in expected.items() for x in (k, n)]), F.col("section"))

@@ -61,9 +61,22 @@ def epub_path(path: Column) -> Column:
 
 
 def with_facsimiles(pages: DataFrame, policy: DataFrame, key: str = "id") -> DataFrame:
-    """Adds facsimile (boolean) and text, which is hidden on facsimile pages; policy is a short list and is broadcast."""
+    """Adds facsimile (boolean) and text, which is hidden on facsimile pages."""
     marked = policy.select(key).distinct().withColumn("_f", F.lit(True))
-    return pages.join(F.broadcast(marked), key, "left").withColumn("facsimile", F.col("_f").isNotNull()).withColumn("text", F.when(F.col("facsimile"), F.lit("")).otherwise(F.col("text"))).drop("_f")
+    return pages.join(marked, key, "left").withColumn("facsimile", F.col("_f").isNotNull()).withColumn("text", F.when(F.col("facsimile"), F.lit("")).otherwise(F.col("text"))).drop("_f")
+
+
+def facsimile_flow(flow: DataFrame, policy: DataFrame, edition: str, page: str = "page_id") -> DataFrame:
+    """A page flow as an edition shows facsimile pages (policy: page, file). html and epub: the image first, then all else hidden;
+    fb2: the image, and the page's own figures go; pdf: the image alone stands for the page. Adds hidden (boolean)."""
+    if edition not in ("html", "epub", "fb2", "pdf"):
+        raise ValueError(f"no such edition: {edition}")
+    marked = policy.select(page, "file").dropDuplicates([page])
+    image = marked.select(page, F.lit(-1).alias("seq"), F.lit("facsimile").alias("kind"), F.col("file").alias("content"), F.lit(False).alias("hidden"))
+    own = flow.join(marked.select(page, F.lit(True).alias("_f")), page, "left")
+    shown = {"html": F.lit(True), "epub": F.lit(True), "fb2": F.col("_f").isNull() | (F.col("kind") != "figure"), "pdf": F.col("_f").isNull()}[edition]
+    hidden = F.col("_f").isNotNull() if edition in ("html", "epub") else F.lit(False)
+    return own.where(shown).select(page, "seq", "kind", "content", hidden.alias("hidden")).unionByName(image)
 
 
 def atlas_pages(pages: DataFrame, width: float = 720.0, height: float = 489.6) -> DataFrame:

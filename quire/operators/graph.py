@@ -10,12 +10,20 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import geometry as G
 from quire.functions.store import materialize
 
+# Limits and weights of the page model. H is the height of capitals, S the stroke's width.
+SCALE = {"dust": 0.0035, "least_dust": 4, "tall": 0.05, "wide": 0.07, "area": 3, "candidates": 30, "low": 0.65, "high": 1.55, "support": 0.22, "band": 20, "percentile": 0.97}
+BASELINE = {"text": 0.55, "tall": 1.6, "wide": 2.5, "enough": 30, "least": 20, "smallest": 1e-6, "score": 3.5, "percentile": 0.995, "above": 0.5, "most_text": 0.72}
+SEED_SIZE = {"extent": 2.2, "area": 7.0, "tall": 1.7}
+SUPPORT = {"extent": 1.8, "area": 4.5, "score": 3.5, "core_text": 0.58, "strong_text": 0.48, "glyph_low": 0.5, "glyph_high": 1.5, "glyph_wide": 1.55, "glyph_area": 2.8, "glyph_text": 0.48, "kept_text": 0.42}
+#: A pair of regions is one figure if a row holds: area ratio at most, gap at most (in H), then axis overlap at least or close edges at least.
+GROUPING = ((0.3, 1.35, 0.08, 1), (1.0, 0.35, 0.18, 2), (1.0, 0.75, math.inf, 3))
+
 
 def with_box(components: DataFrame) -> DataFrame:
     return components.withColumn("box", G.box(F.col("x"), F.col("y"), F.col("x") + F.col("w"), F.col("y") + F.col("h")))
@@ -35,8 +43,10 @@ def neighbours(components: DataFrame, max_gap: float, page: str = "page_id", lab
         out = df.select(page, F.col(label).alias(names[0]), b.alias(names[1]), F.explode(span(b["x1"] - pad, b["x2"] + pad)).alias("cx"))
         return out.withColumn("cy", F.explode(span(F.col(f"{names[1]}.y1") - pad, F.col(f"{names[1]}.y2") + pad)))
 
-    pairs = cells(boxed, 0, ("a", "_a")).join(cells(boxed, max_gap, ("b", "_b")), [page, "cx", "cy"]).where("a < b").dropDuplicates([page, "a", "b"])
     a, b = F.col("_a"), F.col("_b")
+    # both boxes cover the cell of the corner of a and the widened b, so a pair is kept there and appears once
+    corner = (F.floor(F.greatest(a["x1"], b["x1"] - max_gap) / cell) == F.col("cx")) & (F.floor(F.greatest(a["y1"], b["y1"] - max_gap) / cell) == F.col("cy"))
+    pairs = cells(boxed, 0, ("a", "_a")).join(cells(boxed, max_gap, ("b", "_b")), [page, "cx", "cy"]).where("a < b").where(corner)
     out = pairs.select(page, "a", "b", G.gap(a, b).alias("gap"), G.gap_x(a, b).cast("double").alias("dx"), G.gap_y(a, b).cast("double").alias("dy"), G.overlap_ratio(a["x1"], a["x2"], b["x1"], b["x2"]).alias("x_overlap_ratio"), G.overlap_ratio(a["y1"], a["y2"], b["y1"], b["y2"]).alias("y_overlap_ratio"))
     return out.where(F.col("gap") <= max_gap)
 
@@ -49,7 +59,7 @@ def line_support(components: DataFrame, page: str = "page_id", band: int = 64) -
     other = rows.select(page, F.col("label").alias("l2"), F.col("cx").alias("cx2"), F.col("cy").alias("cy2"), F.col("h").alias("h2"), F.floor(F.col("cy") / band).alias("row"))
     dx = F.col("cx2") - F.col("cx")
     near = (F.abs(F.col("cy2") - F.col("cy")) <= reach) & (F.abs(F.col("h2") - F.col("h")) <= F.greatest(F.lit(2.0), 0.45 * F.col("h"))) & (F.abs(dx) <= 6 * F.col("h"))
-    counts = left.join(other, [page, "row"]).where((F.col("label") != F.col("l2")) & near).groupBy(page, "label").agg(F.count_if(dx < 0).alias("_l"), F.count_if(dx > 0).alias("_r"))
+    counts = left.join(other, [page, "row"]).where((F.col("label") != F.col("l2")) & near).groupBy(page, "label").agg(F.count_if(dx < 0).alias("_l"), F.count_if(dx >= 0).alias("_r"))
     most, least = F.greatest("_l", "_r"), F.least("_l", "_r")
     score = F.least(F.lit(1.0), 0.65 * F.least(F.lit(1.0), most / 3) + 0.35 * F.least(F.lit(1.0), least / 2))
     return components.drop("line_support").join(counts, [page, "label"], "left").na.fill(0, ["_l", "_r"]).withColumn("line_support", score).drop("_l", "_r")
@@ -65,7 +75,7 @@ def text_scores(components: DataFrame, scale: DataFrame, page: str = "page_id")
     dx, dy = F.col("cx2") - F.col("cx"), F.abs(F.col("cy2") - F.col("cy"))
     aligned = (dy <= 0.55 * F.col("cap_height")) & (F.abs(F.col("h2") - F.col("h")) <= 0.8 * F.col("cap_height"))
     met = own.join(other, [page, "row"]).where((F.col("label") != F.col("l2")) & (F.abs(dx) <= 8 * F.col("cap_height")))
-    counts = met.groupBy(page, "label").agg(F.count_if(aligned & (dx < 0)).alias("_l"), F.count_if(aligned & (dx > 0)).alias("_r"), F.count_if((dy <= 0.45 * F.col("cap_height")) & (dx < 0)).alias("_ll"), F.count_if((dy <= 0.45 * F.col("cap_height")) & (dx >= 0)).alias("_lr"), F.count_if(aligned).alias("_n"))
+    counts = met.groupBy(page, "label").agg(F.count_if(aligned & (dx < 0)).alias("_l"), F.count_if(aligned & (dx >= 0)).alias("_r"), F.count_if((dy <= 0.45 * F.col("cap_height")) & (dx < 0)).alias("_ll"), F.count_if((dy <= 0.45 * F.col("cap_height")) & (dx >= 0)).alias("_lr"), F.count_if(aligned).alias("_n"))
     one = lambda x: F.least(F.lit(1.0), x)
     tall, wide = F.col("h") / F.col("cap_height"), F.col("w") / F.col("cap_height")
     shape = F.when(tall.between(0.35, 1.45) & (wide <= 2.2), 1.0).when(tall.between(0.22, 1.7) & (wide <= 2.8), 0.55).otherwise(0.1)
@@ -74,18 +84,42 @@ def text_scores(components: DataFrame, scale: DataFrame, page: str = "page_id")
     return out.withColumn("text_score", F.when(small, F.greatest(F.lit(0.0), one(score))).otherwise(0.0)).drop("_l", "_r", "_ll", "_lr", "_n", "cap_height")
 
 
-def height_mode(components: DataFrame, keys: list[str], height: str = "h", support: str | None = "line_support", least: int = 4) -> DataFrame:
+def height_mode(components: DataFrame, keys: list[str], height: str = "h", support: str | None = "line_support", least: int = 4, page_height: str | None = None) -> DataFrame:
     """The mode of a weighted, smoothed histogram of heights by key: weights 1 + 3 support, taps 1 2 3 2 1 over 9, zeros
-    beyond the ends, the smallest height of several, from ``least`` on."""
+    beyond the ends, the smallest height of several, from ``least`` on, or from 0.35 % of ``page_height`` (a column) where that is more."""
     weight = 1 + 3 * F.coalesce(F.col(support), F.lit(0)) if support else F.lit(1)
-    sums = components.where(F.col(height).isNotNull()).groupBy(*keys, F.col(height).alias("h")).agg(F.sum(weight).alias("w"))
+    floor = F.greatest(F.lit(least), F.bround(F.max(page_height) * SCALE["dust"]).cast("int")) if page_height else F.max(F.lit(least))
+    rows = components.where(F.col(height).isNotNull())
+    sums = rows.groupBy(*keys, F.col(height).alias("h")).agg(F.sum(weight).alias("w"), floor.alias("_least"))
     taps = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(t).alias("t")) for d, t in ((-2, 1), (-1, 2), (0, 3), (1, 2), (2, 1))])
-    spread = sums.select(*keys, "h", "w", F.explode(taps).alias("k")).select(*keys, (F.col("h") + F.col("k.d")).alias("h"), (F.col("w") * F.col("k.t")).alias("w"))
-    smooth = spread.groupBy(*keys, "h").agg((F.sum("w") / 9).alias("smooth")).where(F.col("h") >= least)
+    spread = sums.select(*keys, "h", "w", "_least", F.explode(taps).alias("k")).select(*keys, (F.col("h") + F.col("k.d")).alias("h"), (F.col("w") * F.col("k.t")).alias("w"), "_least")
+    smooth = spread.groupBy(*keys, "h").agg((F.sum("w") / 9).alias("smooth"), F.max("_least").alias("_least")).where(F.col("h") >= F.col("_least"))
     best = Window.partitionBy(*keys).orderBy(F.desc("smooth"), "h")
     return smooth.withColumn("_rn", F.row_number().over(best)).where("_rn = 1").select(*keys, F.col("h").alias("mode"), "smooth")
 
 
+def scale_candidates(components: DataFrame, pages: DataFrame, page: str = "page_id") -> DataFrame:
+    """Components that may be letters, with the size of their page; pages: page, width, height."""
+    rows = components.join(pages.select(page, F.col("width").alias("page_width"), F.col("height").alias("page_height")), page)
+    dust = F.greatest(F.lit(SCALE["least_dust"]), F.bround(F.col("page_height") * SCALE["dust"]).cast("int"))
+    return rows.where((F.col("h") >= dust) & (F.col("h") <= SCALE["tall"] * F.col("page_height")) & (F.col("w") <= SCALE["wide"] * F.col("page_width")) & (F.col("area") >= SCALE["area"]))
+
+
+def page_scale(components: DataFrame, pages: DataFrame, page: str = "page_id") -> DataFrame:
+    """By page: cap_height (97th percentile of the heights around the mode), mode, candidates, band, problem (null, or too few candidates)."""
+    found = line_support(scale_candidates(components, pages, page), page)
+    modes = height_mode(found, [page], page_height="page_height").select(page, "mode")
+    around = found.join(modes, page).where((F.col("h") >= SCALE["low"] * F.col("mode")) & (F.col("h") <= SCALE["high"] * F.col("mode")))
+    held = F.col("line_support") >= SCALE["support"]
+    heights = lambda c: F.percentile(F.when(c, F.col("h")), F.lit(SCALE["percentile"]))
+    bands = around.groupBy(page, "mode").agg(F.count_if(held).alias("_n"), F.count("*").alias("_all"), heights(held).alias("_strict"), heights(F.lit(True)).alias("_loose"))
+    strict = F.col("_n") >= SCALE["band"]
+    counts = found.groupBy(page).agg(F.count("*").alias("candidates"))
+    out = pages.select(page).join(counts, page, "left").join(bands, page, "left")
+    few = F.coalesce("candidates", F.lit(0)) < SCALE["candidates"]
+    return out.select(page, F.when(~few, F.when(strict, F.col("_strict")).otherwise(F.col("_loose"))).alias("cap_height"), F.when(~few, F.col("mode")).alias("mode"), F.coalesce("candidates", F.lit(0)).alias("candidates"), F.when(strict, F.col("_n")).otherwise(F.col("_all")).alias("band"), F.when(few, F.lit("few-candidates")).alias("problem"))
+
+
 def robust_z(df: DataFrame, keys: list[str], feature: str, baseline: str | None = None, floor: float = 0.15) -> DataFrame:
     """Adds z: (x - median) / max(floor, 1.4826 MAD) by key; with ``baseline`` the statistics come from its rows only. Medians are exact."""
     base = df.where(baseline) if baseline else df
@@ -96,19 +130,26 @@ def robust_z(df: DataFrame, keys: list[str], feature: str, baseline: str | None
 
 
 def seeds(components: DataFrame, scale: DataFrame, page: str = "page_id") -> DataFrame:
-    """Adds seed_score and is_seed; scale: page, cap_height, stroke."""
+    """Adds seed_score, is_seed and seed_problem (null, or few-baseline: the page has no model and no seed); scale: page, cap_height, stroke.
+
+    The baseline is a page's text-like components, or where these are fewer than 30 all of their size.
+    """
     rows = components.drop("seed_score").join(scale.select(page, "cap_height", "stroke"), page)
-    size = F.greatest("w", "h")
-    features = {"f1": F.log(F.col("h") / F.col("cap_height")), "f2": F.log(size / F.col("cap_height")), "f3": F.log(F.col("area") / (F.col("cap_height") * F.col("stroke")))}
-    rows = rows.withColumns({k: v for k, v in features.items()})
-    rows = rows.withColumn("_base", (F.col("text_score") >= 0.55) & (F.col("h") <= 1.6 * F.col("cap_height")) & (F.col("w") <= 2.5 * F.col("cap_height")))
+    size, H, S = F.greatest("w", "h"), F.col("cap_height"), F.col("stroke")
+    log = lambda x: F.log(F.greatest(x, F.lit(BASELINE["smallest"])))
+    features = {"f1": log(F.col("h") / H), "f2": log(size / H), "f3": log(F.col("area") / (H * S))}
+    low = F.col("h") <= BASELINE["tall"] * H
+    rows = rows.withColumns(features).withColumn("_text", (F.col("text_score") >= BASELINE["text"]) & low & (F.col("w") <= BASELINE["wide"] * H)).withColumn("_size", low & (size <= BASELINE["wide"] * H))
+    counts = rows.groupBy(page).agg(F.count_if("_text").alias("_nt"), F.count_if("_size").alias("_ns"))
+    enough = F.col("_nt") >= BASELINE["enough"]
+    rows = rows.join(counts, page).withColumn("_base", F.when(enough, F.col("_text")).otherwise(F.col("_size"))).withColumn("seed_problem", F.when(~enough & (F.col("_ns") < BASELINE["least"]), F.lit("few-baseline")))
     for f in features:
         rows = robust_z(rows, [page], f, "_base").withColumnRenamed("z", f"z_{f}")
-    rows = rows.withColumn("seed_score", F.coalesce(F.greatest("z_f1", "z_f2", "z_f3"), F.lit(0.0)))
-    limit = rows.where("_base").groupBy(page).agg(F.greatest(F.lit(3.5), F.percentile("seed_score", F.lit(0.995)) + 0.5).alias("_t"))
-    large = (size >= 2.2 * F.col("cap_height")) | (F.col("area") >= 7 * F.col("cap_height") * F.col("stroke")) | (F.col("h") >= 1.7 * F.col("cap_height"))
-    out = rows.join(limit, page, "left").withColumn("is_seed", (F.col("seed_score") >= F.coalesce("_t", F.lit(3.5))) & (F.col("text_score") < 0.72) & large)
-    return out.drop("_base", "_t", "f1", "f2", "f3", "z_f1", "z_f2", "z_f3", "cap_height", "stroke")
+    rows = rows.withColumn("seed_score", F.when(F.col("seed_problem").isNull(), F.greatest("z_f1", "z_f2", "z_f3")))
+    limit = rows.where("_base").groupBy(page).agg(F.greatest(F.lit(BASELINE["score"]), F.percentile("seed_score", F.lit(BASELINE["percentile"])) + BASELINE["above"]).alias("_t"))
+    large = (size >= SEED_SIZE["extent"] * H) | (F.col("area") >= SEED_SIZE["area"] * H * S) | (F.col("h") >= SEED_SIZE["tall"] * H)
+    out = rows.join(limit, page, "left").withColumn("is_seed", F.coalesce((F.col("seed_score") >= F.col("_t")) & (F.col("text_score") < BASELINE["most_text"]) & large, F.lit(False)))
+    return out.drop("_base", "_text", "_size", "_nt", "_ns", "_t", "f1", "f2", "f3", "z_f1", "z_f2", "z_f3", "cap_height", "stroke")
 
 
 def directed_costs(edges: DataFrame, components: DataFrame, scale: DataFrame, text_penalty: float = 5.0, page: str = "page_id") -> DataFrame:
@@ -127,6 +168,7 @@ def grow(costs: DataFrame, sources: DataFrame, budget: float, page: str = "page_
 
     Rounds of relaxation: only components whose value changed send it on; each round is written to the shared folder.
     """
+    costs = materialize(costs.select(page, "src", "dst", "cost"), "costs")  # every round joins them
     best = materialize(sources.select(page, F.col("label").alias("node"), F.lit(0.0).alias("dist"), F.col("label").alias("owner")), "grow")
     front = best
     for _ in range(most_rounds):
@@ -162,12 +204,8 @@ def region_links(owned: DataFrame, edges: DataFrame, regions: DataFrame, scale:
 
 
 def may_group(H: float, gap: float, axis: float, close: int, area_ratio: float) -> bool:
-    """Whether two regions are one figure. Overlapping boxes alone never suffice: without edges there is no gap."""
-    if not math.isfinite(gap):
-        return False
-    small = area_ratio <= 0.3 and gap <= 1.35 * H and (axis >= 0.08 or close >= 1)
-    near = gap <= 0.35 * H and (axis >= 0.18 or close >= 2)
-    return small or near or (close >= 3 and gap <= 0.75 * H)
+    """Whether the edges between two regions make them one figure; regions whose boxes merely overlap have no edge and an infinite gap."""
+    return any(area_ratio <= most_ratio and gap <= most_gap * H and (axis >= least_axis or close >= least_close) for most_ratio, most_gap, least_axis, least_close in GROUPING)
 
 
 def agglomerate(links: DataFrame, regions: DataFrame, page: str = "page_id") -> DataFrame:
@@ -227,9 +265,35 @@ def support_costs(edges: DataFrame, components: DataFrame, scale: DataFrame, tex
     return j.select(page, "src", "dst", (0.42 * F.col("gap") / F.greatest("stroke", F.lit(1.0)) * (1 - 0.35 * axis) + text_penalty * F.col("text_score") + speck).alias("cost"))
 
 
-def core(components: DataFrame, scale: DataFrame, page: str = "page_id") -> DataFrame:
-    """Components from which support grows: seeds, large ones with little text, high scores with less."""
-    j = components.join(scale.select(page, "cap_height", "stroke"), page)
-    large = (F.greatest("w", "h") >= 2.2 * F.col("cap_height")) | (F.col("area") >= 7 * F.col("cap_height") * F.col("stroke"))
-    keep = F.col("is_seed") | (large & (F.col("text_score") <= 0.58)) | ((F.col("seed_score") >= 3.5) & (F.col("text_score") <= 0.48))
-    return j.where(keep).select(page, "label")
+def core(components: DataFrame, members: DataFrame, scale: DataFrame, page: str = "page_id") -> DataFrame:
+    """(page, owner, label): components of each region from which its support grows: its seeds, large members with little
+    text, high scores with less; where there is none the seed with the highest score. members: page, owner, label."""
+    j = members.select(page, "owner", "label").join(components, [page, "label"]).join(scale.select(page, "cap_height", "stroke"), page)
+    strong = (F.col("seed_score") >= SUPPORT["score"]) & (F.col("text_score") <= SUPPORT["strong_text"])
+    j = j.withColumn("_core", F.coalesce(F.col("is_seed") | (_large() & (F.col("text_score") <= SUPPORT["core_text"])) | strong, F.lit(False)))
+    rank = Window.partitionBy(page, "owner").orderBy(F.desc("_core"), F.desc_nulls_last("seed_score"), "label")
+    return j.withColumn("_rn", F.row_number().over(rank)).where("_core OR _rn = 1").select(page, "owner", "label")
+
+
+def _large() -> Column:
+    return (F.greatest("w", "h") >= SUPPORT["extent"] * F.col("cap_height")) | (F.col("area") >= SUPPORT["area"] * F.col("cap_height") * F.col("stroke"))
+
+
+def support(components: DataFrame, edges: DataFrame, members: DataFrame, scale: DataFrame, budget: float = 4.6, text_penalty: float = 5.8, page: str = "page_id") -> DataFrame:
+    """(page, owner, label, dist, is_core, verdict): what each region's support reaches within the budget, along edges between its own members.
+
+    The verdict is keep, rejected-text (a letter beside the drawing) or passed (neither): core, large and strong components
+    and those with little text are kept.
+    """
+    region = F.concat_ws("\x1f", F.col(page).cast("string"), F.col("owner").cast("string"))
+    own = members.select(page, "owner", "label", region.alias("_region"))
+    costs = support_costs(edges, components, scale, text_penalty, page)
+    within = costs.join(own.select(page, F.col("label").alias("src"), "_region"), [page, "src"]).join(own.select(page, F.col("label").alias("dst"), F.col("_region").alias("_r2")), [page, "dst"]).where("_region = _r2").select("_region", "src", "dst", "cost")
+    start = materialize(core(components, members, scale, page), "core")
+    reached = grow(within, start.select(region.alias("_region"), "label"), budget, "_region").select("_region", F.col("node").alias("label"), "dist")
+    j = own.join(reached, ["_region", "label"]).join(components.select(page, "label", "w", "h", "area", "text_score", "seed_score"), [page, "label"]).join(scale.select(page, "cap_height", "stroke"), page)
+    j = j.join(start.withColumn("_c", F.lit(True)), [page, "owner", "label"], "left").withColumn("is_core", F.col("_c").isNotNull())
+    H, strong = F.col("cap_height"), F.coalesce(F.col("seed_score") >= SUPPORT["score"], F.lit(False))
+    letter = F.col("h").between(SUPPORT["glyph_low"] * H, SUPPORT["glyph_high"] * H) & (F.col("w") <= SUPPORT["glyph_wide"] * H) & (F.col("area") <= SUPPORT["glyph_area"] * H * H) & (F.col("text_score") >= SUPPORT["glyph_text"])
+    verdict = F.when(~F.col("is_core") & letter & ~strong, "rejected-text").when(F.col("is_core") | (F.col("text_score") <= SUPPORT["kept_text"]) | _large() | strong, "keep").otherwise("passed")
+    return j.select(page, "owner", "label", "dist", "is_core", verdict.alias("verdict"))

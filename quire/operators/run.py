@@ -46,6 +46,51 @@ def run_batches(pending: DataFrame, call: Callable, size: int = BATCH) -> DataFr
     return pending.select("model", "sample_id", "path").mapInPandas(run, _ROWS)
 
 
+def only(rows: DataFrame, column: str, values: list[str] | None) -> DataFrame:
+    """The rows with one of the values; without a list all of them."""
+    return rows if values is None else rows.where(F.col(column).isin(values))
+
+
+def with_preset(inputs: DataFrame, preset: str) -> DataFrame:
+    """The inputs of one preset; none is an error."""
+    found = inputs.where(F.col("preset") == preset)
+    if found.isEmpty():
+        raise ValueError(f"no input has the preset {preset}")
+    return found
+
+
+def working_models(pending: DataFrame, call: Callable, keep: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(pending rows of models that load, failed models with their error): each model is tried on its first page, once, before all its pages are."""
+    first = pending.groupBy("model").agg(F.min_by(F.struct("sample_id", "path"), "sample_id").alias("p")).select("model", "p.*")
+    tried = keep(run_batches(first, lambda model, pages: _loaded(call, model, pages), 1), "tried")
+    failed = tried.where(F.col("error").startswith(_LOAD)).select("model", F.expr(f"substring(error, {len(_LOAD) + 1})").alias("error"))
+    return pending.join(failed.select("model"), "model", "left_anti"), failed
+
+
+_LOAD = "load: "
+
+
+def _loaded(call: Callable, model: str, pages: list[tuple[str, str]]) -> dict[str, str]:
+    try:
+        return call(model, pages)
+    except LoadError as e:
+        raise LoadError(f"{_LOAD}{e}") from e
+
+
+def chain(start: DataFrame, stages: list[tuple[str, Callable[[DataFrame], DataFrame]]], keep: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, list[dict]]:
+    """Run stages one after another; each one's table is written and is the next one's input. (last table, a log row a stage); a
+    stage that raises ends the run with its name."""
+    now, log = start, []
+    for name, stage in stages:
+        began = time.perf_counter()
+        try:
+            now = keep(stage(now), name)
+        except Exception as e:
+            raise RuntimeError(f"stage {name} failed after {[x['stage'] for x in log]}") from e
+        log.append({"stage": name, "rows": now.count(), "seconds": time.perf_counter() - began})
+    return now, log
+
+
 def run_resumed(inputs: DataFrame, outputs: DataFrame, call: Callable, keep: Callable[[DataFrame, str], DataFrame], size: int = BATCH) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(all outputs, incidents, accounting): what has no output is run in batches, what a batch missed once more alone.
 

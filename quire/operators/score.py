@@ -92,6 +92,11 @@ def summary(scored: DataFrame, keys: list[str], pages: int | None = None) -> Dat
     return out
 
 
+def scored_samples(scored: DataFrame, keys: list[str], sample: str) -> DataFrame:
+    """How many different samples have a score, by keys."""
+    return scored.groupBy(*keys).agg(F.count_distinct(sample).alias("scored_samples"))
+
+
 def best(df: DataFrame, by: str, ties: list[str], within: list[str] | None = None) -> DataFrame:
     """The row with the least value, the first in the order of ``ties`` of several. Without ``within`` it is a top 1, not a window over everything."""
     if not within:

@@ -15,60 +15,44 @@ from pyspark.sql import functions as F
 from quire.functions import geometry as G
 from quire.functions import text as X
 from quire.operators import book, census, coverage, figures, flow, graph, score, validate
+from quire.plans import editions, layout  # noqa: F401  they register their queries
+from quire.plans.registry import QUERIES, SQL, query
+from quire.plans.registry import table as _t
 from quire.sources import readers
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Registers a query under its function's name."""
-
-    def add(f):
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(SQL)
 
 
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# --- scoring: whole pages are the turns of conversations, of several lines, characters other than ASCII folded to "~" (DuckDB's
+# distance counts bytes); the third turn's truth is pending, the sixth's uncertain, the second's has no status
 
-
-def _spread(df: DataFrame) -> DataFrame:
-    """A small file is one task; dealt out before heavy expressions."""
-    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-
-
-# --- scoring: pages are stretches of up to 120 characters of a document's lines, other than ASCII folded to "~"
-
-_PIECE = r"[^\n]{1,120}"
+_STATUS = "CASE turn WHEN 1 THEN NULL WHEN 2 THEN 'pending' WHEN 5 THEN 'excluded-uncertain' ELSE 'reviewed' END"
 _PAGES = f"""
-pages AS (SELECT doc_id, unnest(regexp_extract_all(regexp_replace(text, '[^\\x00-\\x7F]', '~', 'g'), '{_PIECE}')) AS gt FROM documents),
-preds AS (SELECT doc_id, 'alpha' AS engine, gt, translate(gt, 'el', 'ci') AS pred FROM pages
-          UNION ALL SELECT doc_id, 'beta', gt, replace(gt, ', ', ',') FROM pages
-          UNION ALL SELECT doc_id, 'gamma', gt, translate(replace(gt, 'th', 't'), 'o', '0') FROM pages),
-scored AS (SELECT doc_id, engine, length(trim(gt)) AS gs, length(regexp_replace(trim(gt), '\\s+', ' ', 'g')) AS gc,
-                  levenshtein(trim(gt), trim(pred)) AS ds, levenshtein(regexp_replace(trim(gt), '\\s+', ' ', 'g'), regexp_replace(trim(pred), '\\s+', ' ', 'g')) AS dc FROM preds)
-"""
+pages AS (SELECT conv_id, turn, regexp_replace(text, '[^\\x00-\\x7F]', '~', 'g') AS gt FROM conversations WHERE text IS NOT NULL AND coalesce({_STATUS}, '') NOT IN ('pending', 'excluded-uncertain')),
+preds AS (SELECT conv_id, turn, 'alpha' AS engine, gt, translate(gt, 'el', 'ci') AS pred FROM pages
+          UNION ALL SELECT conv_id, turn, 'beta', gt, replace(gt, ', ', ',') FROM pages
+          UNION ALL SELECT conv_id, turn, 'gamma', gt, translate(replace(gt, 'th', 't'), 'o', '0') FROM pages),
+norm AS (SELECT *, trim(regexp_replace(gt, '(?m)[ \\t]+$', '', 'g'), concat(' ', chr(9), chr(10))) AS ts, trim(regexp_replace(pred, '(?m)[ \\t]+$', '', 'g'), concat(' ', chr(9), chr(10))) AS ps FROM preds),
+scored AS (SELECT conv_id, turn, engine, length(ts) AS gs, length(regexp_replace(ts, '\\s+', ' ', 'g')) AS gc,
+                  levenshtein(ts, ps) AS ds, levenshtein(regexp_replace(ts, '\\s+', ' ', 'g'), regexp_replace(ps, '\\s+', ' ', 'g')) AS dc FROM norm)
+""".replace("\\\\", "\\")
+
+
+def _engines(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """Pages (keys, gt) with the predictions of three simulated engines."""
+    engine = lambda name, pred: F.struct(F.lit(name).alias("engine"), pred.alias("pred"))
+    engines = F.array(engine("alpha", F.translate("gt", "el", "ci")), engine("beta", F.replace("gt", F.lit(", "), F.lit(","))), engine("gamma", F.translate(F.replace("gt", F.lit("th"), F.lit("t")), "o", "0")))
+    return pages.select(*keys, "gt", F.explode(engines).alias("e")).select(*keys, "gt", "e.engine", "e.pred")
 
 
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folded = F.regexp_replace("text", r"[^\x00-\x7F]", "~")
-    pages = _spread(_t(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.explode(F.regexp_extract_all(folded, F.lit(_PIECE), F.lit(0))).alias("gt"))
-    engine = lambda name, pred: F.struct(F.lit(name).alias("engine"), pred.alias("pred"))
-    engines = F.array(engine("alpha", F.translate("gt", "el", "ci")), engine("beta", F.replace("gt", F.lit(", "), F.lit(","))), engine("gamma", F.translate(F.replace("gt", F.lit("th"), F.lit("t")), "o", "0")))
-    return pages.select("doc_id", "gt", F.explode(engines).alias("e")).select("doc_id", "gt", "e.engine", "e.pred")
+    turns = _t(spark, sf_dir, "conversations").where(score.eligible(F.col("text"), F.expr(_STATUS)))
+    return _engines(turns.select("conv_id", "turn", F.regexp_replace("text", r"[^\x00-\x7F]", "~").alias("gt")), ["conv_id", "turn"])
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,10 +74,10 @@ def best_config(spark, sf_dir):
     return score.best(score.summary(_scored(spark, sf_dir), ["engine"]), "cer_content", ["engine"]).select("engine", "cer_content")
 
 
-@query(f"""WITH {_PAGES} SELECT doc_id, engine, count(*) AS pages, CAST(sum(gs) AS BIGINT) AS gt_chars_strict, CAST(sum(gc) AS BIGINT) AS gt_chars_content,
-CAST(sum(ds) AS BIGINT) AS strict_edit_distance, CAST(sum(dc) AS BIGINT) AS content_edit_distance, sum(ds) / greatest(1, sum(gs)) AS cer_strict, sum(dc) / greatest(1, sum(gc)) AS cer_content FROM scored GROUP BY doc_id, engine""")
+@query(f"""WITH {_PAGES} SELECT conv_id, engine, count(*) AS pages, CAST(sum(gs) AS BIGINT) AS gt_chars_strict, CAST(sum(gc) AS BIGINT) AS gt_chars_content,
+CAST(sum(ds) AS BIGINT) AS strict_edit_distance, CAST(sum(dc) AS BIGINT) AS content_edit_distance, sum(ds) / greatest(1, sum(gs)) AS cer_strict, sum(dc) / greatest(1, sum(gc)) AS cer_content FROM scored GROUP BY conv_id, engine""")
 def ocr_score_pages(spark, sf_dir):
-    return score.summary(_scored(spark, sf_dir), ["doc_id", "engine"])
+    return score.summary(_scored(spark, sf_dir), ["conv_id", "engine"])
 
 
 @query()
@@ -102,6 +86,16 @@ def ocr_word_errors(spark, sf_dir):
     return score.summary(score.score_text(_predictions(spark, sf_dir)), ["engine"]).select("engine", "gt_words", "word_edit_distance", "wer_content")
 
 
+@query()
+def ocr_document_scores(spark, sf_dir):
+    """Whole documents, of any alphabet, letters and words; too slow in SQL, which lacks bands, so tests hold it against plain dynamic programming."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("gt"))
+    engine = lambda name, pred: F.struct(F.lit(name).alias("engine"), pred.alias("pred"))
+    engines = F.array(engine("alpha", F.translate("gt", "fk", "tl")), engine("beta", F.replace("gt", F.lit(", "), F.lit(","))), engine("gamma", F.replace(F.replace("gt", F.lit("th"), F.lit("t")), F.lit(".\n"), F.lit(". "))))
+    scored = score.score_text(docs.select("doc_id", "gt", F.explode(engines).alias("e")).select("doc_id", "gt", "e.engine", "e.pred"))
+    return scored.select("doc_id", "engine", "gt_chars_content", "strict_edit_distance", "content_edit_distance", "word_edit_distance", "cer_content", "wer_content")
+
+
 _NAMES = "SELECT p_partkey, p_name AS gt, replace(replace(p_name, 'a', ''), 'e', 'ee') AS pred FROM part"
 
 
@@ -112,18 +106,23 @@ def edit_operation_invariants(spark, sf_dir):
     return ops.select("p_partkey", (F.col("substitutions") + F.col("deletions") + F.col("insertions")).alias("edits"), (F.col("deletions") - F.col("insertions")).alias("balance"))
 
 
+@query(f"WITH {_PAGES} SELECT engine, count(DISTINCT concat(conv_id, '/', turn)) AS scored_samples FROM scored GROUP BY engine")
+def scored_samples(spark, sf_dir):
+    scored = _predictions(spark, sf_dir).select("engine", F.concat_ws("/", "conv_id", "turn").alias("sample"))
+    return score.scored_samples(scored, ["engine"], "sample")
+
+
 _FAMILIES = {"e": "eE", "t": "tT", "a": "aA", "o": "oO"}
 _FAMILY_SQL = " ".join(f"WHEN glyph IN ({', '.join(repr(g) for g in gs)}) THEN '{f}'" for f, gs in _FAMILIES.items())
 
 
-@query(f"""WITH pages AS (SELECT unnest(regexp_extract_all(regexp_replace(text, '[^\\x00-\\x7F]', '~', 'g'), '{_PIECE}')) AS gt FROM documents),
-p AS (SELECT string_split(gt, '') AS g, string_split(regexp_replace(translate(gt, 'T', '#'), 'e([aeiou])', '^\\1', 'g'), '') AS p FROM pages),
+@query(f"""WITH p AS (SELECT string_split(text, '') AS g, string_split(regexp_replace(translate(text, 'T', '#'), 'e([aeiou])', '^\\1', 'g'), '') AS p FROM documents),
 c AS (SELECT unnest(g) AS g, unnest(p) AS p FROM p), glyphs AS (SELECT unnest({[g for gs in _FAMILIES.values() for g in gs]}) AS glyph),
 n AS (SELECT glyph, CASE {_FAMILY_SQL} END AS family, count(*) FILTER (g = glyph) AS gt, count(*) FILTER (g = glyph AND p = glyph) AS correct, count(*) FILTER (p = glyph) - count(*) FILTER (g = glyph AND p = glyph) AS fp FROM c, glyphs WHERE g IN (SELECT glyph FROM glyphs) OR p IN (SELECT glyph FROM glyphs) GROUP BY glyph)
 SELECT family, CAST(sum(gt) AS BIGINT) AS gt, CAST(sum(correct) AS BIGINT) AS correct, CAST(sum(fp) AS BIGINT) AS false_positives, sum(correct) / nullif(sum(gt), 0) AS recall FROM n GROUP BY family""")
 def glyph_family_recall(spark, sf_dir):
-    """The engine's only errors put characters that no glyph is, one for one, so the diagonal is the best alignment."""
-    pages = _predictions(spark, sf_dir).where("engine = 'alpha'").select("gt", F.regexp_replace(F.translate("gt", "T", "#"), "e([aeiou])", "^$1").alias("pred"))
+    """Whole documents. The engine's only errors put characters that no glyph is, one for one, so the diagonal is the best alignment."""
+    pages = _t(spark, sf_dir, "documents").select(F.col("text").alias("gt"), F.regexp_replace(F.translate("text", "T", "#"), "e([aeiou])", "^$1").alias("pred"))
     counts = score.glyph_counts(pages, [], [g for gs in _FAMILIES.values() for g in gs], "gt", "pred")
     return score.family_recall(counts, _FAMILIES, [])
 
@@ -288,14 +287,14 @@ def batch_integrity(spark, sf_dir):
     return coverage.batch_integrity(refs, pages)
 
 
-@query("""SELECT conv_id, count(*) AS n, min(turn) AS least, max(turn) AS greatest, count(DISTINCT turn) AS distinct_n FROM conversations GROUP BY conv_id HAVING min(turn) <> 0 OR max(turn) <> count(*) - 1 OR count(DISTINCT turn) <> count(*)""")
+@query("""SELECT l_orderkey, count(*) AS n, min(l_linenumber) AS least, max(l_linenumber) AS greatest, count(DISTINCT l_linenumber) AS distinct_n FROM lineitem GROUP BY l_orderkey HAVING min(l_linenumber) <> 1 OR max(l_linenumber) <> count(*) OR count(DISTINCT l_linenumber) <> count(*)""")
 def page_sequence_check(spark, sf_dir):
-    return coverage.sequence_gaps(_t(spark, sf_dir, "conversations"), ["conv_id"], "turn", 0)
+    return coverage.sequence_gaps(_t(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_linenumber", 1)
 
 
-@query("SELECT text, count(*) AS n FROM conversations GROUP BY text HAVING count(*) > 1")
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
 def duplicate_keys(spark, sf_dir):
-    return coverage.duplicates(_t(spark, sf_dir, "conversations"), ["text"])
+    return coverage.duplicates(_t(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @query("""SELECT doc_id, 'only_first' AS side FROM (SELECT doc_id FROM documents EXCEPT SELECT page_id FROM pages) UNION ALL SELECT page_id, 'only_second' FROM (SELECT page_id FROM pages EXCEPT SELECT doc_id FROM documents)""")
@@ -414,22 +413,26 @@ def review_categories(spark, sf_dir):
     part = _t(spark, sf_dir, "part")
     policies = part.where("p_partkey = 1").select("p_type").distinct().withColumn("atlas", F.lit(True))
     c = F.col
-    rows = part.join(F.broadcast(policies), "p_type", "left")
+    rows = part.join(policies, "p_type", "left")
     category = census.review_category(c("p_partkey"), c("p_partkey"), c("p_size") == 7, c("p_brand") == "Brand#1", c("atlas"), c("p_size") > 30)
     return score.status_counts(rows.select(category.alias("category")), "category")
 
 
 # --- figures and geometry
 
-_PART_VIEWS = """lo AS (SELECT CAST(p_size AS VARCHAR) AS label, p_brand AS page_id, p_name AS file FROM part WHERE p_partkey % 97 = 1), di AS (SELECT CAST(p_size + 20 AS VARCHAR) AS label, p_brand AS page_id, p_name AS file FROM part WHERE p_partkey % 89 = 2 AND p_brand NOT IN (SELECT page_id FROM lo)),
-ma AS (SELECT CAST(p_size AS VARCHAR) AS label, p_brand AS page_id, p_name AS file FROM part WHERE p_partkey % 101 = 3), base AS (SELECT *, 'logical' AS c FROM lo UNION ALL SELECT *, 'direct' FROM di),
+#: All parts, dealt to the three sources; some direct labels repeat a logical one, some manual ones replace one.
+_PART_VIEWS = """lo AS (SELECT CAST(p_partkey AS VARCHAR) AS label, concat(CASE WHEN p_size >= 40 THEN 'P' ELSE 'L' END, p_partkey // 3) AS page_id, p_name AS file FROM part WHERE p_partkey % 3 = 1),
+di AS (SELECT CAST(CASE WHEN p_size < 10 THEN p_partkey - 1 ELSE p_partkey END AS VARCHAR) AS label, concat('P', p_partkey // 3) AS page_id, p_name AS file FROM part WHERE p_partkey % 3 = 2 AND concat('P', p_partkey // 3) NOT IN (SELECT page_id FROM lo)),
+ma AS (SELECT CAST(CASE WHEN p_size < 20 THEN p_partkey + 1 ELSE p_partkey END AS VARCHAR) AS label, concat('M', p_partkey // 3) AS page_id, p_name AS file FROM part WHERE p_partkey % 3 = 0), base AS (SELECT *, 'logical' AS c FROM lo UNION ALL SELECT *, 'direct' FROM di),
 err AS (SELECT label, count(*) AS n FROM base GROUP BY label HAVING count(*) > 1), allr AS (SELECT *, 1 AS p FROM base WHERE label NOT IN (SELECT label FROM err) UNION ALL SELECT *, 'manual', 0 FROM ma)"""
 
 
 def _precedence(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     part = _t(spark, sf_dir, "part")
-    view = lambda cond, label: part.where(cond).select(label.cast("string").alias("label"), F.col("p_brand").alias("page_id"), F.col("p_name").alias("file"))
-    return figures.by_precedence(view("p_partkey % 97 = 1", F.col("p_size")), view("p_partkey % 89 = 2", F.col("p_size") + 20), view("p_partkey % 101 = 3", F.col("p_size")))
+    k, size = F.col("p_partkey"), F.col("p_size")
+    view = lambda of, label, page: part.where(k % 3 == of).select(label.cast("string").alias("label"), F.concat(page, F.floor(k / 3).cast("string")).alias("page_id"), F.col("p_name").alias("file"))
+    logical = view(1, k, F.when(size >= 40, "P").otherwise("L"))
+    return figures.by_precedence(logical, view(2, F.when(size < 10, k - 1).otherwise(k), F.lit("P")), view(0, F.when(size < 20, k + 1).otherwise(k), F.lit("M")))
 
 
 @query(f"WITH {_PART_VIEWS} SELECT label, page_id, file, c AS source_category FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY p, label, page_id, file) AS rn FROM allr) WHERE rn = 1")
@@ -520,11 +523,12 @@ def seed_growth(spark, sf_dir):
     return graph.grow(costs, parts.where("label % 10 = 0"), 60.0)
 
 
-@query("""WITH m AS (SELECT l_returnflag, median(l_extendedprice) AS m FROM lineitem GROUP BY l_returnflag), d AS (SELECT l_returnflag, any_value(m) AS m, median(abs(l_extendedprice - m)) AS d FROM lineitem JOIN m USING (l_returnflag) GROUP BY l_returnflag)
-SELECT l_returnflag, count(*) AS n, count(*) FILTER ((l_extendedprice - m) / greatest(0.15, 1.4826 * d) > 1.5) AS outliers FROM lineitem JOIN d USING (l_returnflag) GROUP BY l_returnflag""")
+@query("""WITH m AS (SELECT l_suppkey, median(l_extendedprice) AS m FROM lineitem GROUP BY l_suppkey), d AS (SELECT l_suppkey, any_value(m) AS m, median(abs(l_extendedprice - m)) AS d FROM lineitem JOIN m USING (l_suppkey) GROUP BY l_suppkey)
+SELECT l_suppkey, count(*) AS n, count(*) FILTER ((l_extendedprice - m) / greatest(0.15, 1.4826 * d) > 1.5) AS outliers FROM lineitem JOIN d USING (l_suppkey) GROUP BY l_suppkey""")
 def robust_outliers(spark, sf_dir):
-    rows = graph.robust_z(_t(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice"), ["l_returnflag"], "l_extendedprice")
-    return rows.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.count_if(F.col("z") > 1.5).alias("outliers"))
+    """A page's components are a group of bounded size; here the lines of a supplier are."""
+    rows = graph.robust_z(_t(spark, sf_dir, "lineitem").select("l_suppkey", "l_extendedprice"), ["l_suppkey"], "l_extendedprice")
+    return rows.groupBy("l_suppkey").agg(F.count("*").alias("n"), F.count_if(F.col("z") > 1.5).alias("outliers"))
 
 
 @query("""WITH h AS (SELECT p_brand, p_size AS h, count(*) AS w FROM part GROUP BY ALL), t AS (SELECT unnest([-2, -1, 0, 1, 2]) AS d, unnest([1, 2, 3, 2, 1]) AS t), s AS (SELECT p_brand, hd AS h, sum(w * t) / 9 AS smooth FROM (SELECT p_brand, h + d AS hd, w, t FROM h, t) WHERE hd >= 4 GROUP BY p_brand, hd)

@@ -7,13 +7,17 @@ are ordered by the engine and streamed to the driver page by page.
 from __future__ import annotations
 
 import base64
+import contextlib
 import gzip
 import io
 import json
+import os
+import shutil
 import tarfile
 import zipfile
 from collections.abc import Iterable, Iterator
 from xml.etree import ElementTree as ET
+from xml.sax.saxutils import escape, quoteattr
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,17 +72,17 @@ def markdown_report(title: str, counters: dict[str, DataFrame], ranked: DataFram
 
 
 def html_edition(title: str, fragments: Iterable[str]) -> str:
-    return f'<!DOCTYPE html>\n<html lang="ru"><head><meta charset="utf-8"><title>{title}</title></head><body>\n' + "\n".join(fragments) + "\n</body></html>\n"
+    return f'<!DOCTYPE html>\n<html lang="ru"><head><meta charset="utf-8"><title>{escape(title)}</title></head><body>\n' + "\n".join(fragments) + "\n</body></html>\n"
 
 
 def epub_edition(title: str, identifier: str, pages: Iterable[tuple[str, str]], images: dict[str, bytes]) -> bytes:
     """A reproducible EPUB 3: pages are (id, XHTML fragment); the mimetype comes first and is stored."""
     out = io.BytesIO()
-    pages = list(pages)
+    pages, title, identifier = list(pages), escape(title), escape(identifier)
     xhtml = lambda body, head="": f'<?xml version="1.0" encoding="utf-8"?>\n<html xmlns="http://www.w3.org/1999/xhtml" xmlns:epub="http://www.idpf.org/2007/ops"><head><title>{title}</title>{head}</head><body>{body}</body></html>'
-    items = [f'<item id="nav" href="nav.xhtml" media-type="application/xhtml+xml" properties="nav"/>', *[f'<item id="p-{i}" href="pages/{i}.xhtml" media-type="application/xhtml+xml"/>' for i, _ in pages], *[f'<item id="i-{k}" href="{name}" media-type="image/png"/>' for k, name in enumerate(sorted(images))]]
-    opf = f'<?xml version="1.0" encoding="utf-8"?>\n<package xmlns="http://www.idpf.org/2007/opf" version="3.0" unique-identifier="id"><metadata xmlns:dc="http://purl.org/dc/elements/1.1/"><dc:identifier id="id">{identifier}</dc:identifier><dc:title>{title}</dc:title><dc:language>ru</dc:language></metadata><manifest>{"".join(items)}</manifest><spine>{"".join(f"<itemref idref=\"p-{i}\"/>" for i, _ in pages)}</spine></package>'
-    links = "".join(f'<li><a href="pages/{i}.xhtml">{i}</a></li>' for i, _ in pages)
+    items = [f'<item id="nav" href="nav.xhtml" media-type="application/xhtml+xml" properties="nav"/>', *[f'<item id={quoteattr(f"p-{i}")} href={quoteattr(f"pages/{i}.xhtml")} media-type="application/xhtml+xml"/>' for i, _ in pages], *[f'<item id="i-{k}" href={quoteattr(name)} media-type="image/png"/>' for k, name in enumerate(sorted(images))]]
+    opf = f'<?xml version="1.0" encoding="utf-8"?>\n<package xmlns="http://www.idpf.org/2007/opf" version="3.0" unique-identifier="id"><metadata xmlns:dc="http://purl.org/dc/elements/1.1/"><dc:identifier id="id">{identifier}</dc:identifier><dc:title>{title}</dc:title><dc:language>ru</dc:language></metadata><manifest>{"".join(items)}</manifest><spine>{"".join(f"<itemref idref={quoteattr(f'p-{i}')}/>" for i, _ in pages)}</spine></package>'
+    links = "".join(f'<li><a href={quoteattr(f"pages/{i}.xhtml")}>{escape(i)}</a></li>' for i, _ in pages)
     with zipfile.ZipFile(out, "w") as z:
         _stored(z, "mimetype", b"application/epub+zip", zipfile.ZIP_STORED)
         _stored(z, "META-INF/container.xml", b'<?xml version="1.0"?>\n<container version="1.0" xmlns="urn:oasis:names:tc:opendocument:xmlns:container"><rootfiles><rootfile full-path="OEBPS/content.opf" media-type="application/oebps-package+xml"/></rootfiles></container>')
@@ -122,6 +126,26 @@ def archive(files: Iterable[tuple[str, bytes]]) -> bytes:
     return out.getvalue()
 
 
+def place_file(source: str, target: str) -> str:
+    """Put a file at another place of a mounted folder by a hard link, else a copy, else a symbolic link; says which."""
+    if not os.path.exists(source):
+        raise FileNotFoundError(source)
+    os.makedirs(os.path.dirname(target) or ".", exist_ok=True)
+    with contextlib.suppress(FileNotFoundError):
+        os.remove(target)
+    for name, way in (("hardlink", os.link), ("copy", shutil.copy2), ("symlink", lambda a, b: os.symlink(os.path.abspath(a), b))):
+        with contextlib.suppress(OSError):
+            way(source, target)
+            return name
+    raise OSError(f"{source} cannot be placed at {target}")
+
+
+def batch_archive(name: str, header: dict, records: DataFrame, files: Iterable[tuple[str, bytes]], note: str = "") -> bytes:
+    """A batch for editors as one archive: its manifest, a note and its files, under a folder of its name."""
+    head = [("manifest.json", manifest(header, records).encode()), *([("README.txt", note.encode())] if note else [])]
+    return archive((f"{name}/{path}", data) for path, data in [*head, *files])
+
+
 def epub_pages(data: bytes) -> Iterator[tuple[str, str]]:
     """(page id, text) of an EPUB's pages in the order of its spine."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
