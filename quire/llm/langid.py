@@ -45,13 +45,17 @@ def has_letter(text: str) -> bool:
 
 
 def subwords(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(text, bucket) of all subwords, n-gram length by n-gram length, piece by piece."""
+    """(text, bucket) of all subwords, n-gram length by n-gram length, piece by piece.
+
+    A longer text goes in pieces that share three characters: an n-gram counts in the piece in which it begins, and
+    word bounds stand at the text's own ends only, so the n-grams are those of the whole text.
+    """
     points, owners, size = [], [], 0
     for i, text in enumerate(texts):
-        low = text.lower()
-        for a in range(0, max(1, len(low)), PIECE):  # a longer text is cut; the few n-grams across a cut do not count
-            points.append(np.frombuffer((" " + low[a : a + PIECE] + " ").encode("utf-32-le", "replace"), np.uint32))
-            owners.append((i, len(points[-1])))
+        low = f" {text.lower()} "
+        for a in range(0, len(low), PIECE):
+            points.append(np.frombuffer(low[a : a + PIECE + 3].encode("utf-32-le", "replace"), np.uint32))
+            owners.append((i, len(points[-1]), min(PIECE, len(low) - a)))
             size += len(points[-1])
             if size > PIECE:
                 yield from _ngrams(points, owners)
@@ -60,9 +64,11 @@ def subwords(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield from _ngrams(points, owners)
 
 
-def _ngrams(points: list[np.ndarray], owners: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _ngrams(points: list[np.ndarray], owners: list[tuple[int, int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """owners: text, characters, and how many of them an n-gram may begin with."""
     point = np.concatenate(points)
-    owner = np.repeat([o for o, _ in owners], [n for _, n in owners])
+    owner = np.repeat([o for o, _, _ in owners], [n for _, n, _ in owners])
+    begins = np.concatenate([np.arange(n) < own for _, n, own in owners])
     letter = _letters()[point]
     point = np.where(letter, point, 0).astype(np.uint64)
     inner = letter  # all characters but the first and the last are letters
@@ -83,6 +89,7 @@ def _ngrams(points: list[np.ndarray], owners: list[tuple[int, int]]) -> Iterator
             good = inner[1 : 1 + m].copy()
             for j in range(2, n - 1):
                 good &= inner[j : j + m]
+        good = good & begins[:m]
         yield owner[:m][good], (value[good] >> np.uint64(48)).astype(np.int64)
 
 
