@@ -4,6 +4,11 @@ Categories are predicted one after another. The model of a category is logistic,
 words and word beginnings that its labels select, and over the probabilities of the categories before it. Later
 models are trained with out-of-fold predictions of the earlier ones, so they see the errors that they will meet.
 
+Where labels name categories (``categories``: columns of 0 and 1), those are the chain's, in their order, and the label itself is the
+last. Where there is the one label alone, the categories are learnt: the labelled texts' telling words are grouped by the texts in which
+they occur together (spherical k-means over the words' rows, started at the most telling ones), and a positive text is of
+the category whose words it holds most.
+
 Training takes a bounded sample of labelled rows (``each`` a label); every whole text is scored.
 
 Defined results: a null or empty text has no features and gets the intercepts' probabilities, as
@@ -27,8 +32,8 @@ from quire.llm import _learn, _shared, _text
 #: Labelled rows of each label that training takes at most, about.
 EACH = 3000
 FOLDS = 5
-#: Words whose presence in a toxic text marks a category; toxic texts with none are of the last, "other".
-LEXICONS = {"insult": ("idiot", "moron", "loser", "clown", "fool", "imbecile"), "contempt": ("trash", "pathetic", "worthless", "disgusting", "stupid", "scum", "garbage", "vile")}
+#: Categories that are learnt where labels have none, and passes of the grouping.
+LEARNT, PASSES = 3, 20
 #: Words selected for a model at most, and how far (in standard deviations) their rates must differ.
 SELECTED, DEVIATIONS = 600, 4.0
 
@@ -67,7 +72,7 @@ def select(sample: Sample, y: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 class Chain:
     """Fitted models, in order: for each category its buckets, their weights, the weights of the earlier
-    categories' logits, and the intercept; and the threshold of the last."""
+    categories' probabilities, and the intercept; and the threshold of the last."""
 
     def __init__(self, names: list[str]):
         self.names, self.models, self.threshold = names, [], 2.0
@@ -79,20 +84,20 @@ class Chain:
         earlier = np.zeros((n, 0))
         for name in self.names:
             y = labels[name].astype(float)
-            out_of_fold = np.zeros(n)
+            out_of_fold = np.full(n, y.mean() if n else 0.0)
             for f in range(FOLDS):
                 rows = fold != f
                 chosen = select(sample, y, rows)
                 x = np.hstack((sample.dense(chosen), earlier))
                 if rows.any() and (~rows).any():
                     w = _learn.fit_logistic(x[rows], y[rows])
-                    out_of_fold[~rows] = x[~rows] @ w[:-1] + w[-1]
+                    out_of_fold[~rows] = _learn.sigmoid(x[~rows] @ w[:-1] + w[-1])
             chosen = select(sample, y, everything)
             w = _learn.fit_logistic(np.hstack((sample.dense(chosen), earlier)), y)
             self.models.append((chosen, w[: len(chosen)], w[len(chosen) : -1], float(w[-1])))
-            earlier = np.hstack((earlier, np.clip(out_of_fold, -8, 8)[:, None]))
+            earlier = np.hstack((earlier, out_of_fold[:, None]))
         # the threshold with the best F1 out of fold
-        p, y = _learn.sigmoid(earlier[:, -1]), labels[self.names[-1]] > 0
+        p, y = earlier[:, -1], labels[self.names[-1]] > 0
         best = (-1.0, 0.5)
         for t in np.linspace(0.05, 0.95, 91):
             said = p >= t
@@ -103,49 +108,67 @@ class Chain:
 
     def predict(self, rows: np.ndarray, buckets: np.ndarray, n: int) -> np.ndarray:
         """Probabilities (n, categories) of texts given as (text, bucket) pairs."""
-        logits = np.zeros((n, len(self.names)))
+        p = np.zeros((n, len(self.names)))
         for k, (chosen, weights, before, intercept) in enumerate(self.models):
             table = np.zeros(_learn.WORD_BUCKETS)
             table[chosen] = weights
-            logits[:, k] = np.bincount(rows, table[buckets], n) + intercept + np.clip(logits[:, :k], -8, 8) @ before
-        return _learn.sigmoid(logits)
-
-
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", each: int = EACH, lexicons: dict[str, tuple[str, ...]] | None = None) -> Chain:
+            p[:, k] = _learn.sigmoid(np.bincount(rows, table[buckets], n) + intercept + p[:, :k] @ before)
+        return p
+
+
+def learnt_categories(sample: Sample, positive: np.ndarray, count: int = LEARNT) -> np.ndarray:
+    """For each text the category (0 to count - 1) whose telling words it holds most; -1 for negative texts and those with none."""
+    chosen = select(sample, positive.astype(float), np.ones(len(sample.bags), bool))
+    of = np.full(len(sample.bags), -1)
+    held = sample.dense(chosen)[positive]
+    more = held.mean(0) > sample.dense(chosen)[~positive].mean(0) if len(held) and (~positive).any() else np.zeros(len(chosen), bool)
+    held = held[:, more]
+    if held.shape[1] < count:
+        return np.where(positive, 0, -1) if len(held) else of
+    words = held.T / np.maximum(np.linalg.norm(held, axis=0), 1e-9)[:, None]  # a word is the texts that hold it
+    starts = [int(held.sum(0).argmax())]
+    while len(starts) < count:  # each next one the word least like those before
+        starts.append(int((words @ words[starts].T).max(1).argmin()))
+    centres = words[starts]
+    for _ in range(PASSES):
+        group = (words @ centres.T).argmax(1)
+        sums = np.stack([words[group == k].sum(0) if (group == k).any() else centres[k] for k in range(count)])
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1), 1e-9)[:, None]
+    votes = held @ np.eye(count)[group]
+    of[np.flatnonzero(positive)] = np.where(votes.any(1), votes.argmax(1), -1)
+    return of
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", each: int = EACH, categories: list[str] | None = None) -> Chain:
     """Fit the chain on a sample of about ``each`` rows a label; the sample's ids are few and are broadcast."""
-    lexicons = LEXICONS if lexicons is None else lexicons
-    names = [*lexicons, "other", "toxic"]
-    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg((F.avg(label_col) >= 0.5).cast("int").alias("label"))
-    chosen = _learn.sample_keys(known, id_col, "label", each).select(F.col(id_col).alias("key"), "label")
+    _shared.small_batches(docs.sparkSession)
+    categories = categories or []
+    rate = lambda c: (F.coalesce(F.avg(c), F.lit(0.0)) >= 0.5).cast("int")
+    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("key")).agg(rate(label_col).alias("label"), *[rate(c).alias(f"c{j}") for j, c in enumerate(categories)])
+    chosen = _learn.sample_keys(known, "key", "label", each)
+    given = [f"c{j}" for j in range(len(categories))]
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = [{w.encode() for w in words} for words in lexicons.values()]
         for b in _text.blocks(batches, "text"):
-            data, at = _text.buffers(b.column(2))
-            rows, buckets = _learn.word_features(data, at)
+            rows, buckets = _learn.word_features(*_text.buffers(b.column(b.num_columns - 1)))
             cuts = np.searchsorted(rows, np.arange(b.num_rows + 1))
             bags = [buckets[x:y].astype(np.int32).tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-            raw = [set(_WORDS(data[x:y].tobytes())) for x, y in zip(at[:-1], at[1:], strict=True)]
-            which = [sum(1 << j for j, words in enumerate(marks) if words & found) for found in raw]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(which, pa.int32()), pa.array(bags, pa.binary())], names=["key", "label", "marks", "bag"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(bags, pa.binary())], names=["key", "label", *given, "bag"])
 
-    texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "key").select(F.col("key").cast("string").alias("key"), "label", "text")
-    rows = sorted(texts.mapInArrow(extract, "key string, label int, marks int, bag binary").collect(), key=lambda r: (r["key"], r["label"], bytes(r["bag"])))
+    texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "key").select(F.col("key").cast("string").alias("key"), "label", *given, "text")
+    rows = sorted(texts.mapInArrow(extract, f"key string, label int, {''.join(f'{c} int, ' for c in given)}bag binary").collect(), key=lambda r: (r["key"], r["label"], bytes(r["bag"])))
+    names = [*(categories or [f"kind_{k + 1}" for k in range(LEARNT)]), label_col]
     chain = Chain(names)
     if not rows:
         return chain
-    toxic = np.array([r["label"] for r in rows]) > 0
-    marks = np.array([r["marks"] for r in rows])
-    targets = {name: toxic & (marks >> j & 1 > 0) for j, name in enumerate(lexicons)}
-    targets |= {"other": toxic & (marks == 0), "toxic": toxic}
-    return chain.fit(Sample([np.frombuffer(bytes(r["bag"]), np.int32).astype(np.int64) for r in rows]), targets)
-
-
-def _WORDS(raw: bytes) -> list[bytes]:
-    return raw.lower().translate(_ONLY).split()
-
-
-_ONLY = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+    positive = np.array([r["label"] for r in rows]) > 0
+    sample = Sample([np.frombuffer(bytes(r["bag"]), np.int32).astype(np.int64) for r in rows])
+    if categories:
+        targets = {name: np.array([r[c] for r in rows]) > 0 for name, c in zip(categories, given, strict=True)}
+    else:
+        of = learnt_categories(sample, positive)
+        targets = {name: of == k for k, name in enumerate(names[:-1])}
+    return chain.fit(sample, targets | {label_col: positive})
 
 
 def predict(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

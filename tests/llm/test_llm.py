@@ -171,6 +171,22 @@ def test_language_id(spark, docs):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_ngrams_of_long_texts_are_whole(monkeypatch):
+    """A text in many pieces has the n-grams of the whole, no more and no less; words bounds at its ends only."""
+    texts = ["one long wörd " * 9, "abc", "", "x" * 40]
+    bags = lambda: [Counter((int(o), int(b)) for owner, bucket in langid.subwords(texts) for o, b in zip(owner, bucket, strict=True))]
+    whole = bags()
+    for size in (7, 10, 33):
+        monkeypatch.setattr(langid, "PIECE", size)
+        assert bags() == whole
+    plain = Counter()
+    for n in range(1, 5):
+        for t in texts:
+            padded = f" {t.lower()} "
+            plain[n] += sum(all(c.isalpha() for c in padded[i + 1 : i + n - 1]) and (any(c.isalpha() for c in padded[i : i + n]) if n <= 2 else True) for i in range(len(padded) - n + 1))
+    assert sum(plain.values()) == sum(whole[0].values())
+
+
 def test_language_of_nothing(spark):
     model = langid.train(spark.read.parquet(f"{SF}/documents.parquet"))
     got = langid.predict(spark.createDataFrame([(1, None), (2, "12 !? \n"), (3, "the of and in that"), (4, "漢字仮名交じり文"), (5, "123 " * 100 + "é")], "doc_id long, text string"), model, keep=["doc_id", "text"]).collect()
@@ -192,6 +208,24 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(0 <= r[f"p_{c}"] <= 1 for r in got for c in chain.names)
 
 
+def test_chain_takes_named_categories(spark):
+    """A category of its own label is learnt, the label follows it, and earlier probabilities reach later models."""
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(400):
+        rude, loud = rng.random() < 0.4, rng.random() < 0.4
+        words = [rng.choice("alpha beta gamma delta eps zeta".split()) for _ in range(12)] + ["clod"] * rude + ["shout"] * loud
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(rude), int(loud), int(rude or loud)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    chain = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, rude int, loud int, toxic int"), categories=["rude", "loud"])
+    assert chain.names == ["rude", "loud", "toxic"] and [len(m[2]) for m in chain.models] == [0, 1, 2]
+    got = {r["doc_id"]: r for r in toxicity.predict(docs, chain).collect()}
+    assert all((got[i]["p_rude"] > 0.5, got[i]["p_loud"] > 0.5, got[i]["toxic"]) == (bool(a), bool(b), bool(c)) for i, a, b, c in labels)
+    kinds = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, rude int, loud int, toxic int"))
+    assert kinds.names == ["kind_1", "kind_2", "kind_3", "toxic"]
+
+
 # --- 5
 
 def brute_components(texts, width, percent):
