@@ -3,8 +3,10 @@
 A text is cut into sentences, each is normalised and mapped to the identifier of a known licence
 sentence, and the sequence of identifiers is matched against ordered licence rules: a rule is met where
 its sentences occur in its order, others between them or not. Two views of a text are
-matched: its lines, and the lines of its paragraphs joined (wrapped licence texts). Everything is one projection of SQL
-functions, without a shuffle, and the same expressions are the DuckDB oracle, but for its narrower filter (MARKS) and leads.
+matched: its lines, and the lines of its paragraphs joined (wrapped licence texts). A period after an abbreviation ends no sentence, what a
+notice adds after its licence ("the License") does not hide it, and an SPDX expression gives a notice for each of its licences. Everything
+is one projection of SQL functions, without a shuffle. The DuckDB oracle has the older cutter, a narrower filter (MARKS) and the
+tables SENTENCES, RULES and LEADS alone; tests hold the operator against a plain version as well.
 
 Defined results: a null, empty or licence-free text has no sentences and no licences; licences are
 returned once each, in the order of their names; repeated rows and repeated sentences change nothing
@@ -13,6 +15,7 @@ but their own rows and counts; extra columns are not read.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 from pyspark.sql import DataFrame
@@ -72,6 +75,41 @@ RULES = {
     "MPL-2.0": [["mpl-form"]],
     "Unlicense": [["unlicense-grant"]],
 }
+# More sentences of licence texts and their notices; the DuckDB oracle is held without them.
+MORE_SENTENCES = {
+    "this source code form is subject to the terms of the mozilla public license v. 2.0": "mpl-form",
+    "you may obtain a copy of the license at": "copy-at",
+    "http www.apache.org licenses license 2.0": "apache-address",
+    "https www.apache.org licenses license 2.0": "apache-address",
+    "you may obtain a copy of the license at https www.apache.org licenses license 2.0": "apache-copy",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl-terms",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation": "lgpl-terms",
+    "you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation": "gpl2-only",
+    "it under the terms of the gnu general public license version 2 only as published by the free software foundation": "gpl2-only",
+    "either version 2 of the license or at your option any later version": "either-2",
+    "either version 2.1 of the license or at your option any later version": "either-2.1",
+    "either version 3 of the license or at your option any later version": "either-3",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "agpl3-later",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgpl3-later",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgpl3-later",
+    "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means": "unlicense-free",
+}
+# Sentences that name a holder, as patterns over the normalised sentence.
+TEMPLATES = {"^neither the name of .{1,160} nor the names of (?:its|the) contributors may be used to endorse or promote products derived from this software without specific prior written permission$": "bsd-endorse"}
+MORE_RULES = {
+    "Apache-2.0": [["apache-compliance", "copy-at", "apache-address"]],
+    "GPL-2.0-only": [["gpl2-only"]],
+    "GPL-2.0-or-later": [["gpl-terms", "either-2"]],
+    "GPL-3.0-or-later": [["gpl-terms", "either-3"]],
+    "LGPL-2.1-or-later": [["lgpl-terms", "either-2.1"]],
+    "LGPL-3.0-or-later": [["lgpl3-later"], ["lgpl-terms", "either-3"]],
+    "AGPL-3.0-or-later": [["agpl3-later"]],
+}
+# Abbreviations whose period ends no sentence, and what notices add after the licence's name.
+ABBREVIATIONS = "v|ver|vs|no|inc|ltd|corp|co|e[.]g|i[.]e|cf|resp"
+TAIL = "^((?:this [a-z]+ is )?(?:licensed|released|distributed|available) under .+?) (?:the license|the license agreement|see license(?: file)?|as follows)$"
+#: An SPDX expression after its tag.
+SPDX = r"(?i)spdx-license-identifier:?[ \t]*(\(*[A-Za-z0-9.+-]+\)*(?:[ \t]+(?:OR|AND|WITH)[ \t]+\(*[A-Za-z0-9.+-]+\)*)*)"
 #: A licence whose rule is met as well is not named when the stronger one is.
 IMPLIED = {"BSD-2-Clause": "BSD-3-Clause"}
 #: The DuckDB oracle's filter; it passes over sentences of other words. The scan takes marks().
@@ -89,9 +127,13 @@ def known_sentences(leads: list[str]) -> dict[str, str]:
     return out
 
 
+def all_sentences() -> dict[str, str]:
+    return known_sentences(LEADS + MORE_LEADS) | MORE_SENTENCES
+
+
 def marks() -> list[str]:
     """A few words of which every known sentence holds one: as a separator ends a word, a text without any of them has no sentence."""
-    left, out = [set(s.split()) for s in known_sentences(LEADS + MORE_LEADS)], []
+    left, out = [set(s.split()) for s in [*all_sentences(), *(re.sub("[^a-z ]", " ", t) for t in TEMPLATES)]], []
     while left:
         counts = Counter(w for s in left for w in s if len(w) >= 6 or w == "spdx")
         out.append(max(counts, key=lambda w: (counts[w], len(w), w)))
@@ -99,9 +141,10 @@ def marks() -> list[str]:
     return out
 
 
-def _rules() -> list[tuple[str, list[str]]]:
+def _rules(more: bool = False) -> list[tuple[str, list[str]]]:
     found = [(licence, [f"notice:{licence}"]) for licence in NAMES]
-    return sorted(found + [(licence, rule) for licence, rules in RULES.items() for rule in rules])
+    tables = (RULES, MORE_RULES) if more else (RULES,)
+    return sorted(found + [(licence, rule) for table in tables for licence, rules in table.items() for rule in rules])
 
 
 def ids_sql(text: str, view: str, duck: bool = False) -> str:
@@ -114,15 +157,23 @@ def ids_sql(text: str, view: str, duck: bool = False) -> str:
     if view == "joined":
         paragraphs = f"regexp_replace({text}, {q('\\n[ \\t\\r]*\\n[ \\t\\r\\n]*')}, chr(1){g})"
         text = f"replace(regexp_replace({paragraphs}, {q('[ \\t]*\\r?\\n[ \\t*#/]*')}, ' '{g}), chr(1), chr(10))"
-    cut = f"regexp_replace(regexp_replace({text}, {q('([.!?;])[ \\t]')}, concat({q(one)}, {line}){g}), {q(BEGINS)}, concat({line}, {q(one)}){g})"
+    stop = "([.!?;])[ \\t]" if duck else f"(?i)(?<!\\b(?:{ABBREVIATIONS}))([.!?;])[ \\t]"
+    cut = f"regexp_replace(regexp_replace({text}, {q(stop)}, concat({q(one)}, {line}){g}), {q(BEGINS)}, concat({line}, {q(one)}){g})"
     normal = lambda s: f"trim(regexp_replace(regexp_replace(lower({s}), {q('[^a-z0-9.+]+')}, ' '{g}), {q('[. ]+$|^[. ]+')}, ''{g}))"
-    table = known_sentences(LEADS if duck else LEADS + MORE_LEADS)
     if duck:
+        table = known_sentences(LEADS)
         pieces = f"string_split({cut}, chr(10))"
         keys, values = ", ".join(q(k) for k in table), ", ".join(q(v) for v in table.values())
         return f"list_filter(list_transform({pieces}, lambda s: map([{keys}], [{values}])[{normal('s')}]), lambda s: s IS NOT NULL)"
-    pairs = ", ".join(f"{q(k)}, {q(v)}" for k, v in table.items())
-    return f"filter(transform(split({cut}, {q('\n')}), s -> try_element_at(map({pairs}), {normal('s')})), s -> s IS NOT NULL)"
+    pairs = ", ".join(f"{q(k)}, {q(v)}" for k, v in all_sentences().items())
+    shapes = " ".join(f"WHEN n RLIKE {q(p)} THEN {q(i)}" for p, i in TEMPLATES.items())
+    known = f"coalesce(try_element_at(map({pairs}), regexp_replace(n, {q(TAIL)}, '$1')), CASE {shapes} END)"
+    canonical = ", ".join(f"{q(k.lower())}, {q(k)}" for k in sorted({*NAMES, *RULES, *MORE_RULES}))
+    tokens = f"regexp_extract_all(regexp_replace(regexp_extract(s, {q(SPDX)}, 1), {q(r'(?i)[ \t]with[ \t]+[A-Za-z0-9.+-]+')}, ''), {q('[A-Za-z0-9][A-Za-z0-9.+-]*')}, 0)"
+    names = f"transform(filter({tokens}, t -> lower(t) NOT IN ('or', 'and', 'with')), t -> regexp_replace(t, {q('[.]+$')}, ''))"
+    spdx = f"transform({names}, t -> concat('notice:', coalesce(try_element_at(map({canonical}), lower(t)), t)))"
+    one = f"CASE WHEN s RLIKE {q(SPDX)} THEN {spdx} ELSE transform(array({normal('s')}), n -> {known}) END"
+    return f"filter(flatten(transform(split({cut}, {q('\n')}), s -> {one})), i -> i IS NOT NULL)"
 
 
 def licences_sql(lines: str, joined: str, duck: bool = False) -> str:
@@ -130,7 +181,7 @@ def licences_sql(lines: str, joined: str, duck: bool = False) -> str:
     array = "[{}]" if duck else "array({})"
     joiner = "list_aggregate({}, 'string_agg', ',')" if duck else "array_join({}, ',')"
     met: dict[str, list[str]] = {}
-    for licence, rule in _rules():
+    for licence, rule in _rules(not duck):
         like = "'%," + ",%,".join(rule) + ",%'"
         for ids in (lines, joined):
             text = f"replace(concat(',', coalesce({joiner.format(ids)}, ''), ','), ',', ',,')"
@@ -139,7 +190,10 @@ def licences_sql(lines: str, joined: str, duck: bool = False) -> str:
     for weak, strong in IMPLIED.items():
         whole[weak] = f"({whole[weak]} AND NOT {whole[strong]})"
     cases = ", ".join(f"CASE WHEN {whole[k]} THEN '{k}' END" for k in sorted(whole))
-    return (f"list_filter({array.format(cases)}, lambda s: s IS NOT NULL)" if duck else f"filter({array.format(cases)}, s -> s IS NOT NULL)")
+    if duck:
+        return f"list_filter({array.format(cases)}, lambda s: s IS NOT NULL)"
+    notices = " , ".join(f"transform(filter({ids}, i -> i LIKE 'notice:%'), i -> substring(i, 8))" for ids in (lines, joined))
+    return f"array_sort(array_distinct(concat(filter({array.format(cases)}, s -> s IS NOT NULL), {notices})))"
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -339,7 +340,7 @@ def test_licenses(spark):
 
 def test_every_known_sentence_is_found(spark):
     named = {"Released under CC BY 4.0.": "CC-BY-4.0", "Available under GPLv3.": "GPL-3.0", "x; distributed under MPL 2.0": "MPL-2.0", "Released\n# under MIT": "MIT", "This project is released under the MIT License.": "MIT", "this file is released under CC0": "CC0-1.0", "THIS CODE IS RELEASED UNDER APACHE 2.0": "Apache-2.0", "unencumbered releases": None, "avail able under MIT": None}
-    table = licenses.known_sentences(licenses.LEADS + licenses.MORE_LEADS)
+    table = licenses.all_sentences()
     forms = [f"this {what} is {how} under" for what in ("work", "file", "software", "project", "code") for how in ("licensed", "released")]
     assert not [x for x in forms if f"{x} mit" not in table]
     sentences = [*named, *table]
@@ -349,6 +350,82 @@ def test_every_known_sentence_is_found(spark):
     assert [s for s in table if got[s]["sentence_ids"] != [table[s]]] == []
 
 
+GPL = "This program is free software{0} you can redistribute it and/or modify\nit under the terms of the GNU {1}General Public License as published by\nthe Free Software Foundation{2} either version {3} of the License, or\n(at your option) any later version."
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+REAL = {
+    "Apache-2.0": """// Licensed under the Apache License, Version 2.0 (the "License");
+// you may not use this file except in compliance with the License.
+// You may obtain a copy of the License at
+//
+//     http://www.apache.org/licenses/LICENSE-2.0
+//
+// Unless required by applicable law or agreed to in writing, software""",
+    "MPL-2.0": "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */",
+    "MIT": MIT, "BSD-2-Clause": BSD, "BSD-3-Clause": BSD + "\n3. Neither the name of the Regents of Somewhere nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+    "GPL-3.0-or-later": GPL.format(":", "", ",", "3"), "GPL-2.0-or-later": GPL.format(";", "", ";", "2"), "AGPL-3.0-or-later": GPL.format(":", "Affero ", ",", "3"), "LGPL-3.0-or-later": GPL.format(":", "Lesser ", ",", "3"), "LGPL-2.1-or-later": GPL.format(";", "Lesser ", ";", "2.1").replace("program", "library"),
+    "GPL-2.0-only": "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License version 2 as\npublished by the Free Software Foundation.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or\ndistribute this software.",
+}
+
+
+def test_real_notices_name_their_licence(spark):
+    spdx = {"# SPDX-License-Identifier: Apache-2.0 OR MIT": ["Apache-2.0", "MIT"], "/* SPDX-License-Identifier: (gpl-2.0-or-later WITH Classpath-exception-2.0) AND BSD-3-Clause */": ["BSD-3-Clause", "GPL-2.0-or-later"], "SPDX-License-Identifier: GPL-3.0-or-later.\nThis file is new.": ["GPL-3.0-or-later"], "x SPDX-License-Identifier: 0BSD y z": ["0BSD"]}
+    cases = [*((t, [name]) for name, t in REAL.items()), *spdx.items(), ("Licensed under e.g. the MIT License", []), ("I read the Apache License, Version 2.0 today.", [])]
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")).collect()}
+    assert {i: got[i] for i in got} == {i: want for i, (_, want) in enumerate(cases)}
+
+
+def plain_licences(text):
+    """Plain Python: sentences by scanning characters, identifiers by dictionary, rules by walking through the sequence."""
+    table, found = licenses.all_sentences(), set()
+    words = lambda s: " ".join("".join(c if c.isascii() and (c.isalnum() or c in ".+") else " " for c in s.lower()).split()).strip(". ")
+    paragraphs, held = [], []
+    for line in (text or "").split("\n") + [""]:
+        if line.strip():
+            held.append(line.strip(" \t\r").lstrip("*#/ \t") if held else line)
+        elif held:
+            paragraphs.append(" ".join(held))
+            held = []
+    for lines in ((text or "").split("\n"), paragraphs):
+        ids = []
+        for line in lines:
+            cut, start = [], 0
+            for i, c in enumerate(line):
+                short = re.search(rf"(?i)\b(?:{licenses.ABBREVIATIONS})$", line[:i])
+                if c in ".!?;" and line[i + 1 : i + 2] in (" ", "\t") and not short:
+                    cut.append(line[start : i + 1])
+                    start = i + 2
+            for sentence in [*cut, line[start:]]:
+                for part in re.split("(?=" + licenses.BEGINS[4:] + ")", sentence, flags=re.I):
+                    if part is None:
+                        continue
+                    n = re.sub(licenses.TAIL, r"\1", words(part))
+                    if n in table:
+                        ids.append(table[n])
+        for name, rule in licenses._rules(True):
+            at = iter(ids)
+            if all(step in at for step in rule):
+                found.add(name)
+    return found
+
+
+def test_licences_of_the_tables(spark, docs):
+    got = {r["doc_id"]: r for r in queries.op6_license_scan(spark, SF).collect()}
+    assert any(r["licenses"] for r in got.values())
+    for i, d in docs.items():
+        assert set(filter(None, got[i]["licenses"].split(","))) == plain_licences(d["text"]), d["text"]
+
+
 # --- 7
 
 def test_secrets(spark):
