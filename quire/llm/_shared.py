@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.llm import _text
+
 #: Bytes that one reducer of a packed exchange is meant to hold.
 REDUCER_BYTES = 16 << 20
 #: Bytes of one Arrow batch between the JVM and Python, and the setting with its default.
@@ -117,4 +119,4 @@ def unpacked(batches: Iterator[pa.RecordBatch], kinds: list[str]) -> list[np.nda
 
 def exchange(rows: DataFrame, count: int, reduce: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Deal packed rows by shard to ``count`` tasks and run ``reduce`` in each."""
-    return rows.repartition(count, F.col("shard")).mapInArrow(reduce, schema)
+    return rows.repartition(count, F.col("shard")).mapInArrow(_text.lean(reduce), schema)

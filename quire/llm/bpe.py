@@ -40,9 +40,11 @@ from quire.llm import _files, _shared, _text
 
 NONE = 1 << 30
 #: Bytes of text in one block, and of pieces that are replayed together.
-BLOCK_BYTES, REPLAY_BYTES = 4 << 20, 2 << 20
+BLOCK_BYTES, REPLAY_BYTES = 2 << 20, 2 << 20
 #: Hashes of units that a task remembers to have sent, 8 bytes each; beyond that it forgets them and may send some again.
-SENT = 1 << 21
+SENT = 1 << 19
+#: Units that are split into pieces and replayed at a time.
+UNITS = 1 << 17
 # Fixed value: the pattern whose matches never cross the cuts of units.
 BLANK_CUT = {r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"}
 #: Runs of blanks, blanks other than space and line feed, and the mark between units: such texts are split by the pattern.
@@ -344,7 +346,8 @@ def vocabulary(docs: DataFrame, shipped, text_col: str) -> tuple[str, int]:
         alone[1:] &= hashes[1:] != hashes[:-1]
         alone[:-1] &= hashes[1:] != hashes[:-1]
         hashes, units = hashes[alone], units.take(pa.array(by[alone]))
-        counts, ids = shipped.value.encode_units(units)
+        parts = [shipped.value.encode_units(units.slice(a, UNITS)) for a in range(0, max(1, len(units)), UNITS)]
+        counts, ids = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
         ends = np.cumsum(counts)
         shard = _files.range_shard(hashes, shards)
         for s in np.unique(shard).tolist():
@@ -354,7 +357,7 @@ def vocabulary(docs: DataFrame, shipped, text_col: str) -> tuple[str, int]:
             _files.write_arrays(f"{uri}/{s:06d}", [hashes[a:b], (ends[a:b] - low).astype(np.uint32), _files.narrow(own)])
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([b - a], pa.int64())], names=["shard", "units"])
 
-    sent = docs.select(text_col).mapInArrow(send, "shard int, data binary, sizes binary")
+    sent = docs.select(text_col).mapInArrow(_text.lean(send), "shard int, data binary, sizes binary")
     _shared.exchange(sent, shards, replay, "shard int, units long").agg(F.sum("units")).collect()  # one row
     return uri, shards
 
@@ -389,7 +392,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                 out.append(decoded.cast(pa.binary()))
             yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(_text.lean(run), schema)
 
 
 def decode(tokens: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str = "decoded", strict: bool = False) -> DataFrame:
@@ -409,4 +412,4 @@ def decode(tokens: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: st
             decoded = [b"".join([token_of.get(i, REPLACEMENT) for i in ids or [] if i is not None]) for ids in lists]
             yield pa.RecordBatch.from_arrays([*[b.column(j) for j in range(len(kept))], pa.array(decoded, pa.binary())], names=schema.names)
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(_text.lean(run), schema)

@@ -133,7 +133,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = 8, id_col: str
                     columns.append(_spans([offsets(t, f[1]) if f[1] else [] for t, f in zip(texts, found, strict=True)], pairs))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-        return chosen.mapInArrow(run, T.StructType([*[chosen.schema[c] for c in carried], *found_fields]))
+        return chosen.mapInArrow(_text.lean(run), T.StructType([*[chosen.schema[c] for c in carried], *found_fields]))
 
     if count == 1:
         out = block(0, [id_col, *keep])

@@ -122,7 +122,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             found = render(*vectors(*_text.buffers(b.column(1))))
             yield pa.RecordBatch.from_arrays([b.column(0), *[b.column(2 + j) for j in range(len(keep))], pa.array(found, pa.string())], names=schema.names)
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(_text.lean(run), schema)
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_rows: int = RANGE_ROWS) -> DataFrame:
@@ -159,7 +159,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
                 extra = b.take(pa.array(guests))
                 yield pa.RecordBatch.from_arrays([pa.array([before[x] for x in r[guests].tolist()], pa.int32()), pa.array(np.ones(len(guests), bool)), *extra.columns], names=["r", "guest", "k", "doc_id", "text"])
 
-    dealt = rows.mapInArrow(deal, "r int, guest boolean, k long, doc_id long, text string")
+    dealt = rows.mapInArrow(_text.lean(deal), "r int, guest boolean, k long, doc_id long, text string")
     ordered = dealt.repartition(max(1, len(full)), "r").sortWithinPartitions("r", "guest", F.desc("k"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +183,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
         if pairs:
             yield _compare(pairs)
 
-    return ordered.mapInArrow(run, schema)
+    return ordered.mapInArrow(_text.lean(run), schema)
 
 
 def _heads(batches: Iterator[pa.RecordBatch], cuts: np.ndarray) -> Iterator[pa.RecordBatch]:

@@ -82,7 +82,7 @@ def classes(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFram
             columns = [b.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()), pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "set_key", "signature"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, "doc_id long, n_shingles long, set_key long, signature binary")
+    return docs.select(id_col, text_col).mapInArrow(_text.lean(run), "doc_id long, n_shingles long, set_key long, signature binary")
 
 
 def rarity(docs: DataFrame, total: int, width: int, text_col: str) -> tuple[int, bytes]:
@@ -114,30 +114,25 @@ def rarity(docs: DataFrame, total: int, width: int, text_col: str) -> tuple[int,
                 found = np.frombuffer(blob.as_buffer(), np.uint8 if len(blob.as_buffer()) == each else np.int64)
                 sums[s] = sums[s] + found if s in sums else found.astype(np.int64)
         for s, found in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([found.tobytes()], pa.binary())], ["shard", "data"])
+            out = np.minimum(255, np.round(8 * np.log2(1 + found))).astype(np.uint8) if last else found
+            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([out.tobytes()], pa.binary())], ["shard", "data"])
 
     # tasks' tables are added up in groups of about FAN, then the groups, so that no reducer reads a row of every task
     groups = at_first = max(1, int(_shared.plan_bytes(docs, text_col) / (128 << 20) / FAN))
-    summed = docs.select(text_col).mapInArrow(count, "shard int, data binary")
+    summed = docs.select(text_col).mapInArrow(_text.lean(count), "shard int, data binary")
     while True:
+        last = at_first == 1
         summed = _shared.exchange(summed, min(shards * at_first, 4096), add, "shard int, data binary")
-        if at_first == 1:
+        if last:
             break
         before, at_first = at_first, max(1, at_first // FAN)
         summed = summed.select(((F.col("shard") / before).cast("int") * at_first + F.col("shard") % before % at_first).cast("int").alias("shard"), "data")
     table = np.zeros(1 << bits, np.uint8)
-    scaled = summed.mapInArrow(_scaled, "shard int, data binary")
-    for s, blob in scaled.collect():  # 64 rows, 8 MB at most
+    for s, blob in summed.collect():  # 64 rows, 8 MB at most
         table[s * each : (s + 1) * each] = np.frombuffer(bytes(blob), np.uint8)
     return bits, table.tobytes()
 
 
-def _scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        logs = [np.minimum(255, np.round(8 * np.log2(1 + np.frombuffer(x.as_buffer(), np.int64)))).astype(np.uint8).tobytes() for x in b.column(1)]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(logs, pa.binary())], ["shard", "data"])
-
-
 def meetings(docs: DataFrame, total: int, width: int, percent: int, text_col: str) -> DataFrame:
     """Rows (meeting, set_key, n): the classes, two at least, that share an n-gram among their first ones."""
     spark = docs.sparkSession
@@ -194,7 +189,7 @@ def meetings(docs: DataFrame, total: int, width: int, percent: int, text_col: st
                 ids = np.repeat(members[part], count[part]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(key[rows]), pa.array(n[rows])], names=["meeting", "set_key", "n"])
 
-    return _shared.exchange(docs.select(text_col).mapInArrow(enter, "shard int, data binary"), reducers, meet, "meeting long, set_key long, n long")
+    return _shared.exchange(docs.select(text_col).mapInArrow(_text.lean(enter), "shard int, data binary"), reducers, meet, "meeting long, set_key long, n long")
 
 
 def _entries(grams: list[np.ndarray], keys: list[int], sizes: list[int], shards: int) -> Iterator[pa.RecordBatch]:
@@ -342,7 +337,7 @@ def candidates(met: DataFrame, sets: DataFrame, percent: int, rows: int) -> Data
             flat = np.unique(np.sort(np.array([a, b_], np.int64), axis=0), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(flat[0]), pa.array(flat[1])], names=["a", "b"])
 
-    return _shared.exchange(signed.mapInArrow(pack, "shard int, head binary, sigs binary"), reducers, compare, "a long, b long")
+    return _shared.exchange(signed.mapInArrow(_text.lean(pack), "shard int, head binary, sigs binary"), reducers, compare, "a long, b long")
 
 
 _LINKS = "a long, b long, linked long"
@@ -387,8 +382,8 @@ def tile_links(docs: DataFrame, members: DataFrame, width: int, percent: int, id
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     chosen = texts.join(members, F.coalesce(texts["doc_id"], F.lit(NO_ID)) == members["d"]).select("text", "set_key", "rows", "tiles")
-    dealt = chosen.mapInArrow(deal, "tile long, side int, set_key long, rows long, data binary")
-    return dealt.repartition(reducers, "tile").sortWithinPartitions("tile").mapInArrow(link, _LINKS)
+    dealt = chosen.mapInArrow(_text.lean(deal), "tile long, side int, set_key long, rows long, data binary")
+    return dealt.repartition(reducers, "tile").sortWithinPartitions("tile").mapInArrow(_text.lean(link), _LINKS)
 
 
 #: Members of clusters, 32 bytes each, up to which they are broadcast to the texts instead of joined by a shuffle.
@@ -448,7 +443,7 @@ def with_set_keys(docs: DataFrame, width: int, text_col: str, name: str) -> Data
             sets = _text.shingle_sets(*_text.words(*_text.buffers(b.column(place))), width)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())], names=names)
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+    return docs.mapInArrow(_text.lean(run), T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
 
 
 def drop_near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

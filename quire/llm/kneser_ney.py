@@ -113,7 +113,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
             hot = c * 16 >= c.sum()
             yield _row("words", s, np.concatenate(([len(k), c.sum()], k[hot].view(np.int64), c[hot])))
 
-    rows = _shared.exchange(texts.mapInArrow(count_words, "shard int, data binary"), shards, write_words, _STATS).collect()  # one row a shard
+    rows = _shared.exchange(texts.mapInArrow(_text.lean(count_words), "shard int, data binary"), shards, write_words, _STATS).collect()  # one row a shard
     stats = [np.frombuffer(bytes(r["data"]), np.int64) for r in rows]
     n_words, n_tokens = sum(int(s[0]) for s in stats), sum(int(s[1]) for s in stats)
     hot_keys = [BEGIN] + [k for s in stats for k, c in zip(s[2 : 2 + (len(s) - 2) // 2].view(np.uint64), s[2 + (len(s) - 2) // 2 :], strict=True) if c * 16 * shards >= n_tokens]
@@ -175,7 +175,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
             _files.write_arrays(f"{uri}/continued/{s:06d}", [k, _files.narrow(c)])
             yield _row("lower", s, np.array([*[int((c == i).sum()) for i in (1, 2, 3, 4)], len(c)], np.int64))
 
-    counted = _shared.exchange(texts.mapInArrow(count_bigrams, _STATS), shards, write_bigrams, _STATS)
+    counted = _shared.exchange(texts.mapInArrow(_text.lean(count_bigrams), _STATS), shards, write_bigrams, _STATS)
     rows = _shared.exchange(counted, shards, write_continued, _STATS).collect()  # two rows a shard and the hot words' statistics
     bigrams, continued = np.zeros(5, np.int64), np.zeros(5, np.int64)
     contexts: dict[int, list[int]] = {}
@@ -247,7 +247,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             found = [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(np.full(len(n), m.n_tokens), pa.int64()), pa.array(base), pa.array(logp), pa.array(10 ** np.minimum(-logp / n, 300))]
             yield pa.RecordBatch.from_arrays([b.column(0), *[b.column(2 + j) for j in range(len(keep))], *found], names=schema.names)
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(_text.lean(run), schema)
 
 
 def train_and_score(docs: DataFrame, is_training: Column, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -184,7 +184,7 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", key_c
             bags = [bag(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x[0].astype(np.int32).tobytes() for x in bags], pa.binary()), pa.array([x[1].tobytes() for x in bags], pa.binary())], names=["lang", "at", "share"])
 
-    rows = chosen.select("lang", "text").mapInArrow(extract, "lang string, at binary, share binary").collect()
+    rows = chosen.select("lang", "text").mapInArrow(_text.lean(extract), "lang string, at binary, share binary").collect()
     rows = sorted((r["lang"], bytes(r["at"]), bytes(r["share"])) for r in rows)
     kept = [r for r in rows if r[1]]
     return fit([(np.frombuffer(a, np.int32).astype(np.int64), np.frombuffer(s, np.float64)) for _, a, s in kept], [r[0] for r in kept])
@@ -209,7 +209,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
             kept = [b.column(0) if c == text_col else b.column(b.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(said, pa.string()), pa.array(score), pa.array(und | (score < m.threshold))], names=schema.names)
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(_text.lean(run), schema)
 
 
 def reject(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

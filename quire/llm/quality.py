@@ -92,7 +92,7 @@ def train(docs: DataFrame, known: DataFrame, id_col: str, text_col: str, each: i
             x = statistics(*_text.buffers(b.column(1)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(x), pa.list_(pa.float64()))], names=["label", "x"])
 
-    rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "key").select("label", "text").mapInArrow(extract, "label int, x array<double>").collect()
+    rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "key").select("label", "text").mapInArrow(_text.lean(extract), "label int, x array<double>").collect()
     rows = sorted((r["label"], tuple(r["x"])) for r in rows)
     y = np.array([float(r[0]) for r in rows])
     counts = {r["label"]: r["count"] for r in known.groupBy(F.col("label").cast("int").alias("label")).count().collect()}
@@ -131,7 +131,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(p)], names=schema.names)
 
     # evidence is rounded, so that sums do not depend on the order in which they are added
-    rows = chosen.mapInArrow(run, schema).withColumn("evidence", F.round("evidence", 6))
+    rows = chosen.mapInArrow(_text.lean(run), schema).withColumn("evidence", F.round("evidence", 6))
     rows = rows.join(known, F.col("id") == F.col("key"), "left").select("id", "host", "path", "evidence", "label", F.when(F.col("label").isNull(), F.lit(SOFT)).otherwise(F.lit(1.0)).alias("w"))
     rows = materialize(rows.withColumn("own", F.col("w") * F.coalesce("label", "evidence")), "evidence")
     paths = materialize(rows.groupBy("host", "path").agg(F.sum("w").alias("n"), F.sum("own").alias("k"), F.sum(F.col("label").isNotNull().cast("long")).alias("labelled")), "paths")

@@ -156,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(bags, pa.binary())], names=["key", "label", *given, "bag"])
 
     texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "key").select(F.col("key").cast("string").alias("key"), "label", *given, "text")
-    rows = sorted(texts.mapInArrow(extract, f"key string, label int, {''.join(f'{c} int, ' for c in given)}bag binary").collect(), key=lambda r: (r["key"], r["label"], bytes(r["bag"])))
+    rows = sorted(texts.mapInArrow(_text.lean(extract), f"key string, label int, {''.join(f'{c} int, ' for c in given)}bag binary").collect(), key=lambda r: (r["key"], r["label"], bytes(r["bag"])))
     names = [*(categories or [f"kind_{k + 1}" for k in range(LEARNT)]), label_col]
     chain = Chain(names)
     if not rows:
@@ -186,4 +186,4 @@ def predict(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str
             toxic = (p[:, -1] >= shipped.value.threshold) & (np.bincount(rows, minlength=n) > 0)
             yield pa.RecordBatch.from_arrays([b.column(0), *[b.column(2 + j) for j in range(len(keep))], *[pa.array(p[:, k]) for k in range(p.shape[1])], pa.array(toxic)], names=schema.names)
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(_text.lean(run), schema)
