@@ -49,14 +49,20 @@ def lean(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            if hasattr(libc, "malloc_trim"):
-                libc.malloc_trim(0)
+            give_back()
 
     return bounded
 
 
+def give_back() -> None:
+    """Return what is free to the system; the driver does so after it has fitted a model."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (splitmix64), element by element."""
     with np.errstate(over="ignore"):

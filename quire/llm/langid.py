@@ -182,12 +182,14 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", key_c
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             bags = [bag(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x[0].astype(np.int32).tobytes() for x in bags], pa.binary()), pa.array([x[1].tobytes() for x in bags], pa.binary())], names=["lang", "at", "share"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x[0].astype(np.int32).tobytes() for x in bags], pa.binary()), pa.array([x[1].astype(np.float32).tobytes() for x in bags], pa.binary())], names=["lang", "at", "share"])
 
     rows = chosen.select("lang", "text").mapInArrow(_text.lean(extract), "lang string, at binary, share binary").collect()
-    rows = sorted((r["lang"], bytes(r["at"]), bytes(r["share"])) for r in rows)
-    kept = [r for r in rows if r[1]]
-    return fit([(np.frombuffer(a, np.int32).astype(np.int64), np.frombuffer(s, np.float64)) for _, a, s in kept], [r[0] for r in kept])
+    rows = sorted(((r["lang"], r["at"], r["share"]) for r in rows if r["at"]), key=lambda r: (r[0], bytes(r[1]), bytes(r[2])))
+    model = fit([(np.frombuffer(a, np.int32), np.frombuffer(s, np.float32)) for _, a, s in rows], [r[0] for r in rows])
+    del rows
+    _text.give_back()
+    return model
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -168,7 +168,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     else:
         of = learnt_categories(sample, positive)
         targets = {name: of == k for k, name in enumerate(names[:-1])}
-    return chain.fit(sample, targets | {label_col: positive})
+    chain.fit(sample, targets | {label_col: positive})
+    del rows, sample
+    _text.give_back()
+    return chain
 
 
 def predict(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
