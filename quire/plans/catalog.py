@@ -86,16 +86,6 @@ def ocr_word_errors(spark, sf_dir):
     return score.summary(score.score_text(_predictions(spark, sf_dir)), ["engine"]).select("engine", "gt_words", "word_edit_distance", "wer_content")
 
 
-@query()
-def ocr_document_scores(spark, sf_dir):
-    """Whole documents, of any alphabet, letters and words; too slow in SQL, which lacks bands, so tests hold it against plain dynamic programming."""
-    docs = _t(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("gt"))
-    engine = lambda name, pred: F.struct(F.lit(name).alias("engine"), pred.alias("pred"))
-    engines = F.array(engine("alpha", F.translate("gt", "fk", "tl")), engine("beta", F.replace("gt", F.lit(", "), F.lit(","))), engine("gamma", F.replace(F.replace("gt", F.lit("th"), F.lit("t")), F.lit(".\n"), F.lit(". "))))
-    scored = score.score_text(docs.select("doc_id", "gt", F.explode(engines).alias("e")).select("doc_id", "gt", "e.engine", "e.pred"))
-    return scored.select("doc_id", "engine", "gt_chars_content", "strict_edit_distance", "content_edit_distance", "word_edit_distance", "cer_content", "wer_content")
-
-
 _NAMES = "SELECT p_partkey, p_name AS gt, replace(replace(p_name, 'a', ''), 'e', 'ee') AS pred FROM part"
 
 

@@ -1,4 +1,4 @@
-"""Operators that no query reaches, on small cases; whole-page scores against brute force."""
+"""Operators that no query reaches, on small cases."""
 
 from __future__ import annotations
 
@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as X
 from quire.functions.store import materialize
 from quire.operators import book, census, coverage, figures, flow, graph, images, run, score
-from quire.plans import catalog
 from quire.sources import readers, sinks
-from tests.test_functions import distance
 from tests.test_operators import components
 
 
@@ -99,18 +97,6 @@ def test_runs_of_models_and_stages(spark):
         run.chain(inputs, [("broken", lambda d: d.select("none"))], materialize)
 
 
-def test_scores_of_whole_documents(spark):
-    """Every document of the smallest table, whole, against plain dynamic programming on a few and invariants on all."""
-    scored = {(r["doc_id"], r["engine"]): r for r in catalog.queries()["ocr_document_scores"](spark, "/root/testdata/sf0.001").collect()}
-    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
-    assert len(scored) == 3 * len(docs)
-    for i in sorted(docs, key=lambda i: len(docs[i]))[:6]:
-        gt = " ".join(docs[i].split())
-        pred = " ".join(docs[i].translate(str.maketrans("fk", "tl")).split())
-        r = scored[i, "alpha"]
-        assert (r["gt_chars_content"], r["content_edit_distance"], r["word_edit_distance"]) == (len(gt), distance(gt, pred), distance(gt.split(), pred.split()))
-
-
 def test_word_distance_of_many_words(spark):
     """More distinct words than code points below the surrogates."""
     a = " ".join(f"w{i}" for i in range(60_000))
