@@ -63,9 +63,9 @@ class Table:
             self.open[s] = None if keys is None else [keys, *[map_array(f"{self.uri}/{s:06d}", j) for j in range(1, self.values + 1)]]
         return self.open[s]
 
-    def get(self, keys: np.ndarray, shard: np.ndarray) -> list[np.ndarray]:
-        """The values of each key, 0 where it is absent."""
-        out = [np.zeros(len(keys), np.int64) for _ in range(self.values)]
+    def get(self, keys: np.ndarray, shard: np.ndarray, places: bool = False) -> list[np.ndarray]:
+        """The values of each key, 0 where it is absent; with ``places`` also its place in the shard, from 1."""
+        out = [np.zeros(len(keys), np.int64) for _ in range(self.values + places)]
         by = np.lexsort((keys, shard))
         cuts = np.flatnonzero(np.concatenate(([True], shard[by][1:] != shard[by][:-1]))).tolist() if len(by) else []
         for a, b in zip(cuts, [*cuts[1:], len(by)], strict=False):
@@ -75,8 +75,10 @@ class Table:
                 continue
             at = np.minimum(np.searchsorted(found[0], keys[rows]), len(found[0]) - 1)
             hit = found[0][at] == keys[rows]
-            for column, values in zip(out, found[1:], strict=True):
+            for column, values in zip(out, found[1:], strict=False):
                 column[rows[hit]] = values[at[hit]]
+            if places:
+                out[-1][rows[hit]] = at[hit] + 1
         return out
 
 

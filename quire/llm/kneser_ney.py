@@ -1,48 +1,66 @@
-"""Language-model scoring: an interpolated modified Kneser-Ney bigram model.
+"""Language-model scoring: an interpolated modified Kneser-Ney n-gram model of any order from 2 on.
 
-Counting runs in the engine: tasks count their own texts, packed counts are dealt by hash, and
-reducers write sorted hash arrays to the shared folder (words, contexts, continuations, bigrams).
-Bigrams go by the hash of their first word, so a context's statistics are complete in one place; those of the
-few hot first words are spread by the whole bigram's hash and their statistics are added up on the
-driver (at most 16 words a shard). Scoring maps the arrays into memory and looks a block's sorted
-distinct words and bigrams up, shard after shard; no worker holds the model.
+Counting runs in the engine. Words are counted first and numbered by their place in the sorted
+word table. Then tasks count the n-grams of their own texts as sequences of word numbers, packed counts are
+dealt by hash, and reducers write sorted hash arrays to the shared folder, order by order: an
+order's distinct n-grams, without their first word, are the continuation counts of the next lower
+one. N-grams go by the hash of their context, so a context's statistics are complete in one place; those of
+contexts that consist of hot words are spread by the whole n-gram's hash, and their partial statistics
+are added up in the next exchange. Scoring maps the arrays into memory and looks a block's sorted
+distinct words, contexts and n-grams up, shard after shard; no worker holds the model.
 
-What is counted grows with the corpus: all training texts, whole. Words are 64-bit hashes.
+What is counted grows with the corpus: all training texts, whole, nothing pruned. Words are 64-bit hashes.
 
 Defined results: A-Z count as a-z; words are runs without blanks; each text ends with one end
-token, which counts; a null or empty text is one end token. Without training texts every
+token, which counts; order - 1 begin marks stand before each text and are no tokens; a null or empty text is one end
+token. A context that training does not know leaves the probability to the next lower order. Without training texts every
 probability is 1. Each row yields one row, repeated rows included; a null training flag counts
 as false; extra columns are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.llm import _files, _shared, _text
 
 _U = np.uint64
-END, BEGIN = _U(0xE0D0E0D0E0D0E0D1), _U(0xB0E0B0E0B0E0B0E3)
+END = _U(0xE0D0E0D0E0D0E0D1)
+#: Word numbers: 0 is no known word, 1 the mark before a text; words begin at 2.
+UNKNOWN, BEGIN, FIRST = 0, 1, 2
+#: Words of the longest n-grams, unless the caller names another number.
+ORDER = 3
 #: Entries that a task counts before it passes them on.
-HELD = 1 << 21
+HELD = 1 << 20
 _STATS = "kind string, shard int, data binary"
 
 
-def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first, second) of every bigram, and where each text begins among them: second is the token itself."""
+def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all tokens, the ends of texts among them, and where each text begins in them (one more at the end)."""
     hashes, first = _text.words(data, at)
-    n = len(first) - 1
-    return np.insert(hashes, first[:-1], BEGIN), np.insert(hashes, first[1:], END), first + np.arange(n + 1)
+    return np.insert(hashes, first[1:], END), first + np.arange(len(first))
 
 
-def bigram_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return _text.sequence_hash([first, second])
+def sequences(numbers: np.ndarray, begins: np.ndarray, order: int) -> list[np.ndarray]:
+    """Every token's word number after those of the order - 1 words before it."""
+    place = np.arange(len(numbers)) - np.repeat(begins[:-1], np.diff(begins))
+    out = [numbers]
+    for back in range(1, order):
+        before = np.full(len(numbers), BEGIN, numbers.dtype)
+        before[back:] = numbers[:-back]
+        before[place < back] = BEGIN
+        out.insert(0, before)
+    return out
+
+
+def sequence_hash(columns: list[np.ndarray]) -> np.ndarray:
+    return _text.sequence_hash([_text.mix(c.astype(_U)) for c in columns])
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -53,6 +71,21 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts[by], first) if len(first) else counts[:0], by[first]
 
 
+def _planes(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """The bytes of the columns, the first bytes of a column's values together: high bytes are mostly zero, and shuffles are compressed."""
+    return [np.ascontiguousarray(p) for c in columns for p in np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T]
+
+
+def _unplaned(batches: Iterator[pa.RecordBatch], kinds: list[str]) -> list[np.ndarray]:
+    sizes = [np.dtype(k).itemsize for k in kinds]
+    planes = _shared.unpacked(batches, ["u1"] * sum(sizes))
+    out = []
+    for k, n in zip(kinds, sizes, strict=True):
+        out.append(np.ascontiguousarray(np.stack(planes[:n], axis=1)).view(k).ravel())
+        del planes[:n]
+    return out
+
+
 def _row(kind: str, shard: int, data: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([shard], pa.int32()), pa.array([data.tobytes()], pa.binary())], names=["kind", "shard", "data"])
 
@@ -62,17 +95,6 @@ def _tagged(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.array([kind] * b.num_rows), *b.columns], names=["kind", "shard", "data"])
 
 
-class Model:
-    """Where the arrays are, and the few numbers that all workers need."""
-
-    def __init__(self, uri: str, shards: int, n_tokens: int, n_words: int, n_texts: int, hot: dict[int, list[int]], bigrams: list[int], continued: list[int]):
-        self.uri, self.shards, self.n_tokens, self.n_words, self.n_texts, self.hot = uri, shards, n_tokens, n_words, n_texts, hot
-        self.discount, self.lower = discounts(bigrams), discounts(continued)
-        self.types = bigrams[4]
-        spare = sum(d * m for d, m in zip(self.lower, (*continued[:2], continued[4] - continued[0] - continued[1]), strict=True))
-        self.lower_gamma = spare / self.types if self.types else 1.0
-
-
 def discounts(counts: list[int]) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts from how many entries occur 1, 2, 3 and 4 times."""
     n1, n2, n3, n4 = counts[:4]
@@ -81,21 +103,60 @@ def discounts(counts: list[int]) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.0), k - 0.01) for k, d in enumerate(found, 1))
 
 
-def train(docs: DataFrame, text_col: str = "text") -> Model:
-    """Count all texts of docs and write the model."""
-    spark = docs.sparkSession
-    _shared.small_batches(spark)
-    texts = docs.select(text_col)
-    uri = _shared.new_path(spark, "ngrams")
-    size = texts.agg(F.sum(F.octet_length(text_col)), F.count(F.lit(1))).first()
-    n_texts = int(size[1])
-    shards = _shared.reducers(spark, 2.0 * (size[0] or 0))
+class Model:
+    """Where the arrays are, and the few numbers that all workers need."""
+
+    def __init__(self, uri: str, order: int, word_shards: int, shards: int, n_tokens: int, n_words: int):
+        self.uri, self.order, self.word_shards, self.shards, self.n_tokens, self.n_words = uri, order, word_shards, shards, n_tokens, n_words
+        #: The number of the first word of each shard of the word table.
+        self.offsets = np.zeros(word_shards, np.int64)
+        #: Sorted numbers of the words whose contexts would fill a shard.
+        self.hot = np.zeros(0, np.int64)
+        self.discounts: dict[int, tuple[float, float, float]] = {}
+        self.types, self.lower_gamma = 0, 1.0
+
+    @property
+    def kind(self) -> str:
+        return "u4" if self.n_words < (1 << 32) - FIRST else "u8"
+
+    def number(self, words: _files.Table, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers (0 if unknown) and counts of sorted distinct words."""
+        shard = _files.range_shard(hashes, self.word_shards)
+        count, place = words.get(hashes, shard, places=True)
+        return np.where(place > 0, self.offsets[shard] + place - 1 + FIRST, UNKNOWN).astype(self.kind), count
+
+    def is_hot(self, context: list[np.ndarray]) -> np.ndarray:
+        """Contexts of hot words only; an n-gram that is frequent consists of words that are."""
+        out = np.ones(len(context[0]), bool)
+        for column in context:
+            out &= np.isin(column, self.hot)
+        return out
+
+    def shard(self, gram: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        """The shard of each n-gram, the hash of its context, and whether that is hot. Single words have no context."""
+        if len(columns) == 1:
+            return _files.range_shard(gram, self.shards), gram, None
+        context, hot = sequence_hash(columns[:-1]), self.is_hot(columns[:-1])
+        return _files.range_shard(np.where(hot, gram, context), self.shards), context, hot
+
+    def close(self, counts: dict[int, np.ndarray]) -> None:
+        """Discounts from each order's numbers of entries that occur 1, 2, 3 and 4 times, and of all."""
+        self.discounts = {k: discounts(c.tolist()) for k, c in counts.items()}
+        one, two, _, _, every = counts[1].tolist()
+        self.types = int(counts[2][4])
+        spare = sum(d * m for d, m in zip(self.discounts[1], (one, two, every - one - two), strict=True))
+        self.lower_gamma = spare / self.types if self.types else 1.0
 
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _count_words(spark: SparkSession, texts: DataFrame, text_col: str, uri: str, order: int) -> Model:
+    size = texts.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    shards = _shared.reducers(spark, float(size))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.zeros(0, _U), np.zeros(0, np.int64)
         for b in _text.blocks(batches, text_col):
-            _, second, _ = tokens(*_text.buffers(b.column(0)))
-            k, c, _ = _summed(second, np.ones(len(second), np.int64))
+            own, _ = tokens(*_text.buffers(b.column(0)))
+            k, c, _ = _summed(own, np.ones(len(own), np.int64))
             keys, counts, _ = _summed(np.concatenate((keys, k)), np.concatenate((counts, c)))
             if len(keys) > HELD:
                 yield from _shared.packed(_files.range_shard(keys, shards), [keys, counts.astype(np.uint32)], shards)
@@ -103,130 +164,172 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
         if len(keys):
             yield from _shared.packed(_files.range_shard(keys, shards), [keys, counts.astype(np.uint32)], shards)
 
-    def write_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = _shared.unpacked(batches, ["u8", "u4"])
         keys, counts, _ = _summed(keys, counts.astype(np.int64))
         at = _files.range_shard(keys, shards)
         for s in np.unique(at).tolist():
             k, c = keys[at == s], counts[at == s]
             _files.write_arrays(f"{uri}/words/{s:06d}", [k, _files.narrow(c)])
-            hot = c * 16 >= c.sum()
-            yield _row("words", s, np.concatenate(([len(k), c.sum()], k[hot].view(np.int64), c[hot])))
-
-    rows = _shared.exchange(texts.mapInArrow(_text.lean(count_words), "shard int, data binary"), shards, write_words, _STATS).collect()  # one row a shard
-    stats = [np.frombuffer(bytes(r["data"]), np.int64) for r in rows]
-    n_words, n_tokens = sum(int(s[0]) for s in stats), sum(int(s[1]) for s in stats)
-    hot_keys = [BEGIN] + [k for s in stats for k, c in zip(s[2 : 2 + (len(s) - 2) // 2].view(np.uint64), s[2 + (len(s) - 2) // 2 :], strict=True) if c * 16 * shards >= n_tokens]
-    hot = np.unique(np.array(hot_keys, _U))
-
-    def shard_of(first: np.ndarray, whole: np.ndarray) -> np.ndarray:
-        return _files.range_shard(np.where(np.isin(first, hot), whole, first), shards)
-
-    def count_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out() -> Iterator[pa.RecordBatch]:
-            return _tagged(_shared.packed(shard_of(held[0], bigram_hash(*held[:2])), [held[0], held[1], held[2].astype(np.uint32)], shards), "bigrams")
-
-        held = [np.zeros(0, _U), np.zeros(0, _U), np.zeros(0, np.int64)]
-        for b in _text.blocks(batches, text_col):
-            first, second, _ = tokens(*_text.buffers(b.column(0)))
-            first, second = np.concatenate((held[0], first)), np.concatenate((held[1], second))
-            _, counts, at = _summed(bigram_hash(first, second), np.concatenate((held[2], np.ones(len(first) - len(held[2]), np.int64))))
-            held = [first[at], second[at], counts]
-            if len(at) > HELD:
-                yield from out()
-                held = [x[:0] for x in held]
-        if len(held[0]):
-            yield from out()
-
-    def write_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second, counts = _shared.unpacked((b.select(["kind", "data"]) for b in batches), ["u8", "u8", "u4"])
-        whole, counts, at = _summed(bigram_hash(first, second), counts.astype(np.int64))
-        first, second = first[at], second[at]
-        shard = shard_of(first, whole)
-        is_hot = np.isin(first, hot)
+            hot = np.flatnonzero(c * 16 >= c.sum())  # at most 16 a shard
+            yield _row("words", s, np.concatenate(([len(k), c.sum()], hot, c[hot])))
+
+    rows = _shared.exchange(texts.mapInArrow(_text.lean(count), "shard int, data binary"), shards, write, _STATS).collect()  # one row a shard
+    stats = {r["shard"]: np.frombuffer(bytes(r["data"]), np.int64) for r in rows}
+    n_tokens = sum(int(s[1]) for s in stats.values())
+    width = 4 * order + 4
+    model = Model(uri, order, shards, _shared.reducers(spark, float(n_tokens * width)), n_tokens, sum(int(s[0]) for s in stats.values()))
+    hot = [BEGIN]
+    for s in sorted(stats):
+        half = (len(stats[s]) - 2) // 2
+        model.offsets[s + 1 :] += int(stats[s][0])
+        hot += [int(model.offsets[s] + FIRST + place) for place, c in zip(stats[s][2 : 2 + half], stats[s][2 + half :], strict=True) if c * 16 * model.shards >= n_tokens]
+    model.hot = np.unique(np.array(hot, np.int64))
+    return model
+
+
+def _reduce(model: Model, level: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Write the n-grams of ``level`` words, the contexts that are complete, and the hot contexts of the level above; pass the next level on."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[str, list[pa.RecordBatch]] = {"grams": [], "hot": []}
+        for b in batches:
+            kinds = np.array(b.column(0).to_pylist())
+            for kind in np.unique(kinds).tolist():
+                part = b.filter(pa.array(kinds == kind))
+                if kind in kept:
+                    kept[kind].append(part.select(["kind", "data"]))
+                else:  # statistics pass through
+                    yield part
+        if kept["hot"]:
+            context, *partial = _shared.unpacked(iter(kept["hot"]), ["u8", "i8", "i8", "i8", "i8"])
+            by = np.argsort(context, kind="stable")
+            start = np.flatnonzero(np.concatenate(([True], context[by][1:] != context[by][:-1])))
+            _write_contexts(f"{model.uri}/hot{level + 1}", context[by][start], [np.add.reduceat(x[by], start) for x in partial], model.shards)
+        *columns, counts = _unplaned(iter(kept["grams"]), [model.kind] * level + ["u4"])
+        kept.clear()
+        gram, counts, at = _summed(sequence_hash(columns), counts.astype(np.int64))
+        columns = [c[at] for c in columns]
+        shard, context, hot = model.shard(gram, columns)
         for s in np.unique(shard).tolist():
             own = shard == s
-            _files.write_arrays(f"{uri}/bigrams/{s:06d}", [whole[own], _files.narrow(counts[own])])
-            c, f, h = counts[own], first[own], is_hot[own]
-            by = np.argsort(f, kind="stable")
-            c, f, h = c[by], f[by], h[by]
-            start = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
-            kinds = [np.add.reduceat(x, start, dtype=np.int64) for x in (c == 1, c == 2, c > 2)]
-            cold = ~h[start]
-            _files.write_arrays(f"{uri}/contexts/{s:06d}", [f[start][cold], *[_files.narrow(x[cold]) for x in kinds]])
-            hot_rows = np.stack([f[start][~cold].view(np.int64), *[x[~cold] for x in kinds]]).ravel()
-            yield _row("stats", s, np.concatenate(([*[int((c == i).sum()) for i in (1, 2, 3, 4)], len(c)], hot_rows)))
-        keys, n, _ = _summed(second, np.ones(len(second), np.int64))
-        yield from _tagged(_shared.packed(_files.range_shard(keys, shards), [keys, n.astype(np.uint32)], shards), "continued")
-
-    def write_continued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = []
-        for b in batches:
-            counts = np.array([k == "continued" for k in b.column(0).to_pylist()], bool)
-            if not counts.all():  # statistics pass through
-                yield b.filter(pa.array(~counts))
-            if counts.any():
-                kept.append(b.filter(pa.array(counts)).select(["kind", "data"]))
-        keys, n = _shared.unpacked(iter(kept), ["u8", "u4"])
-        keys, n, _ = _summed(keys, n.astype(np.int64))
-        at = _files.range_shard(keys, shards)
-        for s in np.unique(at).tolist():
-            k, c = keys[at == s], n[at == s]
-            _files.write_arrays(f"{uri}/continued/{s:06d}", [k, _files.narrow(c)])
-            yield _row("lower", s, np.array([*[int((c == i).sum()) for i in (1, 2, 3, 4)], len(c)], np.int64))
-
-    counted = _shared.exchange(texts.mapInArrow(_text.lean(count_bigrams), _STATS), shards, write_bigrams, _STATS)
-    rows = _shared.exchange(counted, shards, write_continued, _STATS).collect()  # two rows a shard and the hot words' statistics
-    bigrams, continued = np.zeros(5, np.int64), np.zeros(5, np.int64)
-    contexts: dict[int, list[int]] = {}
-    for r in rows:
-        data = np.frombuffer(bytes(r["data"]), np.int64)
-        if r["kind"] == "lower":
-            continued += data
-        else:
-            bigrams += data[:5]
-            for key, *n in data[5:].reshape(4, -1).T.tolist():
-                contexts[key] = [a + b for a, b in zip(contexts.get(key, [0, 0, 0]), n, strict=True)]
-    return Model(uri, shards, n_tokens, n_words, n_texts, contexts, bigrams.tolist(), continued.tolist())
+            c = counts[own]
+            _files.write_arrays(f"{model.uri}/grams{level}/{s:06d}", [gram[own], _files.narrow(c)])
+            yield _row(f"stats{level}", s, np.array([*[int((c == i).sum()) for i in (1, 2, 3, 4)], len(c)], np.int64))
+        if level == 1:
+            return
+        by = np.argsort(context, kind="stable")
+        start = np.flatnonzero(np.concatenate(([True], context[by][1:] != context[by][:-1]))) if len(by) else by
+        if len(start):
+            c = counts[by]
+            sums = [np.add.reduceat(x, start, dtype=np.int64) for x in (c, c == 1, c == 2, c > 2)]
+            context, hot = context[by][start], hot[by][start]
+            _write_contexts(f"{model.uri}/contexts{level}", context[~hot], [x[~hot] for x in sums], model.shards)
+            if hot.any():
+                yield from _tagged(_shared.packed(_files.range_shard(context[hot], model.shards), [context[hot], *[x[hot] for x in sums]], model.shards), "hot")
+        yield from _passed(model, columns[1:], np.ones(len(gram), np.int64))
+
+    return write
+
+
+def _write_contexts(uri: str, context: np.ndarray, sums: list[np.ndarray], shards: int) -> None:
+    at = _files.range_shard(context, shards)
+    for s in np.unique(at).tolist():
+        _files.write_arrays(f"{uri}/{s:06d}", [context[at == s], *[_files.narrow(x[at == s]) for x in sums]])
+
+
+def _passed(model: Model, columns: list[np.ndarray], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """N-grams and counts, added up and packed for the exchange."""
+    gram, counts, at = _summed(sequence_hash(columns), counts)
+    columns = [c[at] for c in columns]
+    shard, _, _ = model.shard(gram, columns)
+    return _tagged(_shared.packed(shard, _planes([*columns, counts.astype(np.uint32)]), model.shards), "grams")
+
+
+def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
+    """Count all texts of docs and write the model."""
+    if order < 2:
+        raise ValueError("the order is 2 or more")
+    spark = docs.sparkSession
+    _shared.small_batches(spark)
+    texts = docs.select(text_col)
+    uri = _shared.new_path(spark, "ngrams")
+    model = _count_words(spark, texts, text_col, uri, order)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _files.Table(f"{uri}/words", model.word_shards, 1)
+        held, counts = [np.zeros(0, model.kind) for _ in range(order)], np.zeros(0, np.int64)
+        for b in _text.blocks(batches, text_col):
+            own, begins = tokens(*_text.buffers(b.column(0)))
+            distinct, where = np.unique(own, return_inverse=True)
+            found = sequences(model.number(words, distinct)[0][where], begins, order)
+            _, c, at = _summed(sequence_hash(found), np.ones(len(own), np.int64))
+            held, counts = [np.concatenate((h, x[at])) for h, x in zip(held, found, strict=True)], np.concatenate((counts, c))
+            if len(counts) > HELD:
+                yield from _passed(model, held, counts)
+                held, counts = [h[:0] for h in held], counts[:0]
+        if len(counts):
+            yield from _passed(model, held, counts)
+
+    rows = texts.mapInArrow(_text.lean(count), _STATS)
+    for level in range(order, 0, -1):
+        rows = _shared.exchange(rows, model.shards, _reduce(model, level), _STATS)
+    counts = {k: np.zeros(5, np.int64) for k in range(1, order + 1)}
+    for r in rows.collect():  # one row of five numbers a shard and level
+        counts[int(r["kind"].removeprefix("stats"))] += np.frombuffer(bytes(r["data"]), np.int64)
+    model.close(counts)
+    return model
 
 
 _TABLES: dict[str, dict[str, _files.Table]] = {}
 
 
+def _tables(model: Model) -> dict[str, _files.Table]:
+    if model.uri not in _TABLES:
+        _TABLES.clear()
+        found = {"words": _files.Table(f"{model.uri}/words", model.word_shards, 1)}
+        for k in range(1, model.order + 1):
+            found[f"grams{k}"] = _files.Table(f"{model.uri}/grams{k}", model.shards, 1)
+            for name in ("contexts", "hot") if k > 1 else ():
+                found[f"{name}{k}"] = _files.Table(f"{model.uri}/{name}{k}", model.shards, 4)
+        _TABLES[model.uri] = found
+    return _TABLES[model.uri]
+
+
 def _score_block(model: Model, tables: dict[str, _files.Table], data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    first, second, begins = tokens(data, at)
-    words, where = np.unique(second, return_inverse=True)
-    shard = _files.range_shard(words, model.shards)
-    (count,) = tables["words"].get(words, shard)
-    (continued,) = tables["continued"].get(words, shard)
-    contexts = tables["contexts"].get(words, shard)
-    hot_keys = np.array(sorted(model.hot), np.int64).view(np.uint64)
-    for key in hot_keys:
-        i = np.searchsorted(words, key)
-        if i < len(words) and words[i] == key:
-            for column, value in zip(contexts, model.hot[int(key.view(np.int64))], strict=True):
-                column[i] = value
-    begin = model.hot.get(int(BEGIN.view(np.int64)), [0, 0, 0])
-    base = np.log10((count + 0.5) / (model.n_tokens + 0.5 * (model.n_words + 1)))
-    discount = np.array([0.0, *model.lower])
-    lower = np.maximum(continued - discount[np.minimum(continued, 3)], 0) / max(model.types, 1) + model.lower_gamma / (model.n_words + 1)
-    # the context of a token: the word before it, BEGIN for a text's first
-    is_first = np.zeros(len(second), bool)
-    is_first[begins[:-1]] = True
-    before = np.concatenate(([0], where[:-1]))
-    total = np.where(is_first, model.n_texts, count[before])
-    kinds = [np.where(is_first, b, c[before]) for b, c in zip(begin, contexts, strict=True)]
-    pairs, pair_at = np.unique(bigram_hash(first, second), return_index=True)
-    own = np.where(np.isin(first[pair_at], hot_keys), pairs, first[pair_at])
-    (seen,) = tables["bigrams"].get(pairs, _files.range_shard(own, model.shards))
-    seen = seen[np.searchsorted(pairs, bigram_hash(first, second))]
-    discount = np.array([0.0, *model.discount])
-    gamma = sum(d * k for d, k in zip(model.discount, kinds, strict=True))
-    known = total > 0
-    upper = np.maximum(seen - discount[np.minimum(seen, 3)], 0) + gamma * lower[where]
-    p = np.where(known, upper / np.maximum(total, 1), lower[where])
+    own, begins = tokens(data, at)
+    distinct, where = np.unique(own, return_inverse=True)
+    number, count = model.number(tables["words"], distinct)
+    base = np.log10((count + 0.5) / (model.n_tokens + 0.5 * (model.n_words + 1)))[where]
+    # an n-gram occurs once or more often in the block; each distinct one is looked up once
+    word = sequence_hash([number])
+    by = np.argsort(word)
+    (continued,) = tables["grams1"].get(word[by], _files.range_shard(word[by], model.shards))
+    discount = np.array([0.0, *model.discounts[1]])
+    lower = np.empty(len(distinct))
+    lower[by] = np.maximum(continued - discount[np.minimum(continued, 3)], 0) / max(model.types, 1) + model.lower_gamma / (model.n_words + 1)
+    p = lower[where]
+    columns = sequences(number[where], begins, model.order)
+    for k in range(2, model.order + 1):
+        used = columns[model.order - k :]
+        gram, first, back = np.unique(sequence_hash(used), return_index=True, return_inverse=True)
+        shard, context, hot = model.shard(gram, [c[first] for c in used])
+        (seen,) = tables[f"grams{k}"].get(gram, shard)
+        context, inverse = np.unique(context, return_inverse=True)
+        is_hot = np.zeros(len(context), bool)
+        is_hot[inverse[hot]] = True
+        at_context = _files.range_shard(context, model.shards)
+        sums = [np.zeros(len(context), np.int64) for _ in range(4)]
+        for name, rows in (("contexts", ~is_hot), ("hot", is_hot)):
+            for column, values in zip(sums, tables[f"{name}{k}"].get(context[rows], at_context[rows]), strict=True):
+                column[rows] = values
+        discount = np.array([0.0, *model.discounts[k]])
+        gamma = sum(d * x for d, x in zip(model.discounts[k], sums[1:], strict=True))[inverse][back]
+        total = sums[0][inverse][back]
+        upper = np.maximum(seen - discount[np.minimum(seen, 3)], 0)[back] + gamma * p
+        p = np.where(total > 0, upper / np.maximum(total, 1), p)
     sums = lambda x: np.add.reduceat(x, begins[:-1])  # noqa: E731  every text has its end token
-    return np.diff(begins), sums((count[where] > 0).astype(np.int64)), sums(base[where]), sums(np.log10(p))
+    return np.diff(begins), sums((count > 0).astype(np.int64)[where]), sums(base), sums(np.log10(p))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -239,17 +342,15 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value
-        if m.uri not in _TABLES:
-            _TABLES.clear()
-            _TABLES[m.uri] = {name: _files.Table(f"{m.uri}/{name}", m.shards, n) for name, n in (("words", 1), ("continued", 1), ("contexts", 3), ("bigrams", 1))}
+        tables = _tables(m)
         for b in _text.blocks(batches, text_col):
-            n, known, base, logp = _score_block(m, _TABLES[m.uri], *_text.buffers(b.column(1)))
+            n, known, base, logp = _score_block(m, tables, *_text.buffers(b.column(1)))
             found = [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(np.full(len(n), m.n_tokens), pa.int64()), pa.array(base), pa.array(logp), pa.array(10 ** np.minimum(-logp / n, 300))]
             yield pa.RecordBatch.from_arrays([b.column(0), *[b.column(2 + j) for j in range(len(keep))], *found], names=schema.names)
 
     return chosen.mapInArrow(_text.lean(run), schema)
 
 
-def train_and_score(docs: DataFrame, is_training: Column, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def train_and_score(docs: DataFrame, is_training: Column, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, order: int = ORDER) -> DataFrame:
     """Learn from the rows for which ``is_training`` holds, score all rows."""
-    return score(docs, train(docs.where(F.coalesce(is_training, F.lit(False))), text_col), id_col, text_col, keep)
+    return score(docs, train(docs.where(F.coalesce(is_training, F.lit(False))), text_col, order), id_col, text_col, keep)

@@ -8,7 +8,7 @@ import math
 import random
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -484,40 +484,59 @@ def test_forest_sql_equals_votes(spark):
 
 # --- 8
 
-def test_kneser_ney(spark, docs):
-    got = {r["doc_id"]: r for r in queries.op8_lm_score(spark, SF).collect()}
+def _plain_kneser_ney(texts, order):
+    """The model in plain Python: p(word, words before, levels used)."""
+    grams = {order: Counter(), **{k: Counter() for k in range(1, order)}}
+    for t in texts:
+        row = [b" "] * (order - 1) + t
+        grams[order].update(tuple(row[i : i + order]) for i in range(len(t)))
+    for k in range(order - 1, 0, -1):
+        grams[k].update(g[1:] for g in grams[k + 1])
+    off = {k: (0, *kneser_ney.discounts([Counter(grams[k].values())[i] for i in (1, 2, 3, 4)])) for k in grams}
+    total, spare = Counter(), Counter()
+    for k in range(2, order + 1):
+        for g, c in grams[k].items():
+            total[g[:-1]] += c
+            spare[g[:-1]] += off[k][min(c, 3)]
+    types, words = len(grams[2]), {w for t in texts for w in t}
+    rest = sum(off[1][min(c, 3)] for c in grams[1].values()) / types
+
+    def p(w, before, k):
+        if k == 1:
+            return max(grams[1][w,] - off[1][min(grams[1][w,], 3)], 0) / types + rest / (len(words) + 1)
+        below, context = p(w, before[1:], k - 1), tuple(before)
+        if not total[context]:
+            return below
+        c = grams[k][(*context, w)]
+        return (max(c - off[k][min(c, 3)], 0) + spare[context] * below) / total[context]
+
+    return p, words
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_kneser_ney(spark, docs, order):
+    is_training = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1
+    if order == kneser_ney.ORDER:
+        got = {r["doc_id"]: r for r in queries.op8_lm_score(spark, SF).collect()}
+    else:
+        got = {r["doc_id"]: r for r in kneser_ney.train_and_score(spark.read.parquet(f"{SF}/documents.parquet"), is_training, order=order).collect()}
     tokens = {i: [*(d["text"] or "").translate(LOW).encode().split(), None] for i, d in docs.items()}
     train = [i for i in tokens if zlib.crc32(str(i).encode()) % 5 != 1]
-    count, pairs = Counter(), Counter()
-    for i in train:
-        count.update(tokens[i])
-        pairs.update(zip([b" ", *tokens[i][:-1]], tokens[i], strict=True))
+    count = Counter(w for i in train for w in tokens[i])
     n, v = sum(count.values()), len(count)
-    continued, after = Counter(w for _, w in pairs), defaultdict(lambda: [0, 0, 0])
-    for (a, _), c in pairs.items():
-        after[a][min(c, 3) - 1] += 1
-    of = lambda x: kneser_ney.discounts([Counter(x.values())[k] for k in (1, 2, 3, 4)])
-    high, low = (0, *of(pairs)), (0, *of(continued))
-    spare = sum(low[min(c, 3)] for c in continued.values()) / len(pairs)
-    total = Counter(count) + Counter({b" ": len(train)})
-    lower = lambda w: max(continued[w] - low[min(continued[w], 3)], 0) / len(pairs) + spare / (v + 1)
-
-    def p(a, w):
-        if not total[a]:
-            return lower(w)
-        return (max(pairs[a, w] - high[min(pairs[a, w], 3)], 0) + sum(d * k for d, k in zip(high[1:], after[a], strict=True)) * lower(w)) / total[a]
-
+    p, words = _plain_kneser_ney([tokens[i] for i in train], order)
     gain = 0.0
     for i, t in tokens.items():
         base = sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t)
-        own = sum(math.log10(p(a, w)) for a, w in zip([b" ", *t[:-1]], t, strict=True))
+        row = [b" "] * (order - 1) + t
+        own = sum(math.log10(p(w, row[j : j + order - 1], order)) for j, w in enumerate(t))
         r = got[i]
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(t), sum(count[w] > 0 for w in t), n)
         assert math.isclose(r["base_score"], base, rel_tol=1e-9) and math.isclose(r["score"], own, rel_tol=1e-9)
-        gain += (own - base) * r["held_out"]
+        gain += (own - base) * (zlib.crc32(str(i).encode()) % 5 == 1)
     assert gain > 0
-    for a in (b"the", b" "):  # the end is no context
-        assert math.isclose(sum(p(a, w) for w in count) + p(a, b"never seen"), 1, rel_tol=1e-9)
+    for before in ([b" "] * (order - 1), [b" "] * (order - 2) + [b"the"]):
+        assert math.isclose(sum(p(w, before, order) for w in words) + p(b"never seen", before, order), 1, rel_tol=1e-9)
 
 
 # --- 9
