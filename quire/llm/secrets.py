@@ -1,8 +1,9 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
 Candidates are long runs of key characters that hold a digit, each with the word before it. The
-forest sees a candidate's length, its character classes and the transitions between them, how much of it dictionary
-words cover, the path, and the neighbouring word. It is trained from labelled findings (text of
+forest sees a candidate's length, its character classes, how likely its transitions from character to character are in
+secrets against other runs (a table learned from the same findings), how much of it dictionary
+words cover, the path, and the word before. It is trained from labelled findings (text of
 the candidate, word before, separator, path, whether it is a secret) and compiled to nested CASE
 expressions, so scanning is one projection of SQL functions, without Python and without a shuffle; the
 same expressions are the DuckDB oracle. More candidates, of any length and with or without a digit, are what follows a
@@ -16,6 +17,7 @@ path is empty; repeated rows each get their own row; extra columns are not read.
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import string
@@ -32,7 +34,17 @@ BLOCK = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
 #: A whole block; its body holds no five hyphens. Without an end: the headers and the lines of key characters that follow.
 KEY = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----(?:[^-]*+(?:-{1,4}+[^-]++)*+-----END [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----|(?:\s*+[A-Z][A-Za-z-]{1,20}: [^\n]*+)*+(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]{40,}+={0,2}+)++(?:\r?\n[A-Za-z0-9+/]{1,63}+={0,2}+(?=[ \t\r]*+(?:\n|$)))?)?"
 # Words of keys, of names and placeholders, and of other long runs.
-DICTIONARY = "example|sample|test|dummy|your|here|change|password|secret|token|key|user|name|value|index|page|file|image|class|function|string|object|default|config|service|account|version|http|www|com|html|the|and|ing|tion|for|with"
+DICTIONARY = "|".join(
+    """
+    password secret token service account example version default private public document settings response request session message language library
+    resource template position database directory property function argument parameter variable reference container component interface character number
+    string object module package project product customer country address history system server client source target result content display element report
+    review release update delete create insert select filter format header footer button layout style theme image index table column value field label
+    title group order event action handler method class config param option query model state store cache queue stack proxy route local global static
+    final sample dummy change user name page file path line text data code test type time date link list item node root home main base core your here http
+    html json yaml www com org net key the and ing tion ment able ness for with from this that not
+    """.split()
+)
 SECRET_WORDS = "token|secret|password|passwd|pwd|apikey|api_key|key|auth|bearer|credential|credentials|access|private|signature|sig"
 OTHER_WORDS = "commit|sha|sha1|sha256|md5|hash|checksum|digest|revision|rev|etag|uuid|guid|id|integrity|blob|tree|card|phone|iban|order|isbn|number"
 PATHS = "test|example|sample|fixture|mock|doc|spec|vendor|lock"
@@ -42,10 +54,58 @@ AFTER = r"""(?i)(?<![a-z0-9])(%s)(["']?[ \t]{0,3}[=:][ \t]{0,3}["']?|[ \t\n"'(]{
 BARE = r"(?<![A-Za-z0-9])((?:%s)[A-Za-z0-9+/_.=-]*[A-Za-z0-9+/_=-])" % PREFIXES
 #: Shorter secrets are replaced only where they stand by themselves.
 SHORT = 16
-FEATURES = ("n", "digits", "upper", "lower", "marks", "hops", "case_hops", "distinct", "covered", "hexadecimal", "assigned", "secret_word", "other_word", "path", "prefix")
+#: Characters that transitions tell apart: letters, any digit, and any mark (the last one, and what is none of them).
+SIGNS, _DIGITS, _MARKS = "abcdefghijklmnopqrstuvwxyz0-", "123456789", "+/_"
+_FOLD = str.maketrans(_DIGITS + _MARKS, "0" * len(_DIGITS) + "-" * len(_MARKS))
+FEATURES = ("transitions", "n", "digits", "upper", "lower", "marks", "hops", "case_hops", "distinct", "covered", "hexadecimal", "assigned", "secret_word", "other_word", "path", "prefix")
 
 
-def features_sql(c: str, word: str, gap: str, path: str, duck: bool = False) -> dict[str, str]:
+class Forest(list):
+    """Trees, and the transition table of the findings that they were grown from."""
+
+    def __init__(self, trees: list[object], transitions: list[int]):
+        super().__init__(trees)
+        self.transitions = transitions
+
+
+def signs(candidate: str) -> list[int]:
+    found = (SIGNS.find(c) for c in candidate.lower().translate(_FOLD))
+    return [k if k >= 0 else len(SIGNS) - 1 for k in found]
+
+
+def transition_table(findings: list[tuple[str, str, str, str, bool]]) -> list[int]:
+    """For each pair of signs, row after row: ten times the logarithm of how much likelier the second follows the first in a secret than in another run."""
+    n = len(SIGNS)
+    counts = np.ones((2, n, n))  # one of each pair beforehand
+    for f in findings:
+        codes = signs(f[0])
+        np.add.at(counts[int(f[4])], (codes[:-1], codes[1:]), 1)
+    shares = counts / counts.sum(2, keepdims=True)
+    return np.rint(10 * np.log(shares[1] / shares[0])).astype(int).ravel().tolist()
+
+
+def transitions(candidate: str, table: list[int]) -> int:
+    """The mean weight of a candidate's transitions, times ten."""
+    codes = signs(candidate)
+    return math.floor(10 * sum(table[len(SIGNS) * a + b] for a, b in zip(codes, codes[1:], strict=False)) / max(len(candidate) - 1, 1))
+
+
+def transitions_sql(c: str, table: list[int], duck: bool) -> str:
+    n, to = len(SIGNS), "0" * len(_DIGITS) + "-" * len(_MARKS)
+    folded = f"translate(lower({c}), '{_DIGITS}{_MARKS}', '{to}')"
+    code = f"CASE WHEN instr('{SIGNS}', s) > 0 THEN instr('{SIGNS}', s) ELSE {n} END"
+    if duck:
+        codes = f"list_transform(string_split({folded}, ''), lambda s: {code})"
+        total = f"coalesce(list_sum(list_transform(list_zip({codes}, ({codes})[2:], true), lambda p: ({table})[{n} * (p[1] - 1) + p[2]])), 0)"
+    else:
+        codes = f"transform(split({folded}, ''), s -> {code})"
+        # the last sign has no next one; its weight is the 0 behind the table
+        weight = f"element_at(array({', '.join(map(str, [*table, 0]))}), coalesce({n} * (a - 1) + b, {n * n + 1}))"
+        total = f"aggregate(zip_with({codes}, slice({codes}, 2, length({c})), (a, b) -> {weight}), 0, (t, w) -> t + w)"
+    return f"cast(floor(cast(10 * {total} as double) / greatest(length({c}) - 1, 1)) as int)"
+
+
+def features_sql(c: str, word: str, gap: str, path: str, table: list[int], duck: bool = False) -> dict[str, str]:
     """Whole numbers about a candidate, its word before, the separator and the path."""
     g = ", 'g'" if duck else ""
     left = lambda drop, of=c: f"length(regexp_replace({of}, '{drop}', ''{g}))"
@@ -54,6 +114,7 @@ def features_sql(c: str, word: str, gap: str, path: str, duck: bool = False) ->
     distinct = f"len(list_distinct(string_split({c}, '')))" if duck else f"size(array_distinct(split({c}, '')))"
     # Java's split of '' into characters has no empty tail in Spark 4; both count characters
     return {
+        "transitions": transitions_sql(c, table, duck),
         "n": f"length({c})",
         "digits": left("[^0-9]"),
         "upper": left("[^A-Z]"),
@@ -72,12 +133,12 @@ def features_sql(c: str, word: str, gap: str, path: str, duck: bool = False) ->
     }
 
 
-def features(candidate: str, word: str, gap: str, path: str) -> list[int]:
+def features(candidate: str, word: str, gap: str, path: str, table: list[int]) -> list[int]:
     """The same numbers in Python, for training."""
     kept = lambda p, s=candidate: len(re.sub(p, "", s))
     n = len(candidate)
     return [
-        n, kept("[^0-9]"), kept("[^A-Z]"), kept("[^a-z]"), kept("[A-Za-z0-9]"), n - kept("[A-Za-z][0-9]|[0-9][A-Za-z]"), n - kept("[a-z][A-Z]|[A-Z][a-z]"), len(set(candidate)),
+        transitions(candidate, table), n, kept("[^0-9]"), kept("[^A-Z]"), kept("[^a-z]"), kept("[A-Za-z0-9]"), n - kept("[A-Za-z][0-9]|[0-9][A-Za-z]"), n - kept("[a-z][A-Z]|[A-Z][a-z]"), len(set(candidate)),
         100 * (n - kept(DICTIONARY, candidate.lower())) // n, int(bool(re.fullmatch("[0-9a-f]+", candidate))), int(bool(re.search("[=:]", gap))),
         int(bool(re.match(f"^(.*_)?({SECRET_WORDS})$", word.lower()))), int(bool(re.match(f"^(.*_)?({OTHER_WORDS})$", word.lower()))), int(bool(re.search(PATHS, path.lower()))), int(bool(re.match(f"^({PREFIXES})", candidate))),
     ]
@@ -178,25 +239,26 @@ def _grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator, depth: int, le
     return (best[1], best[2], _grow(x[low], y[low], rng, depth - 1, least, tried), _grow(x[~low], y[~low], rng, depth - 1, least, tried))
 
 
-def train_forest(findings: list[tuple[str, str, str, str, bool]] | None = None, trees: int = 15, depth: int = 6, seed: int = 5) -> list[object]:
+def train_forest(findings: list[tuple[str, str, str, str, bool]] | None = None, trees: int = 15, depth: int = 6, seed: int = 5) -> Forest:
     """A random forest: bootstrap rows, a few features tried at each node."""
     findings = labelled_findings() if findings is None else findings
-    x = np.array([features(*f[:4]) for f in findings], float)
+    table = transition_table(findings)
+    x = np.array([features(*f[:4], table) for f in findings], float)
     y = np.array([f[4] for f in findings], float)
     rng = np.random.default_rng(seed)
     out = []
     for _ in range(trees):
         rows = rng.integers(0, len(y), len(y))
         out.append(_grow(x[rows], y[rows], rng, depth, 5, 5))
-    return out
+    return Forest(out, table)
 
 
-def train_more(findings: list[tuple[str, str, str, str, bool]] | None = None) -> list[object]:
+def train_more(findings: list[tuple[str, str, str, str, bool]] | None = None) -> Forest:
     """The forest that votes on candidates of any length."""
     return train_forest(labelled_findings() + more_findings() if findings is None else findings, trees=25, depth=9)
 
 
-def vote(forest: list[object], row: list[int]) -> float:
+def vote(forest: Forest, row: list[int]) -> float:
     total = 0.0
     for tree in forest:
         while isinstance(tree, tuple):
@@ -205,7 +267,7 @@ def vote(forest: list[object], row: list[int]) -> float:
     return total / len(forest)
 
 
-def forest_sql(forest: list[object], of: str) -> str:
+def forest_sql(forest: Forest, of: str) -> str:
     """The forest's mean vote over the fields of ``of``."""
 
     def tree_sql(tree: object) -> str:
@@ -216,13 +278,13 @@ def forest_sql(forest: list[object], of: str) -> str:
     return "(" + " + ".join(tree_sql(t) for t in forest) + f") / {len(forest)}"
 
 
-def findings_sql(text: str, path: str, forest: list[object], duck: bool = False, threshold: float = 0.5) -> dict[str, str]:
+def findings_sql(text: str, path: str, forest: Forest, duck: bool = False, threshold: float = 0.5) -> dict[str, str]:
     """SQL of the candidates (structs), of the scored structs over a column named cand, and of the secrets over one named scored."""
     if duck:
         q = "'" + PATTERN.replace("'", "''") + "'"
         arrays = [f"regexp_extract_all({text}, {q}, {k})" for k in (1, 2, 3)]
         cand = f"list_filter(list_transform(range(1, len({arrays[2]}) + 1), lambda i: {{'word': coalesce({arrays[0]}[i], ''), 'gap': coalesce({arrays[1]}[i], ''), 'c': {arrays[2]}[i]}}), lambda x: regexp_matches(x.c, '[0-9]'))"
-        f = features_sql("x.c", "x.word", "x.gap", path, True)
+        f = features_sql("x.c", "x.word", "x.gap", path, forest.transitions, True)
         scored = "list_transform(cand, lambda x: {'c': x.c, " + ", ".join(f"'{k}': {v}" for k, v in f.items()) + "})"
         secrets = f"list_transform(list_filter(scored, lambda x: {forest_sql(forest, 'x')} >= {threshold}), lambda x: x.c)"
         return {"cand": cand, "scored": scored, "secrets": secrets}
@@ -232,7 +294,7 @@ def findings_sql(text: str, path: str, forest: list[object], duck: bool = False,
     part = lambda k: f"coalesce(regexp_extract(m, {q('^' + PATTERN + '$')}, {k}), '')"
     found = f"filter(regexp_extract_all({some}, {q(PATTERN)}, 0), m -> {part(3)} RLIKE '[0-9]')"
     cand = f"transform({found}, m -> named_struct('word', {part(1)}, 'gap', {part(2)}, 'c', {part(3)}))"
-    f = features_sql("x.c", "x.word", "x.gap", path)
+    f = features_sql("x.c", "x.word", "x.gap", path, forest.transitions)
     scored = "transform(cand, x -> named_struct('c', x.c, " + ", ".join(f"'{k}', {v}" for k, v in f.items()) + "))"
     secrets = f"transform(filter(scored, x -> {forest_sql(forest, 'x')} >= {threshold}), x -> x.c)"
     return {"cand": cand, "scored": scored, "secrets": secrets}
@@ -256,10 +318,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
     known = "array_contains(transform(_quire_cand, y -> y.c), {})"
     after = f"transform(filter(arrays_zip(_quire_word, _quire_gap, _quire_c), x -> NOT {known.format('x._quire_c')}), x -> named_struct('word', x._quire_word, 'gap', x._quire_gap, 'c', x._quire_c))"
     bare = f"transform(filter(_quire_bare, c -> NOT {known.format('c')} AND NOT array_contains(_quire_c, c)), c -> named_struct('word', '', 'gap', '', 'c', c))"
-    f = features_sql("x.c", "x.word", "x.gap", "_quire_path")
+    more = train_more(findings)
+    f = features_sql("x.c", "x.word", "x.gap", "_quire_path", more.transitions)
     rows = rows.withColumn("_quire_more", F.expr(f"concat({after}, {bare})"))
     rows = rows.withColumn("_quire_also", F.expr("transform(_quire_more, x -> named_struct('c', x.c, " + ", ".join(f"'{k}', {v}" for k, v in f.items()) + "))"))
-    rows = rows.withColumn("_quire_also", F.expr(f"transform(filter(_quire_also, x -> {forest_sql(train_more(findings), 'x')} >= {threshold}), x -> x.c)"))
+    rows = rows.withColumn("_quire_also", F.expr(f"transform(filter(_quire_also, x -> {forest_sql(more, 'x')} >= {threshold}), x -> x.c)"))
     return rows.select(id_col, *keep, (F.size("_quire_cand") + F.size("_quire_more")).cast("long").alias("n_candidates"), F.concat("_quire_secrets", "_quire_also", blocks).alias("secrets"))
 
 
