@@ -84,9 +84,14 @@ def _murmur3(x: np.ndarray) -> np.ndarray:
         return (h ^ h >> np.uint32(16)).view(np.int32)
 
 
-def packed(shard: np.ndarray, columns: list[np.ndarray], shards: int) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, data): all entries of a shard in one binary value, column after column. The shard is named by its deal key."""
-    order = np.argsort(shard, kind="stable")
+def _joined(columns: list[np.ndarray]) -> bytes:
+    return b"".join(c.tobytes() for c in columns)
+
+
+def packed(shard: np.ndarray, columns: list[np.ndarray], shards: int, encode: Callable[[list[np.ndarray]], bytes] = _joined) -> Iterator[pa.RecordBatch]:
+    """Rows (shard, data): all entries of a shard in one binary value, column after column unless ``encode`` writes them
+    otherwise, in the order given. The shard is named by its deal key."""
+    order = np.argsort(shard.astype(np.uint16) if shards <= 1 << 16 else shard, kind="stable")  # short numbers are sorted by digits
     sorted_shard = shard[order]
     starts = np.flatnonzero(np.concatenate(([True], sorted_shard[1:] != sorted_shard[:-1]))) if len(order) else np.zeros(0, np.int64)
     names = deal_keys(shards)[sorted_shard[starts]].tolist()
@@ -94,7 +99,7 @@ def packed(shard: np.ndarray, columns: list[np.ndarray], shards: int) -> Iterato
     ids, blobs, size = [], [], 0
     for name, a, b in zip(names, starts.tolist(), [*starts[1:].tolist(), len(order)], strict=False):
         ids.append(name)
-        blobs.append(b"".join(c[a:b].tobytes() for c in columns))
+        blobs.append(encode([c[a:b] for c in columns]))
         size += len(blobs[-1])
         if size > 4 << 20:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "data"])

@@ -38,6 +38,8 @@ UNKNOWN, BEGIN, FIRST = 0, 1, 2
 ORDER = 3
 #: Entries that a task counts before it passes them on.
 HELD = 1 << 20
+#: Values that most n-grams and contexts have: one occurrence; one n-gram, which occurs once.
+ONCE, ONE_NEXT = [1], [1, 1, 0, 0]
 _STATS = "kind string, shard int, data binary"
 
 
@@ -65,25 +67,36 @@ def sequence_hash(columns: list[np.ndarray]) -> np.ndarray:
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys in order, their summed counts, and a position of each."""
-    by = np.argsort(keys, kind="stable")
+    by = np.argsort(keys)
     keys = keys[by]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(counts[by], first) if len(first) else counts[:0], by[first]
 
 
-def _planes(columns: list[np.ndarray]) -> list[np.ndarray]:
-    """The bytes of the columns, the first bytes of a column's values together: high bytes are mostly zero, and shuffles are compressed."""
-    return [np.ascontiguousarray(p) for c in columns for p in np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T]
+def _encoded(columns: list[np.ndarray]) -> bytes:
+    """The columns, the first of which ascends, compressed: its steps, then each column's first bytes together, second bytes
+    together and so on, as high bytes are mostly zero. The size before compression stands in front."""
+    columns = [np.diff(columns[0], prepend=columns[0].dtype.type(0)), *columns[1:]]
+    raw = b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
-def _unplaned(batches: Iterator[pa.RecordBatch], kinds: list[str]) -> list[np.ndarray]:
+def _decoded(batches: Iterator[pa.RecordBatch], kinds: list[str]) -> list[np.ndarray]:
+    """The columns of all rows of ``_encoded`` in a partition."""
     sizes = [np.dtype(k).itemsize for k in kinds]
-    planes = _shared.unpacked(batches, ["u1"] * sum(sizes))
-    out = []
-    for k, n in zip(kinds, sizes, strict=True):
-        out.append(np.ascontiguousarray(np.stack(planes[:n], axis=1)).view(k).ravel())
-        del planes[:n]
-    return out
+    parts: list[list[np.ndarray]] = [[np.zeros(0, k)] for k in kinds]
+    for b in batches:
+        for blob in b.column(1):
+            data = blob.as_buffer()
+            size = int.from_bytes(data[:8], "little")
+            raw, at = pa.decompress(data.slice(8), size, "zstd"), 0
+            n = size // sum(sizes)
+            for j, (kind, width) in enumerate(zip(kinds, sizes, strict=True)):
+                planes = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n)
+                found = np.ascontiguousarray(planes.T).view(kind).ravel()
+                parts[j].append(found if j else np.cumsum(found, dtype=kind))
+                at += n * width
+    return [np.concatenate(p) for p in parts]
 
 
 def _row(kind: str, shard: int, data: np.ndarray) -> pa.RecordBatch:
@@ -203,10 +216,10 @@ def _reduce(model: Model, level: int) -> Callable[[Iterator[pa.RecordBatch]], It
                     yield part
         if kept["hot"]:
             context, *partial = _shared.unpacked(iter(kept["hot"]), ["u8", "i8", "i8", "i8", "i8"])
-            by = np.argsort(context, kind="stable")
+            by = np.argsort(context)
             start = np.flatnonzero(np.concatenate(([True], context[by][1:] != context[by][:-1])))
             _write_contexts(f"{model.uri}/hot{level + 1}", context[by][start], [np.add.reduceat(x[by], start) for x in partial], model.shards)
-        *columns, counts = _unplaned(iter(kept["grams"]), [model.kind] * level + ["u4"])
+        *columns, counts = _decoded(iter(kept["grams"]), [model.kind] * level + ["u4"])
         kept.clear()
         gram, counts, at = _summed(sequence_hash(columns), counts.astype(np.int64))
         columns = [c[at] for c in columns]
@@ -214,11 +227,11 @@ def _reduce(model: Model, level: int) -> Callable[[Iterator[pa.RecordBatch]], It
         for s in np.unique(shard).tolist():
             own = shard == s
             c = counts[own]
-            _files.write_arrays(f"{model.uri}/grams{level}/{s:06d}", [gram[own], _files.narrow(c)])
+            _files.write_sparse(f"{model.uri}/grams{level}/{s:06d}", gram[own], [c], ONCE)
             yield _row(f"stats{level}", s, np.array([*[int((c == i).sum()) for i in (1, 2, 3, 4)], len(c)], np.int64))
         if level == 1:
             return
-        by = np.argsort(context, kind="stable")
+        by = np.argsort(context)
         start = np.flatnonzero(np.concatenate(([True], context[by][1:] != context[by][:-1]))) if len(by) else by
         if len(start):
             c = counts[by]
@@ -235,15 +248,16 @@ def _reduce(model: Model, level: int) -> Callable[[Iterator[pa.RecordBatch]], It
 def _write_contexts(uri: str, context: np.ndarray, sums: list[np.ndarray], shards: int) -> None:
     at = _files.range_shard(context, shards)
     for s in np.unique(at).tolist():
-        _files.write_arrays(f"{uri}/{s:06d}", [context[at == s], *[_files.narrow(x[at == s]) for x in sums]])
+        _files.write_sparse(f"{uri}/{s:06d}", context[at == s], [x[at == s] for x in sums], ONE_NEXT)
 
 
 def _passed(model: Model, columns: list[np.ndarray], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     """N-grams and counts, added up and packed for the exchange."""
     gram, counts, at = _summed(sequence_hash(columns), counts)
-    columns = [c[at] for c in columns]
+    by = np.argsort(columns[0][at])
+    gram, counts, columns = gram[by], counts[by], [c[at[by]] for c in columns]
     shard, _, _ = model.shard(gram, columns)
-    return _tagged(_shared.packed(shard, _planes([*columns, counts.astype(np.uint32)]), model.shards), "grams")
+    return _tagged(_shared.packed(shard, [*columns, counts.astype(np.uint32)], model.shards, _encoded), "grams")
 
 
 def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
@@ -281,22 +295,22 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
     return model
 
 
-_TABLES: dict[str, dict[str, _files.Table]] = {}
+_TABLES: dict[str, dict[str, _files.Table | _files.Sparse]] = {}
 
 
-def _tables(model: Model) -> dict[str, _files.Table]:
+def _tables(model: Model) -> dict[str, _files.Table | _files.Sparse]:
     if model.uri not in _TABLES:
         _TABLES.clear()
         found = {"words": _files.Table(f"{model.uri}/words", model.word_shards, 1)}
         for k in range(1, model.order + 1):
-            found[f"grams{k}"] = _files.Table(f"{model.uri}/grams{k}", model.shards, 1)
+            found[f"grams{k}"] = _files.Sparse(f"{model.uri}/grams{k}", model.shards, ONCE)
             for name in ("contexts", "hot") if k > 1 else ():
-                found[f"{name}{k}"] = _files.Table(f"{model.uri}/{name}{k}", model.shards, 4)
+                found[f"{name}{k}"] = _files.Sparse(f"{model.uri}/{name}{k}", model.shards, ONE_NEXT)
         _TABLES[model.uri] = found
     return _TABLES[model.uri]
 
 
-def _score_block(model: Model, tables: dict[str, _files.Table], data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+def _score_block(model: Model, tables: dict[str, _files.Table | _files.Sparse], data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     own, begins = tokens(data, at)
     distinct, where = np.unique(own, return_inverse=True)
     number, count = model.number(tables["words"], distinct)

@@ -10,6 +10,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -17,7 +18,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, components, decontaminate, fingerprint, jaccard, kneser_ney, langid, licenses, quality, queries, secrets, toxicity
+from quire.llm import _files, _shared, bpe, components, decontaminate, fingerprint, jaccard, kneser_ney, langid, licenses, quality, queries, secrets, toxicity
 from tests.conftest import SF, same_rows
 
 KIND = "doc_id long, text string, lang string, source string, n_chars long"
@@ -615,3 +616,24 @@ def test_pipeline(spark, docs, odd, empty):
     rows = corpus_pipeline.run(spark, odd).collect()
     assert {r["doc_id"] for r in rows} == {None, 4, 6, 10}  # no letters: 2, 3, 5, 7; copies: 8, 9; two items: 1
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_sparse_arrays_and_packed_counts(tmp_path):
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 50_000):
+        keys = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        values = np.where(rng.random(len(keys)) < 0.7, 1, rng.integers(1, 70_000, len(keys)))
+        other = rng.integers(0, 2, len(keys))
+        _files.write_sparse(f"{tmp_path}/{size}/000000", keys, [values, other], [1, 0])
+        table = _files.Sparse(f"{tmp_path}/{size}", 2, [1, 0])
+        asked = np.concatenate((keys, rng.integers(0, 1 << 63, 1000, dtype=np.uint64)))
+        got = table.get(asked, np.zeros(len(asked), np.int64))
+        assert got[0].tolist() == values.tolist() + [0] * 1000 and got[1].tolist() == other.tolist() + [0] * 1000
+        assert not table.get(asked, np.ones(len(asked), np.int64))[0].any()
+    for kind in ("u4", "u8"):
+        first = np.sort(rng.integers(0, 1 << 31, 1000).astype(kind))
+        second, counts = rng.integers(0, 1 << 31, 1000).astype(kind), rng.integers(1, 1 << 31, 1000).astype(np.uint32)
+        shard = rng.integers(0, 3, 1000)
+        rows = list(_shared.packed(shard, [first, second, counts], 3, kneser_ney._encoded))
+        got = kneser_ney._decoded(iter(rows), [kind, kind, "u4"])
+        assert sorted(zip(*(c.tolist() for c in got), strict=True)) == sorted(zip(first.tolist(), second.tolist(), counts.tolist(), strict=True))
