@@ -47,7 +47,7 @@ def _map(path: str) -> np.ndarray:
         kind = np.dtype(f.read(8).decode().strip())
     if os.path.getsize(path) == 8:
         return np.zeros(0, kind)
-    return np.memmap(path, kind, "r", 8)
+    return np.memmap(path, kind, "r", 8).view(np.ndarray)  # slices of a memmap object are dear
 
 
 class Table:
@@ -92,22 +92,22 @@ def write_sparse(uri: str, keys: np.ndarray, columns: list[np.ndarray], usual: l
     head, parts = [], []
     for own in (~rare, rare):
         bits = max(1, (int(own.sum()) // 8).bit_length())
-        spots = _spots(keys[own], bits)
+        spots = _spots(_text.mix(keys[own]), bits)
         by = np.argsort(spots)
         spots = spots[by]
         head += [len(spots), bits]
-        parts += [np.searchsorted(spots >> _LOW, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.uint32), (spots & _MASK).astype(np.uint32)]
+        parts += [np.searchsorted(spots >> _LOW, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.uint32), np.append(spots & _MASK, _U0).astype(np.uint32)]
     values = [narrow(c[rare][by]) for c in columns]
     head += [v.itemsize for v in values]
     write_arrays(uri, [np.concatenate([np.ascontiguousarray(x).view(np.uint8) for x in (np.array(head, np.int64), *parts, *values)])])
 
 
-_LOW, _MASK = np.uint64(32), np.uint64((1 << 32) - 1)
+_LOW, _MASK, _U0 = np.uint64(32), np.uint64((1 << 32) - 1), np.uint64(0)
 
 
-def _spots(keys: np.ndarray, bits: int) -> np.ndarray:
+def _spots(mixed: np.ndarray, bits: int) -> np.ndarray:
     """The first bits of the mixed key, which are a bucket, and 32 more, which are kept: a false hit is one lookup in 5 * 10^8."""
-    return _text.mix(keys) >> np.uint64(32 - bits)
+    return mixed >> np.uint64(32 - bits)
 
 
 class Sparse:
@@ -134,13 +134,14 @@ class Sparse:
             at += count * size
             return data[at - count * size : at].view(f"u{size}")
 
-        keys = [(bits, take((1 << bits) + 1, 4), take(n, 4)) for n, bits in (head[:2], head[2:4])]
+        keys = [(bits, take((1 << bits) + 1, 4), take(n + 1, 4)) for n, bits in (head[:2], head[2:4])]
         return keys, [take(head[2], size) for size in head[4:]]
 
     def get(self, keys: np.ndarray, shard: np.ndarray) -> list[np.ndarray]:
         """The values of each key, 0 where it is absent."""
         out = [np.zeros(len(keys), np.int64) for _ in self.usual]
-        by = np.argsort(shard, kind="stable")
+        mixed = _text.mix(keys)
+        by = np.argsort(shard.astype(np.uint16) if self.shards <= 1 << 16 else shard, kind="stable")
         cuts = np.flatnonzero(np.concatenate(([True], shard[by][1:] != shard[by][:-1]))).tolist() if len(by) else []
         for a, b in zip(cuts, [*cuts[1:], len(by)], strict=False):
             rows = by[a:b]
@@ -148,29 +149,27 @@ class Sparse:
             if not found:
                 continue
             (often, rare), values = found
-            at, hit = _find(*often, keys[rows])
+            at, hit = _find(*often, mixed[rows])
             for column, u in zip(out, self.usual, strict=True):
                 column[rows[hit]] = u
             rows = rows[~hit]
-            at, hit = _find(*rare, keys[rows])
+            at, hit = _find(*rare, mixed[rows])
             for column, v in zip(out, values, strict=True):
                 column[rows[hit]] = v[at[hit]]
         return out
 
 
-def _find(bits: int, starts: np.ndarray, kept: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each key would stand, and whether it is there: a binary search inside each key's bucket."""
-    if not len(kept):
-        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-    spots = _spots(keys, bits)
+def _find(bits: int, starts: np.ndarray, kept: np.ndarray, mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key would stand, and whether it is there: a binary search inside each key's bucket. One number too many is kept at the end."""
+    spots = _spots(mixed, bits)
     bucket, wanted = (spots >> _LOW).astype(np.int64), (spots & _MASK).astype(np.uint32)
     low, end = starts[bucket].astype(np.int64), starts[bucket + 1].astype(np.int64)
-    high, last = end, len(kept) - 1
+    high = end
     for _ in range(int((high - low).max(initial=0)).bit_length()):
         middle = (low + high) >> 1
-        less = (kept[np.minimum(middle, last)] < wanted) & (low < high)
+        less = (kept[middle] < wanted) & (low < high)
         low, high = np.where(less, middle + 1, low), np.where(less, high, middle)
-    return low, (low < end) & (kept[np.minimum(low, last)] == wanted)
+    return low, (low < end) & (kept[low] == wanted)
 
 
 class Lists:
