@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import mmap
 import os
+import sys
 import tempfile
 import uuid
 
@@ -11,6 +13,9 @@ from pyarrow import fs
 
 from quire.llm import _text
 
+#: Since Python 3.13 a mapping can do without a descriptor of its own.
+_UNTRACKED = {"trackfd": False} if sys.version_info >= (3, 13) else {}
+
 
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else "file://" + uri)
@@ -45,9 +50,10 @@ def map_array(uri: str, j: int) -> np.ndarray | None:
 def _map(path: str) -> np.ndarray:
     with open(path, "rb") as f:
         kind = np.dtype(f.read(8).decode().strip())
-    if os.path.getsize(path) == 8:
-        return np.zeros(0, kind)
-    return np.memmap(path, kind, "r", 8).view(np.ndarray)  # slices of a memmap object are dear
+        if os.path.getsize(path) == 8:
+            return np.zeros(0, kind)
+        # not np.memmap: each of those holds one of the process's descriptors, and slices of them are dear
+        return np.frombuffer(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, **_UNTRACKED), kind, offset=8)
 
 
 class Table:
@@ -119,7 +125,7 @@ class Sparse:
 
     def _shard(self, s: int) -> tuple | None:
         if s not in self.open:
-            if len(self.open) > 512:
+            if len(self.open) > 4096:
                 self.open.clear()
             data = map_array(f"{self.uri}/{s:06d}", 0)
             self.open[s] = None if data is None else self._parts(data)
@@ -139,37 +145,58 @@ class Sparse:
 
     def get(self, keys: np.ndarray, shard: np.ndarray) -> list[np.ndarray]:
         """The values of each key, 0 where it is absent."""
-        out = [np.zeros(len(keys), np.int64) for _ in self.usual]
-        mixed = _text.mix(keys)
-        by = np.argsort(shard.astype(np.uint16) if self.shards <= 1 << 16 else shard, kind="stable")
-        cuts = np.flatnonzero(np.concatenate(([True], shard[by][1:] != shard[by][:-1]))).tolist() if len(by) else []
-        for a, b in zip(cuts, [*cuts[1:], len(by)], strict=False):
-            rows = by[a:b]
-            found = self._shard(int(shard[rows[0]]))
-            if not found:
+        if not len(keys):
+            return [np.zeros(0, np.int64) for _ in self.usual]
+        by = None if (shard[1:] >= shard[:-1]).all() else np.argsort(shard.astype(np.uint16) if self.shards <= 1 << 16 else shard, kind="stable")
+        mixed, ordered = _text.mix(keys), shard
+        if by is not None:
+            mixed, ordered = mixed[by], shard[by]
+        found = [np.zeros(len(keys), np.int64) for _ in self.usual]  # shard after shard, so that each shard's are one slice
+        cuts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))).tolist()
+        for a, b in zip(cuts, [*cuts[1:], len(keys)], strict=True):
+            parts = self._shard(int(ordered[a]))
+            if not parts:
                 continue
-            (often, rare), values = found
-            at, hit = _find(*often, mixed[rows])
-            for column, u in zip(out, self.usual, strict=True):
-                column[rows[hit]] = u
-            rows = rows[~hit]
+            (often, rare), values = parts
+            _, hit = _find(*often, mixed[a:b])
+            for column, u in zip(found, self.usual, strict=True):
+                if u:
+                    np.multiply(hit, u, out=column[a:b])
+            rows = np.flatnonzero(~hit)
+            rows += a
             at, hit = _find(*rare, mixed[rows])
-            for column, v in zip(out, values, strict=True):
-                column[rows[hit]] = v[at[hit]]
+            rows, at = rows[hit], at[hit]
+            for column, v in zip(found, values, strict=True):
+                column[rows] = v[at]
+        if by is None:
+            return found
+        out = [np.empty(len(keys), np.int64) for _ in self.usual]
+        for column, own in zip(out, found, strict=True):
+            column[by] = own
         return out
 
 
 def _find(bits: int, starts: np.ndarray, kept: np.ndarray, mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each key would stand, and whether it is there: a binary search inside each key's bucket. One number too many is kept at the end."""
+    """Where each key would stand, and whether it is there: a binary search inside each key's bucket, by halved steps. One number
+    too many is kept at the end."""
     spots = _spots(mixed, bits)
-    bucket, wanted = (spots >> _LOW).astype(np.int64), (spots & _MASK).astype(np.uint32)
-    low, end = starts[bucket].astype(np.int64), starts[bucket + 1].astype(np.int64)
-    high = end
-    for _ in range(int((high - low).max(initial=0)).bit_length()):
-        middle = (low + high) >> 1
-        less = (kept[middle] < wanted) & (low < high)
-        low, high = np.where(less, middle + 1, low), np.where(less, high, middle)
-    return low, (low < end) & (kept[low] == wanted)
+    wanted = spots.astype(np.uint32)  # the low bits
+    spots >>= _LOW
+    bucket = spots.view(np.int64)
+    last = starts[bucket].astype(np.int64)
+    end = starts[1:][bucket].astype(np.int64)
+    step = (1 << int((end - last).max(initial=0)).bit_length()) >> 1
+    last -= 1  # the last place known to hold less
+    while step:
+        ahead = last + step
+        less = kept.take(ahead, mode="clip") < wanted
+        less &= ahead < end
+        last = np.where(less, ahead, last)
+        step >>= 1
+    last += 1
+    hit = kept[last] == wanted
+    hit &= last < end
+    return last, hit
 
 
 class Lists:

@@ -122,6 +122,6 @@ def unpacked(batches: Iterator[pa.RecordBatch], kinds: list[str]) -> list[np.nda
     return [np.concatenate(p) for p in parts]
 
 
-def exchange(rows: DataFrame, count: int, reduce: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def exchange(rows: DataFrame, count: int, reduce: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, heap: int = 1 << 20) -> DataFrame:
     """Deal packed rows by shard to ``count`` tasks and run ``reduce`` in each."""
-    return rows.repartition(count, F.col("shard")).mapInArrow(_text.lean(reduce), schema)
+    return rows.repartition(count, F.col("shard")).mapInArrow(_text.lean(reduce, heap), schema)

@@ -37,10 +37,17 @@ UNKNOWN, BEGIN, FIRST = 0, 1, 2
 #: Words of the longest n-grams, unless the caller names another number.
 ORDER = 3
 #: Entries that a task counts before it passes them on.
-HELD = 1 << 20
+HELD = 1 << 22
+#: Bytes of text that are scored at once: each shard is searched once for all of them.
+SCORED_BYTES = 8 << 20
+#: Tasks here make many arrays of some MB.
+HEAP = 32 << 20
+#: What is left of an n-gram's bytes in an exchange, measured at order 3.
+PACKED = 0.375
 #: Values that most n-grams and contexts have: one occurrence; one n-gram, which occurs once.
 ONCE, ONE_NEXT = [1], [1, 1, 0, 0]
 _STATS = "kind string, shard int, data binary"
+_BEGIN_MIXED = _text.mix(np.array([BEGIN], np.uint64))[0]
 
 
 def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -49,14 +56,15 @@ def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(hashes, first[1:], END), first + np.arange(len(first))
 
 
-def sequences(numbers: np.ndarray, begins: np.ndarray, order: int) -> list[np.ndarray]:
-    """Every token's word number after those of the order - 1 words before it."""
-    place = np.arange(len(numbers)) - np.repeat(begins[:-1], np.diff(begins))
+def sequences(numbers: np.ndarray, begins: np.ndarray, order: int, mark: int = BEGIN) -> list[np.ndarray]:
+    """Every token's word number after those of the order - 1 words before it; ``mark`` stands before a text."""
     out = [numbers]
     for back in range(1, order):
-        before = np.full(len(numbers), BEGIN, numbers.dtype)
+        before = np.empty_like(numbers)
         before[back:] = numbers[:-back]
-        before[place < back] = BEGIN
+        for place in range(back):  # a text has one token at least
+            first = begins[:-1] + place
+            before[first[first < begins[1:]]] = mark
         out.insert(0, before)
     return out
 
@@ -65,6 +73,19 @@ def sequence_hash(columns: list[np.ndarray]) -> np.ndarray:
     return _text.sequence_hash([_text.mix(c.astype(_U)) for c in columns])
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches put together up to ``limit`` bytes."""
+    held, size = [], 0
+    for b in batches:
+        if held and size + b.nbytes > limit:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+        held.append(b)
+        size += b.nbytes
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys in order, their summed counts, and a position of each."""
     by = np.argsort(keys)
@@ -151,9 +172,12 @@ class Model:
 
     def is_hot(self, context: list[np.ndarray]) -> np.ndarray:
         """Contexts of hot words only; an n-gram that is frequent consists of words that are."""
-        out = np.ones(len(context[0]), bool)
-        for column in context:
-            out &= self.hot[np.minimum(np.searchsorted(self.hot, column), len(self.hot) - 1)] == column
+        rows = np.arange(len(context[0]))
+        for column in context:  # the next words of those only whose words so far are hot
+            own = column[rows].astype(np.int64)
+            rows = rows[self.hot[np.minimum(np.searchsorted(self.hot, own), len(self.hot) - 1)] == own]
+        out = np.zeros(len(context[0]), bool)
+        out[rows] = True
         return out
 
     def shard(self, gram: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
@@ -161,7 +185,10 @@ class Model:
         if len(columns) == 1:
             return _files.range_shard(gram, self.shards), gram, None
         context, hot = sequence_hash(columns[:-1]), self.is_hot(columns[:-1])
-        return _files.range_shard(np.where(hot, gram, context), self.shards), context, hot
+        return self.dealt(gram, context, hot), context, hot
+
+    def dealt(self, gram: np.ndarray, context: np.ndarray, hot: np.ndarray) -> np.ndarray:
+        return _files.range_shard(np.where(hot, gram, context), self.shards)
 
     def close(self, counts: dict[int, np.ndarray]) -> None:
         """Discounts from each order's numbers of entries that occur 1, 2, 3 and 4 times, and of all."""
@@ -176,17 +203,21 @@ def _count_words(spark: SparkSession, texts: DataFrame, text_col: str, uri: str,
     size = texts.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     shards = _shared.reducers(spark, float(size))
 
+    def passed(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        keys, counts, _ = _summed(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        return _shared.packed(_files.range_shard(keys, shards), [keys, counts.astype(np.uint32)], shards)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, _U), np.zeros(0, np.int64)
+        held, size = [], 0
         for b in _text.blocks(batches, text_col):
             own, _ = tokens(*_text.buffers(b.column(0)))
-            k, c, _ = _summed(own, np.ones(len(own), np.int64))
-            keys, counts, _ = _summed(np.concatenate((keys, k)), np.concatenate((counts, c)))
-            if len(keys) > HELD:
-                yield from _shared.packed(_files.range_shard(keys, shards), [keys, counts.astype(np.uint32)], shards)
-                keys, counts = keys[:0], counts[:0]
-        if len(keys):
-            yield from _shared.packed(_files.range_shard(keys, shards), [keys, counts.astype(np.uint32)], shards)
+            held.append(_summed(own, np.ones(len(own), np.int64))[:2])
+            size += len(held[-1][0])
+            if size > HELD:
+                yield from passed(held)
+                held, size = [], 0
+        if held:
+            yield from passed(held)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = _shared.unpacked(batches, ["u8", "u4"])
@@ -198,10 +229,10 @@ def _count_words(spark: SparkSession, texts: DataFrame, text_col: str, uri: str,
             hot = np.flatnonzero(c * 16 >= c.sum())  # at most 16 a shard
             yield _row("words", s, np.concatenate(([len(k), c.sum()], hot, c[hot])))
 
-    rows = _shared.exchange(texts.mapInArrow(_text.lean(count), "shard int, data binary"), shards, write, _STATS).collect()  # one row a shard
+    rows = _shared.exchange(texts.mapInArrow(_text.lean(count, HEAP), "shard int, data binary"), shards, write, _STATS, HEAP).collect()  # one row a shard
     stats = {r["shard"]: np.frombuffer(bytes(r["data"]), np.int64) for r in rows}
     n_tokens = sum(int(s[1]) for s in stats.values())
-    width = 4 * order + 4
+    width = (4 * order + 4) * PACKED
     model = Model(uri, order, shards, _shared.reducers(spark, float(n_tokens * width)), n_tokens, sum(int(s[0]) for s in stats.values()))
     hot = [BEGIN]
     for s in sorted(stats):
@@ -265,9 +296,10 @@ def _write_contexts(uri: str, context: np.ndarray, sums: list[np.ndarray], shard
 def _passed(model: Model, columns: list[np.ndarray], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     """N-grams and counts, added up and packed for the exchange."""
     gram, counts, at = _summed(sequence_hash(columns), counts)
-    by = np.argsort(columns[0][at])
-    gram, counts, columns = gram[by], counts[by], [c[at[by]] for c in columns]
+    columns = [c[at] for c in columns]
     shard, _, _ = model.shard(gram, columns)
+    by = np.argsort(shard.astype(_U) << _U(32) | columns[0].astype(np.uint32))  # ascending first words in each shard
+    shard, counts, columns = shard[by], counts[by], [c[by] for c in columns]
     return _tagged(_shared.packed(shard, [*columns, counts.astype(np.uint32)], model.shards, _encoded), "grams")
 
 
@@ -281,24 +313,27 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
     uri = _shared.new_path(spark, "ngrams")
     model = _count_words(spark, texts, text_col, uri, order)
 
+    def passed(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+        return _passed(model, columns, np.ones(len(columns[0]), np.int64))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _files.Table(f"{uri}/words", model.word_shards, 1)
-        held, counts = [np.zeros(0, model.kind) for _ in range(order)], np.zeros(0, np.int64)
+        held, size = [], 0
         for b in _text.blocks(batches, text_col):
             own, begins = tokens(*_text.buffers(b.column(0)))
             distinct, _, where = _distinct(own)
-            found = sequences(model.number(words, distinct)[0][where], begins, order)
-            _, c, at = _summed(sequence_hash(found), np.ones(len(own), np.int64))
-            held, counts = [np.concatenate((h, x[at])) for h, x in zip(held, found, strict=True)], np.concatenate((counts, c))
-            if len(counts) > HELD:
-                yield from _passed(model, held, counts)
-                held, counts = [h[:0] for h in held], counts[:0]
-        if len(counts):
-            yield from _passed(model, held, counts)
-
-    rows = texts.mapInArrow(_text.lean(count), _STATS)
+            held.append(sequences(model.number(words, distinct)[0][where], begins, order))
+            size += len(own)
+            if size > HELD:  # few n-grams occur twice in a block, so they are added up here only
+                yield from passed(held)
+                held, size = [], 0
+        if held:
+            yield from passed(held)
+
+    rows = texts.mapInArrow(_text.lean(count, HEAP), _STATS)
     for level in range(order, 0, -1):
-        rows = _shared.exchange(rows, model.shards, _reduce(model, level), _STATS)
+        rows = _shared.exchange(rows, model.shards, _reduce(model, level), _STATS, HEAP)
     counts = {k: np.zeros(5, np.int64) for k in range(1, order + 1)}
     for r in rows.collect():  # one row of five numbers a shard and level
         counts[int(r["kind"].removeprefix("stats"))] += np.frombuffer(bytes(r["data"]), np.int64)
@@ -326,33 +361,42 @@ def _score_block(model: Model, tables: dict[str, _files.Table | _files.Sparse],
     distinct, _, where = _distinct(own)
     number, count = model.number(tables["words"], distinct)
     base = np.log10((count + 0.5) / (model.n_tokens + 0.5 * (model.n_words + 1)))[where]
-    # an n-gram occurs once or more often in the block; each distinct one is looked up once
-    word = sequence_hash([number])
-    by = np.argsort(word)
-    (continued,) = tables["grams1"].get(word[by], _files.range_shard(word[by], model.shards))
+    # one text more, of a begin mark only: its n-grams of marks are the contexts of first tokens
+    number, spot, ends = np.append(number, number.dtype.type(BEGIN)), np.append(where, len(number)), np.append(begins, begins[-1] + 1)
+    mixed, hot = _text.mix(number.astype(_U)), model.is_hot([number])
+    columns, hot_word = sequences(mixed[spot], ends, model.order, _BEGIN_MIXED), hot[spot]
+    # the n-grams of a level in the order of their hashes, and which one ends at each token: it is the next token's context
+    context = _text.sequence_hash([mixed])
+    by = np.argsort(context)
+    context, hot = context[by], hot[by]
+    rank = np.empty(len(by), np.int64)
+    rank[by] = np.arange(len(by))
+    of = rank[spot]
+    (continued,) = tables["grams1"].get(context, _files.range_shard(context, model.shards))
     discount = np.array([0.0, *model.discounts[1]])
-    lower = np.empty(len(distinct))
-    lower[by] = np.maximum(continued - discount[np.minimum(continued, 3)], 0) / max(model.types, 1) + model.lower_gamma / (model.n_words + 1)
-    p = lower[where]
-    columns = sequences(number[where], begins, model.order)
+    lower = np.maximum(continued - discount[np.minimum(continued, 3)], 0) / max(model.types, 1) + model.lower_gamma / (model.n_words + 1)
+    p = lower[of]
     for k in range(2, model.order + 1):
-        used = columns[model.order - k :]
-        gram, first, back = _distinct(sequence_hash(used))
-        shard, context, hot = model.shard(gram, [c[first] for c in used])
-        (seen,) = tables[f"grams{k}"].get(gram, shard)
-        context, _, inverse = _distinct(context)
-        is_hot = np.zeros(len(context), bool)
-        is_hot[inverse[hot]] = True
+        before = sequences(of, ends, 2, of[-1])[0]
         at_context = _files.range_shard(context, model.shards)
-        sums = [np.zeros(len(context), np.int64) for _ in range(4)]
-        for name, rows in (("contexts", ~is_hot), ("hot", is_hot)):
-            for column, values in zip(sums, tables[f"{name}{k}"].get(context[rows], at_context[rows]), strict=True):
-                column[rows] = values
+        total, *several = tables[f"contexts{k}"].get(context, at_context)
+        rows = np.flatnonzero(hot)
+        for column, values in zip((total, *several), tables[f"hot{k}"].get(context[rows], at_context[rows]), strict=True):
+            column[rows] = values
+        known = total > 0
+        part = np.where(known, 1 / np.maximum(total, 1), 0.0)
+        share = np.where(known, sum(d * x for d, x in zip(model.discounts[k], several, strict=True)) * part, 1.0)  # of the lower order: all without a known context
+        gram, last = _text.sequence_hash(columns[model.order - k :]), before
+        if k < model.order:  # each distinct n-gram is looked up once; the longest hardly occur twice in a block
+            gram, first, of = _distinct(gram)
+            last = before[first]
+        (seen,) = tables[f"grams{k}"].get(gram, model.dealt(gram, context[last], hot[last]))
         discount = np.array([0.0, *model.discounts[k]])
-        gamma = sum(d * x for d, x in zip(model.discounts[k], sums[1:], strict=True))[inverse][back]
-        total = sums[0][inverse][back]
-        upper = np.maximum(seen - discount[np.minimum(seen, 3)], 0)[back] + gamma * p
-        p = np.where(total > 0, upper / np.maximum(total, 1), p)
+        upper = np.maximum(seen - discount[np.minimum(seen, 3)], 0) * part[last]
+        if k < model.order:
+            upper, context, hot = upper[of], gram, hot[last] & hot_word[first]
+        p = upper + share[before] * p
+    p = p[:-1]
     sums = lambda x: np.add.reduceat(x, begins[:-1])  # noqa: E731  every text has its end token
     return np.diff(begins), sums((count > 0).astype(np.int64)[where]), sums(base), sums(np.log10(p))
 
@@ -368,12 +412,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value
         tables = _tables(m)
-        for b in _text.blocks(batches, text_col):
+        for b in _text.blocks(_gathered(batches, SCORED_BYTES), text_col, SCORED_BYTES):
             n, known, base, logp = _score_block(m, tables, *_text.buffers(b.column(1)))
             found = [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(np.full(len(n), m.n_tokens), pa.int64()), pa.array(base), pa.array(logp), pa.array(10 ** np.minimum(-logp / n, 300))]
             yield pa.RecordBatch.from_arrays([b.column(0), *[b.column(2 + j) for j in range(len(keep))], *found], names=schema.names)
 
-    return chosen.mapInArrow(_text.lean(run), schema)
+    return chosen.mapInArrow(_text.lean(run, HEAP), schema)
 
 
 def train_and_score(docs: DataFrame, is_training: Column, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, order: int = ORDER) -> DataFrame:

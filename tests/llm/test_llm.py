@@ -5,20 +5,23 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
+import os
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quire.llm import _files, _shared, bpe, components, decontaminate, fingerprint, jaccard, kneser_ney, langid, licenses, quality, queries, secrets, toxicity
+from quire.llm import _files, _shared, _text, bpe, components, decontaminate, fingerprint, jaccard, kneser_ney, langid, licenses, quality, queries, secrets, toxicity
 from tests.conftest import SF, same_rows
 
 KIND = "doc_id long, text string, lang string, source string, n_chars long"
@@ -540,6 +543,34 @@ def test_kneser_ney(spark, docs, order):
         assert math.isclose(sum(p(w, before, order) for w in words) + p(b"never seen", before, order), 1, rel_tol=1e-9)
 
 
+def test_scores_do_not_depend_on_shards_and_blocks(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    few, texts = kneser_ney.train(docs), docs.orderBy("doc_id").toArrow().column("text")
+    monkeypatch.setattr(_shared, "REDUCER_BYTES", 1 << 14)
+    many = kneser_ney.train(docs)
+    assert many.shards > 4 * few.shards and many.types == few.types and many.discounts == few.discounts
+    # an exchange holds n-grams compressed, so a reducer's bytes are those; before, shards were more than twice as many
+    assert many.shards <= many.n_tokens * 16 * 0.4 / (1 << 14) + 1
+    whole = [kneser_ney._score_block(m, kneser_ney._tables(m), *_text.buffers(texts))[3] for m in (few, many)]
+    tables = kneser_ney._tables(many)
+    alone = np.concatenate([kneser_ney._score_block(many, tables, *_text.buffers(texts.slice(i, 1)))[3] for i in range(40)])
+    assert np.allclose(whole[0], whole[1], rtol=1e-12) and np.allclose(whole[1][:40], alone, rtol=1e-12)
+    rows = pa.RecordBatch.from_arrays([pa.array(["one two"] * 1000)], names=["text"])
+    blocks = list(_text.blocks(kneser_ney._gathered(iter([rows] * 50), 1 << 18), "text", 1 << 18))
+    assert len(blocks) < 5 and sum(b.num_rows for b in blocks) == 50_000
+
+
+def test_mapped_arrays_hold_no_descriptors(tmp_path):
+    shards = 50
+    for s in range(shards):
+        _files.write_sparse(f"{tmp_path}/grams/{s:06d}", np.array([s + 1], np.uint64), [np.array([2])], [1])
+    table = _files.Sparse(f"{tmp_path}/grams", shards, [1])
+    before = len(os.listdir("/proc/self/fd"))
+    got = table.get(np.arange(1, shards + 1, dtype=np.uint64), np.arange(shards))
+    assert got[0].tolist() == [2] * shards
+    assert len(os.listdir("/proc/self/fd")) <= before + (0 if sys.version_info >= (3, 13) else shards)
+
+
 # --- 9
 
 def test_quality(spark):
