@@ -13,6 +13,8 @@ from pyarrow import fs
 
 from quire.llm import _text
 
+#: Shards of a table that stay mapped; the usual limit of a process is 65,530 mappings.
+MAPPED = 3072
 #: Since Python 3.13 a mapping can do without a descriptor of its own.
 _UNTRACKED = {"trackfd": False} if sys.version_info >= (3, 13) else {}
 
@@ -65,7 +67,7 @@ class Table:
 
     def _shard(self, s: int) -> list[np.ndarray] | None:
         if s not in self.open:
-            if len(self.open) > 512:
+            if len(self.open) > MAPPED:
                 self.open.clear()
             keys = map_array(f"{self.uri}/{s:06d}", 0)
             self.open[s] = None if keys is None else [keys, *[map_array(f"{self.uri}/{s:06d}", j) for j in range(1, self.values + 1)]]
@@ -125,7 +127,7 @@ class Sparse:
 
     def _shard(self, s: int) -> tuple | None:
         if s not in self.open:
-            if len(self.open) > 4096:
+            if len(self.open) > MAPPED:
                 self.open.clear()
             data = map_array(f"{self.uri}/{s:06d}", 0)
             self.open[s] = None if data is None else self._parts(data)
@@ -162,7 +164,7 @@ class Sparse:
             for column, u in zip(found, self.usual, strict=True):
                 if u:
                     np.multiply(hit, u, out=column[a:b])
-            rows = np.flatnonzero(~hit)
+            rows = (~hit).nonzero()[0]
             rows += a
             at, hit = _find(*rare, mixed[rows])
             rows, at = rows[hit], at[hit]

@@ -560,6 +560,16 @@ def test_scores_do_not_depend_on_shards_and_blocks(spark, monkeypatch):
     assert len(blocks) < 5 and sum(b.num_rows for b in blocks) == 50_000
 
 
+def test_word_shards_stay_mapped(tmp_path, monkeypatch):
+    shards, keys = 600, np.arange(600, dtype=np.uint64)
+    for s in range(shards):
+        _files.write_arrays(f"{tmp_path}/words/{s:06d}", [keys[s : s + 1], np.array([s % 7 + 1], np.uint8)])
+    table = _files.Table(f"{tmp_path}/words", shards, 1)
+    first = table.get(keys, np.arange(shards))[0].tolist()
+    monkeypatch.setattr(_files, "map_array", lambda *_: pytest.fail("mapped again"))
+    assert table.get(keys, np.arange(shards))[0].tolist() == first == [s % 7 + 1 for s in range(shards)]
+
+
 def test_mapped_arrays_hold_no_descriptors(tmp_path):
     shards = 50
     for s in range(shards):
