@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,9 +40,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
+    give_back(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back(spark: SparkSession) -> bool:
+    """Have the driver's JVM return to the system what its compilers have freed, and what the allocator else keeps for good. False
+    where the JVM has no such command (HotSpot on Linux has it from 17.0.9 on); nothing else depends on it."""
+    jvm = spark.sparkContext._jvm
+    kind = jvm.java.lang.Class.forName
+    try:
+        name = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+        server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        types = spark.sparkContext._gateway.new_array(jvm.java.lang.Class, 4)
+        for k, of in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+            types[k] = kind(of)
+        given = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 4)
+        given[0], given[1] = name, "systemTrimNativeHeap"
+        kind("javax.management.MBeanServer").getMethod("invoke", types).invoke(server, given)  # the server's own class is closed to reflection
+    except Py4JError:
+        return False
+    return True
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound Arrow batches by 4 MB unless the session has a limit of its own: each side of a Python task holds several copies of one."""
     if spark.conf.get(BATCH_KEY, BATCH_DEFAULT) == BATCH_DEFAULT:

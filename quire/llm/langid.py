@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -117,16 +118,26 @@ class Model:
         return z / z.sum(1, keepdims=True)
 
 
-def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of a text and their shares."""
-    counts = np.zeros(BUCKETS)
+def bag(text: str) -> bytes:
+    """Distinct buckets of a text and their counts, compressed; empty without any."""
+    counts = np.zeros(BUCKETS, np.int64)
     for _, bucket in subwords([text]):
         counts += np.bincount(bucket, minlength=BUCKETS)
     at = np.flatnonzero(counts)
-    return at, counts[at] / max(1, counts.sum())
+    kind = np.min_scalar_type(counts.max())
+    planes = at.astype(np.uint16).view(np.uint8).reshape(-1, 2).T.tobytes()  # high bytes apart, as they hardly change
+    return kind.char.encode() + zlib.compress(planes + counts[at].astype(kind).tobytes(), 6) if len(at) else b""
 
 
-def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], seed: int = 7) -> Model:
+def opened(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and shares of a bag."""
+    kind, raw = np.dtype(packed[:1].decode()), np.frombuffer(zlib.decompress(packed[1:]), np.uint8)
+    n = len(raw) // (2 + kind.itemsize)
+    counts = raw[2 * n :].view(kind).astype(float)
+    return np.ascontiguousarray(raw[: 2 * n].reshape(2, n).T).view(np.uint16)[:, 0].astype(np.int32), (counts / counts.sum()).astype(np.float32)
+
+
+def fit(bags: list[bytes], labels: list[str], seed: int = 7) -> Model:
     """Train on bags of buckets; a fixed share is kept back for calibration."""
     model = Model(sorted(set(labels)))
     if not bags:
@@ -145,9 +156,10 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], seed: int
         rng.shuffle(rest)
         for a in range(0, len(rest), BATCH):
             rows = rest[a : a + BATCH]
-            used, place = np.unique(np.concatenate([bags[i][0] for i in rows]), return_inverse=True)
+            own = [opened(bags[i]) for i in rows]
+            used, place = np.unique(np.concatenate([at for at, _ in own]), return_inverse=True)
             x = np.zeros((len(rows), len(used)), np.float32)
-            x[np.repeat(np.arange(len(rows)), [len(bags[i][0]) for i in rows]), place] = np.concatenate([bags[i][1] for i in rows])
+            x[np.repeat(np.arange(len(rows)), [len(at) for at, _ in own]), place] = np.concatenate([share for _, share in own])
             hidden = x @ embedding[used]
             z = hidden @ output + bias
             z = np.exp(z - z.max(1, keepdims=True))
@@ -161,7 +173,7 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], seed: int
             embedding[used] -= RATE * to_used / np.sqrt(e2[used])[:, None]
     model.table, model.bias = embedding @ output, bias.astype(float)
     if len(back):
-        logits = np.stack([(model.table[at] * share[:, None]).sum(0) for at, share in (bags[i] for i in back)]) + model.bias
+        logits = np.stack([(model.table[at] * share[:, None]).sum(0) for at, share in (opened(bags[i]) for i in back)]) + model.bias
         losses = []
         for t in np.geomspace(0.1, 20, 60):
             model.temperature = float(t)
@@ -181,12 +193,16 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", key_c
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bags = [bag(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x[0].astype(np.int32).tobytes() for x in bags], pa.binary()), pa.array([x[1].astype(np.float32).tobytes() for x in bags], pa.binary())], names=["lang", "at", "share"])
-
-    rows = chosen.select("lang", "text").mapInArrow(_text.lean(extract), "lang string, at binary, share binary").collect()
-    rows = sorted(((r["lang"], r["at"], r["share"]) for r in rows if r["at"]), key=lambda r: (r[0], bytes(r[1]), bytes(r[2])))
-    model = fit([(np.frombuffer(a, np.int32), np.frombuffer(s, np.float32)) for _, a, s in rows], [r[0] for r in rows])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([bag(t) for t in b.column(1).to_pylist()], pa.binary())], names=["lang", "bag"])
+
+    found: dict[str, list[bytes]] = {}
+    for r in chosen.select("lang", "text").mapInArrow(_text.lean(extract), "lang string, bag binary").collect():
+        if r["bag"]:
+            found.setdefault(r["lang"], []).append(bytes(r["bag"]))
+    _shared.give_back(docs.sparkSession)
+    order = lambda packed: tuple(column.tobytes() for column in opened(packed))
+    rows = [(lang, packed) for lang in sorted(found) for packed in sorted(found.pop(lang), key=order)]
+    model = fit([packed for _, packed in rows], [lang for lang, _ in rows])
     del rows
     _text.give_back()
     return model

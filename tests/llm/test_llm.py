@@ -192,6 +192,27 @@ def test_ngrams_of_long_texts_are_whole(monkeypatch):
     assert sum(plain.values()) == sum(whole[0].values())
 
 
+def test_language_sample_is_small_and_exact(spark):
+    """pipeline and op3: the driver's memory. What each text sends to it has at most a third of 8 bytes a bucket, and no share is rounded."""
+    texts = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").where("text is not null").orderBy("doc_id").limit(60).collect()] + ["é" * 70_000, "a"]
+    sent = buckets = 0
+    for text in texts:
+        packed = langid.bag(text)
+        counts = Counter(np.concatenate([b for _, b in langid.subwords([text])]).tolist()) if packed else {}
+        sent, buckets = sent + len(packed), buckets + len(counts)
+        if packed:
+            at, share = langid.opened(packed)
+            assert at.tolist() == sorted(counts)
+            assert share.tolist() == [np.float32(counts[b] / sum(counts.values())) for b in sorted(counts)]
+    assert langid.bag("12 !?") == b"" and 3 * sent < 8 * buckets
+
+
+def test_driver_gives_native_memory_back(spark):
+    """pipeline: the driver's memory. The JVM takes the command; tables are written with it."""
+    assert _shared.give_back(spark) is True
+    assert _shared.materialize(spark.range(3), "three").count() == 3
+
+
 def test_language_of_nothing(spark):
     model = langid.train(spark.read.parquet(f"{SF}/documents.parquet"))
     got = langid.predict(spark.createDataFrame([(1, None), (2, "12 !? \n"), (3, "the of and in that"), (4, "漢字仮名交じり文"), (5, "123 " * 100 + "é")], "doc_id long, text string"), model, keep=["doc_id", "text"]).collect()
