@@ -8,6 +8,13 @@ import uuid
 from pyspark.sql import DataFrame
 
 
+def spread(df: DataFrame, task_bytes: int) -> DataFrame:
+    """Rows dealt evenly over tasks, one for so many bytes of the files and two a core at least: a file of few splits would keep few cores busy."""
+    spark = df.sparkSession
+    size = float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # of the files, for a scan
+    return df.repartition(int(min(max(2 * spark.sparkContext.defaultParallelism, size // task_bytes), 20_000)))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table under spark.checkpoint.dir and read it again. Without that setting a local session uses a temporary folder."""
     spark = df.sparkSession

@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.functions import alignment
+
 # Glyphs of the pre-reform alphabet and their families.
 PREREFORM = "ѣѢіІѳѲѵѴ"
 FAMILIES = {"yat": "ѣѢ", "decimal_i": "іІ", "fita": "ѳѲ", "izhitsa": "ѵѴ", "hard_sign": "ъЪ"}
@@ -34,50 +36,13 @@ def words(c: Column) -> Column:
 
 
 def char_distance(a: Column, b: Column) -> Column:
-    """Unit-cost edits between two texts, by code points.
-
-    Bands of a 256th, a 32nd and an eighth of the text are tried first, as most predictions are near; where the distance is beyond them, the whole table is computed.
-    """
-    within = lambda share: F.nullif(F.call_function("levenshtein", a, b, F.greatest(F.lit(16), (F.length(a) / share).cast("int"))), F.lit(-1))
-    return F.coalesce(within(256), within(32), within(8), F.levenshtein(a, b))
+    """Unit-cost edits between two texts, by code points (Arrow)."""
+    return alignment.distance(a, b)
 
 
 def word_distance(a: Column, b: Column) -> Column:
-    """Unit-cost edits between two arrays of words.
-
-    Each distinct word of the two becomes one code point, so that the engine's own distance of strings counts words. Pairs of
-    more than MANY distinct words are coded in Arrow batches, as looking words up in an array is quadratic; there is room for 1,111,000
-    distinct words a pair, and with more the query fails.
-    """
-    distinct = F.array_distinct(F.concat(a, b))
-    large = F.size(distinct) > MANY
-
-    def coded(x: Column) -> Column:
-        one = F.transform(x, lambda w: F.lpad(F.hex(F.array_position(distinct, w) + 255), 4, "0"))
-        return F.decode(F.unhex(F.array_join(one, "")), "UTF-16BE")
-
-    codes = word_codes(F.when(large, a), F.when(large, b))
-    return F.when(large, char_distance(codes["a"], codes["b"])).otherwise(char_distance(coded(a), coded(b)))
-
-
-#: Distinct words of a pair up to which they are coded in the engine.
-MANY = 2000
-
-
-@F.pandas_udf(T.StructType().add("a", T.StringType()).add("b", T.StringType()))
-def word_codes(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    """Both arrays of words with one code point a distinct word; null stays null."""
-    rows = []
-    for x, y in zip(a, b, strict=True):
-        if x is None or y is None:
-            rows.append((None, None))
-            continue
-        number: dict[str, int] = {}
-        points = [[number.setdefault(w, len(number)) for w in words] for words in (x, y)]
-        if len(number) > 1_111_000:
-            raise ValueError("more distinct words than code points")
-        rows.append(tuple("".join([chr(p + 256 if p + 256 < 0xD800 else p + 256 + 0x800) for p in side]) for side in points))
-    return pd.DataFrame(rows, columns=["a", "b"])
+    """Unit-cost edits between two arrays of words (Arrow)."""
+    return alignment.distance(a, b)
 
 
 def error_rate(distance: Column, size: Column) -> Column:

@@ -36,17 +36,17 @@ def internal_error(stdout: Column, stderr: Column, markers: list[str] | None = N
 
 
 def score_text(df: DataFrame, gt: str = "gt", pred: str = "pred", with_words: bool = True, nfc: bool = False) -> DataFrame:
-    """Adds sizes, distances and error rates. Each distance is one column computed once; nfc normalises both sides first."""
+    """Adds sizes, distances and error rates. All distances are computed in Arrow batches; nfc normalises both sides first."""
     side = lambda c: F.coalesce(X.nfc(F.col(c)) if nfc else F.col(c), F.lit(""))
     out = df.withColumn("gt_strict", X.strict_normalize(side(gt))).withColumn("pred_strict", X.strict_normalize(side(pred)))
     out = out.withColumn("gt_content", X.content_normalize(F.col("gt_strict"))).withColumn("pred_content", X.content_normalize(F.col("pred_strict")))
     out = out.withColumn("gt_chars_strict", F.length("gt_strict").cast("long")).withColumn("gt_chars_content", F.length("gt_content").cast("long"))
-    out = out.withColumn("strict_edit_distance", X.char_distance(F.col("gt_strict"), F.col("pred_strict")).cast("long"))
     same = (F.col("gt_content") == F.col("gt_strict")) & (F.col("pred_content") == F.col("pred_strict"))
-    out = out.withColumn("content_edit_distance", F.when(same, F.col("strict_edit_distance")).otherwise(X.char_distance(F.col("gt_content"), F.col("pred_content")).cast("long")))
+    out = out.withColumn("_d", alignment.distances("gt_strict", "pred_strict", F.when(~same, F.col("gt_content")), F.when(~same, F.col("pred_content"))))
+    out = out.withColumn("strict_edit_distance", F.col("_d.strict")).withColumn("content_edit_distance", F.col("_d.content")).drop("_d")
     if with_words:
         out = out.withColumn("_gw", X.words(F.col("gt_content"))).withColumn("_pw", X.words(F.col("pred_content")))
-        out = out.withColumn("gt_words", F.size("_gw").cast("long")).withColumn("word_edit_distance", X.word_distance(F.col("_gw"), F.col("_pw")).cast("long")).drop("_gw", "_pw")
+        out = out.withColumn("gt_words", F.size("_gw").cast("long")).withColumn("word_edit_distance", X.word_distance(F.col("_gw"), F.col("_pw"))).drop("_gw", "_pw")
         out = out.withColumn("wer_content", X.error_rate(F.col("word_edit_distance"), F.col("gt_words")))
     out = out.withColumn("cer_strict", X.error_rate(F.col("strict_edit_distance"), F.col("gt_chars_strict"))).withColumn("cer_content", X.error_rate(F.col("content_edit_distance"), F.col("gt_chars_content")))
     return out.drop("gt_strict", "pred_strict")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import geometry as G
 from quire.functions import text as X
+from quire.functions.store import spread
 from quire.operators import book, census, coverage, figures, flow, graph, score, validate
 from quire.plans import editions, layout  # noqa: F401  they register their queries
 from quire.plans.registry import QUERIES, SQL, query
@@ -51,7 +52,7 @@ def _engines(pages: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _t(spark, sf_dir, "conversations").where(score.eligible(F.col("text"), F.expr(_STATUS)))
+    turns = spread(_t(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), 1 << 18).where(score.eligible(F.col("text"), F.expr(_STATUS)))
     return _engines(turns.select("conv_id", "turn", F.regexp_replace("text", r"[^\x00-\x7F]", "~").alias("gt")), ["conv_id", "turn"])
 
 

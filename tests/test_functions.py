@@ -99,3 +99,30 @@ def test_insertion_index(spark):
     assert at("12", F.lit(500), F.lit(750)) == 2
     assert flow.wrap("aa bb cc".split(), {}, 5.0, 1.0) == ["aa bb", "cc"]
     assert flow.first_fit([10.0, 9.5, 9.0], lambda s: s < 9.6) == 9.5
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("abc é\U0001f600", max_size=14), st.text("abc é\U0001f600", max_size=14))
+def test_edit_distance(a, b):
+    least = distance(a, b)
+    assert alignment.edit_distance(a, b) == alignment.edit_distance(list(a), list(b)) == least
+    assert alignment.edit_distance(a, b, least) == alignment.edit_distance(a, b, len(a) + len(b)) == least
+
+
+def test_edit_distance_in_bands():
+    """Texts of many blocks of the band, near ones and such that no narrow band holds their best alignment."""
+    rng = random.Random(5)
+    for share, cut in ((0.01, 0), (0.1, 0), (0.5, 0), (0.05, 150), (0.02, 400)):
+        a = "".join(rng.choices("abcdefgh", k=700))
+        b = "".join(rng.choice(("", "x" + c, "y", "a")) if rng.random() < share else c for c in a)
+        b = b[cut:] + b[:cut]
+        least = distance(a, b)
+        assert alignment.edit_distance(a, b) == alignment.edit_distance(b, a) == alignment.edit_distance(list(a), list(b)) == least
+        shorter, longer = sorted((a, b), key=len)
+        assert all(least <= alignment._banded(shorter, longer, k) for k in (64, 100)) and alignment._banded(shorter, longer, max(least, 64)) == least
+
+
+def test_char_distance_of_columns(spark):
+    pairs = [("kitten", "sitting"), ("", "abc"), ("é\U0001f600", "e\U0001f600"), (None, "a"), ("a", None), ("same", "same")]
+    rows = spark.createDataFrame(pairs, "a string, b string").select(X.char_distance(F.col("a"), F.col("b")).alias("d")).collect()
+    assert [r["d"] for r in rows] == [3, 3, 1, None, None, 0]

@@ -247,3 +247,20 @@ def test_resumed_runs(spark):
     assert {(r["model"], r["sample_id"]): r["prediction"] for r in done.collect()} == {("m", "s0"): "old"} | {("m", f"s{i}"): f"p{i}" for i in range(1, 6)}
     assert {(r["model"], r["sample_id"]): r["incident"] for r in incidents.collect()} == {("m", "s3"): "no output", ("bad", "s0"): "no such model"}
     assert tuple(account.first()) == (7, 1, 5, 6, 1)
+
+
+def test_scoring_is_spread_over_tasks(spark):
+    """Pages of a file of one split are scored by several tasks, all of them."""
+    from quire.plans import catalog
+    from tests.conftest import SF
+
+    for name in ("ocr_engine_summary", "ocr_score_pages", "ocr_word_errors", "best_config"):
+        plan = catalog.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "RoundRobinPartitioning" in plan and "ArrowEvalPython" in plan and "levenshtein" not in plan, name
+
+
+def test_strict_and_content_distances(spark):
+    """Blanks count in the strict form only; where both forms are the same, so are the distances."""
+    rows = [(1, "one  two\nthree", "one two\nthree"), (2, "one two\nthree", "one two three"), (3, "one\ntwo\nthrew", "one\ntvo\nthre"), (4, "one two", "one tvo"), (5, None, "abc")]
+    out = {r["k"]: r for r in score.score_text(spark.createDataFrame(rows, "k int, gt string, pred string")).collect()}
+    assert {k: (r["strict_edit_distance"], r["content_edit_distance"], r["word_edit_distance"]) for k, r in out.items()} == {1: (1, 0, 0), 2: (1, 0, 0), 3: (2, 2, 2), 4: (1, 1, 1), 5: (3, 3, 1)}
