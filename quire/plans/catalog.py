@@ -509,8 +509,7 @@ SELECT page_id, node, CAST(min(dist) AS DOUBLE) AS dist, arg_min(owner, dist * 1
 def seed_growth(spark, sf_dir):
     parts = _components(spark, sf_dir)
     edges = graph.neighbours(parts, 40)
-    cost = (F.col("dx") + F.col("dy")).alias("cost")
-    costs = edges.select("page_id", F.col("a").alias("src"), F.col("b").alias("dst"), cost).unionByName(edges.select("page_id", F.col("b").alias("src"), F.col("a").alias("dst"), cost))
+    costs = graph.both_ways(edges).select("page_id", "src", "dst", (F.col("dx") + F.col("dy")).alias("cost"))
     return graph.grow(costs, parts.where("label % 10 = 0"), 60.0)
 
 

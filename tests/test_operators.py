@@ -264,3 +264,26 @@ def test_strict_and_content_distances(spark):
     rows = [(1, "one  two\nthree", "one two\nthree"), (2, "one two\nthree", "one two three"), (3, "one\ntwo\nthrew", "one\ntvo\nthre"), (4, "one two", "one tvo"), (5, None, "abc")]
     out = {r["k"]: r for r in score.score_text(spark.createDataFrame(rows, "k int, gt string, pred string")).collect()}
     assert {k: (r["strict_edit_distance"], r["content_edit_distance"], r["word_edit_distance"]) for k, r in out.items()} == {1: (1, 0, 0), 2: (1, 0, 0), 3: (2, 2, 2), 4: (1, 1, 1), 5: (3, 3, 1)}
+
+
+@pytest.mark.parametrize("name, small", [("neighbor_graph", 0), ("growth_costs", 1), ("region_evidence", 1), ("region_support", 1), ("seed_growth", 0)])
+def test_components_are_never_broadcast(spark, name, small):
+    """Joins of components and edges sort, however small the optimizer takes them; only the scale of a page may be broadcast."""
+    from quire.plans import catalog
+    from tests.conftest import SF
+
+    seen = []
+    keep = graph.materialize
+    graph.materialize = lambda df, table: seen.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df, table)
+    try:
+        seen.append(catalog.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString())
+    finally:
+        graph.materialize = keep
+    initial = [p.split("== Initial Plan ==")[-1] for p in seen]
+    assert all(p.count("BroadcastHashJoin") + p.count("BroadcastNestedLoopJoin") <= small for p in initial) and any("SortMergeJoin" in p for p in initial)
+    assert name == "seed_growth" or "SortMergeJoin" in initial[-1]
+
+
+def test_every_edge_goes_both_ways(spark):
+    edges = spark.createDataFrame([(1, 5, 7, 2.0), (1, 5, 6, 3.0)], "page_id int, a int, b int, gap double")
+    assert sorted(tuple(r) for r in graph.both_ways(edges).collect()) == [(1, 5, 6, 3.0), (1, 5, 7, 2.0), (1, 6, 5, 3.0), (1, 7, 5, 2.0)]
