@@ -5,7 +5,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+#: Bound of an Arrow batch, and the engine's own.
+BATCH_KEY, BATCH_BYTES, BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "4m", "67108864b"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, unless the session has a limit of its own: each side of a Python task holds several copies of one."""
+    if spark.conf.get(BATCH_KEY, BATCH_DEFAULT) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_KEY, BATCH_BYTES)
 
 
 def spread(df: DataFrame, task_bytes: int) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import alignment
 from quire.functions import text as X
+from quire.functions.store import small_batches
 
 # What an engine writes to its log when an input fails; the second list is for whole-book runs.
 ERROR_MARKERS = ["ERROR     Failed processing", "ERROR    Failed processing", "Failed processing", "Expected all tensors to be on the same device", "Traceback (most recent call last)"]
@@ -38,6 +39,7 @@ def internal_error(stdout: Column, stderr: Column, markers: list[str] | None = N
 def score_text(df: DataFrame, gt: str = "gt", pred: str = "pred", with_words: bool = True, nfc: bool = False) -> DataFrame:
     """Adds sizes, distances and error rates. All distances are computed in Arrow batches; nfc normalises both sides first."""
     side = lambda c: F.coalesce(X.nfc(F.col(c)) if nfc else F.col(c), F.lit(""))
+    small_batches(df.sparkSession)
     out = df.withColumn("gt_strict", X.strict_normalize(side(gt))).withColumn("pred_strict", X.strict_normalize(side(pred)))
     out = out.withColumn("gt_content", X.content_normalize(F.col("gt_strict"))).withColumn("pred_content", X.content_normalize(F.col("pred_strict")))
     out = out.withColumn("gt_chars_strict", F.length("gt_strict").cast("long")).withColumn("gt_chars_content", F.length("gt_content").cast("long"))
@@ -64,7 +66,11 @@ def with_operations(df: DataFrame, gt: str = "gt_content", pred: str = "pred_con
 
 def glyph_counts(df: DataFrame, keys: list[str], glyphs: list[str], gt: str, pred: str, ops: str | None = None) -> DataFrame:
     """Long form: keys, glyph, gt, pred, correct. Without operations the texts must align along the diagonal."""
-    one = lambda g: F.struct(F.lit(g).alias("glyph"), X.count_of(F.col(gt), g).cast("long").alias("gt"), X.count_of(F.col(pred), g).cast("long").alias("pred"), (alignment.glyph_hits(F.col(ops), F.col(gt), g) if ops else alignment.diagonal_hits(F.col(gt), F.col(pred), g)).cast("long").alias("correct"))
+    if not ops:
+        small_batches(df.sparkSession)
+        rows = df.select(*keys, alignment.diagonal_counts("".join(glyphs))(F.col(gt), F.col(pred)).alias("_c")).select(*keys, F.posexplode("_c").alias("_i", "_c"))
+        return rows.select(*keys, F.get(F.array(*[F.lit(g) for g in glyphs]), F.col("_i")).alias("glyph"), "_c.*")
+    one = lambda g: F.struct(F.lit(g).alias("glyph"), X.count_of(F.col(gt), g).cast("long").alias("gt"), X.count_of(F.col(pred), g).cast("long").alias("pred"), alignment.glyph_hits(F.col(ops), F.col(gt), g).cast("long").alias("correct"))
     return df.select(*keys, F.explode(F.array(*[one(g) for g in glyphs])).alias("g")).select(*keys, "g.*")
 
 

@@ -287,3 +287,13 @@ def test_components_are_never_broadcast(spark, name, small):
 def test_every_edge_goes_both_ways(spark):
     edges = spark.createDataFrame([(1, 5, 7, 2.0), (1, 5, 6, 3.0)], "page_id int, a int, b int, gap double")
     assert sorted(tuple(r) for r in graph.both_ways(edges).collect()) == [(1, 5, 6, 3.0), (1, 5, 7, 2.0), (1, 6, 5, 3.0), (1, 7, 5, 2.0)]
+
+
+def test_glyphs_on_the_diagonal_in_one_pass(spark):
+    """Counts of all glyphs from one look at each text, by code points; a null side has no counts."""
+    rows = [(1, "tote\U0001f600e", "t#te\U0001f600c"), (2, "toe", "to"), (3, None, "e"), (4, "e", None), (5, "", "")]
+    counts = score.glyph_counts(spark.createDataFrame(rows, "k int, gt string, pred string"), ["k"], ["e", "t", "\U0001f600"], "gt", "pred")
+    assert "zip_with" not in counts._jdf.queryExecution().executedPlan().toString()
+    found = {(r["k"], r["glyph"]): (r["gt"], r["pred"], r["correct"]) for r in counts.collect()}
+    assert [found[1, g] for g in ("e", "t", "\U0001f600")] == [(2, 1, 1), (2, 2, 2), (1, 1, 1)]
+    assert [found[k, "e"] for k in (2, 3, 4, 5)] == [(1, 0, 0), (None, 1, None), (1, None, None), (0, 0, 0)]
